@@ -22,15 +22,6 @@ def ordinal_to_count(number: Column, ordinals: Mapping[str, int] = COUNT_ORDINAL
     return F.coalesce(F.try_element_at(mapped, number.cast("int")), number.cast("int").cast("string"), F.lit(""))
 
 
-def high_median(column: str) -> Column:
-    """The middle value, or the larger of the two middle values.
-
-    The state per group is a histogram of the values, so it grows with the number of different
-    values and not with the rows.
-    """
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{column}` DESC)")
-
-
 def binary_answer(value: Column) -> Column:
     """1 from one half upwards, 0 below and for text."""
     return F.coalesce(F.floor(value.try_cast("double") + 0.5).cast("int"), F.lit(0))

@@ -12,7 +12,7 @@ from crowdspark.defaults import (
     QUESTION_PREFIX,
 )
 from crowdspark.functions.answers import (
-    count_to_ordinal, high_median, ordinal_to_count, rounded_answer, two_decimals,
+    count_to_ordinal, ordinal_to_count, rounded_answer, two_decimals,
 )
 from crowdspark.operators.ordering import first_n_per_group
 
@@ -31,17 +31,35 @@ def question_types(questions: Sequence[str], count_questions: Sequence[str] = CO
     return {q: kind(q) for q in questions}
 
 
-def count_aggregates(ordinal: str, modes: Sequence[str] = COUNT_MODES,
-                     ordinals: Mapping[str, int] = COUNT_ORDINALS) -> dict[str, Column]:
-    """High median, minimum and maximum of an ordinal count column, as count answers."""
-    number = {"median": high_median(ordinal), "min": F.min(ordinal), "max": F.max(ordinal)}
-    return {mode: ordinal_to_count(number[mode], ordinals) for mode in modes}
+def high_medians(df: DataFrame, keys: Sequence[str], value: str, out: str, aggregates: Mapping[str, str]) -> DataFrame:
+    """Per group: high median, minimum, maximum and number of the non-null values, and other aggregates.
+
+    The high median is the middle value, or the larger of the two middle values. Equal values are counted
+    before the group is brought together, so a task holds one row per different value and not the rows.
+    ``aggregates`` names further columns of ``df`` with the function (``sum`` or ``min``) that combines them.
+    """
+    values = df.groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_n"), *[getattr(F, f)(c).alias(c) for c, f in aggregates.items()])
+    values = values.repartition(*keys[:1])
+    known = F.when(F.col(value).isNotNull(), F.col("_n"))
+    w = Window.partitionBy(*keys)
+    values = values.withColumns({
+        "_above": F.sum(known).over(w.orderBy(F.col(value).desc_nulls_last())),
+        "_known": F.sum(known).over(w),
+    })
+    return values.groupBy(*keys).agg(
+        F.max(F.when(2 * F.col("_above") >= F.col("_known"), F.col(value))).alias(f"{out}_median"),
+        F.min(value).alias(f"{out}_min"),
+        F.max(value).alias(f"{out}_max"),
+        F.coalesce(F.max("_known"), F.lit(0)).alias(f"{out}_n"),
+        F.sum("_n").alias("_n_rows"),
+        *[getattr(F, f)(c).alias(c) for c, f in aggregates.items()],
+    )
 
 
-def proportion_affirmative(answer: Column) -> Column:
+def proportion_affirmative(yes: Column, answered: Column, rows: Column) -> Column:
     """Share of ``1`` among all rows, null if nobody answered."""
-    share = F.avg(F.when(answer == "1", 1.0).otherwise(0.0))
-    return F.when(F.count_if(answer != "") > 0, share)
+    return F.when(answered > 0, yes / rows)
 
 
 def pielou_evenness(votes: Column, window) -> Column:
@@ -57,36 +75,43 @@ def user_statistics(annotations: DataFrame, keys: Sequence[str], user: str, clas
     """Users, blank and non-blank users, species per user and classifications of each subject."""
     per_user = annotations.groupBy(*keys, user).agg(F.count_if(F.col(main) != empty).alias("_n_species"))
     per_user = per_user.withColumn("_n_species", F.when(F.col("_n_species") > 0, F.col("_n_species")))
-    users = per_user.groupBy(*keys).agg(
-        F.coalesce(high_median("_n_species"), F.lit(0)).cast("int").alias("n_species_ids_per_user_median"),
-        F.coalesce(F.max("_n_species"), F.lit(0)).cast("int").alias("n_species_ids_per_user_max"),
-        F.count(F.lit(1)).alias("n_users_classified_this_subject"),
-        F.count("_n_species").alias("n_users_saw_a_species"),
-    ).withColumn(
-        "n_users_saw_no_species", F.col("n_users_classified_this_subject") - F.col("n_users_saw_a_species")
-    ).withColumn(
-        "p_users_saw_a_species", F.col("n_users_saw_a_species") / F.col("n_users_classified_this_subject"))
+    users = high_medians(per_user, keys, "_n_species", "_ids", {}).select(
+        *keys,
+        F.coalesce("_ids_median", F.lit(0)).cast("int").alias("n_species_ids_per_user_median"),
+        F.coalesce("_ids_max", F.lit(0)).cast("int").alias("n_species_ids_per_user_max"),
+        F.col("_n_rows").alias("n_users_classified_this_subject"),
+        F.col("_ids_n").alias("n_users_saw_a_species"),
+        (F.col("_n_rows") - F.col("_ids_n")).alias("n_users_saw_no_species"),
+        (F.col("_ids_n") / F.col("_n_rows")).alias("p_users_saw_a_species"),
+    )
     classifications = annotations.groupBy(*keys).agg(F.count_distinct(classification).alias("n_classifications"))
     return users.join(classifications, list(keys))
 
 
-def species_statistics(annotations: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                       classification: str, main: str, questions: Sequence[str], types: Mapping[str, str],
-                       modes: Sequence[str], ordinals: Mapping[str, int]) -> DataFrame:
+def species_statistics(annotations: DataFrame, keys: Sequence[str], order: str, classification: str, main: str,
+                       questions: Sequence[str], types: Mapping[str, str], modes: Sequence[str],
+                       ordinals: Mapping[str, int]) -> DataFrame:
     """Votes, first appearance and answer aggregates of each subject and species."""
     counts = [q for q in questions if types[q] == "count"]
-    rows = annotations.withColumns({f"_ord_{q}": count_to_ordinal(F.col(q), ordinals) for q in counts})
-    aggregates = [
-        F.count_distinct(classification).alias("n_users_identified_this_species"),
-        F.count(F.lit(1)).alias("_n_rows"),
-        F.min(F.struct(*order_by)).alias("_first"),
-    ]
-    for q in questions:
-        if types[q] == "count":
-            aggregates += [c.alias(f"{q}_{m}") for m, c in count_aggregates(f"_ord_{q}", modes, ordinals).items()]
-        elif types[q] == "prop":
-            aggregates.append(proportion_affirmative(F.col(q)).alias(q))
-    return rows.groupBy(*keys, main).agg(*aggregates)
+    flags = [q for q in questions if types[q] == "prop"]
+    by = [*keys, main]
+    rows = annotations.select(
+        *by, classification, F.col(order).alias("_first"),
+        *[count_to_ordinal(F.col(q), ordinals).alias(f"_ord_{q}") for q in counts],
+        *[(F.col(q) == "1").cast("int").alias(f"_yes_{q}") for q in flags],
+        *[(F.col(q) != "").cast("int").alias(f"_answered_{q}") for q in flags],
+    )
+    sums = {f"_{part}_{q}": "sum" for q in flags for part in ("yes", "answered")}
+    first = f"_ord_{counts[0]}" if counts else "_none"
+    rows = rows.withColumn("_none", F.lit(None).cast("int")) if not counts else rows
+    species = high_medians(rows, by, first, first, {"_first": "min", **sums})
+    for q in counts[1:]:
+        species = species.join(high_medians(rows, by, f"_ord_{q}", f"_ord_{q}", {}).drop("_n_rows"), by)
+    votes = rows.groupBy(*by).agg(F.count_distinct(classification).alias("n_users_identified_this_species"))
+    answers = [ordinal_to_count(F.col(f"_ord_{q}_{m}"), ordinals).alias(f"{q}_{m}") for q in counts for m in modes]
+    answers += [proportion_affirmative(F.col(f"_yes_{q}"), F.col(f"_answered_{q}"), F.col("_n_rows")).alias(q)
+                for q in flags]
+    return species.join(votes, by).select(*by, "n_users_identified_this_species", "_n_rows", "_first", *answers)
 
 
 def plurality_consensus(
@@ -101,12 +126,15 @@ def plurality_consensus(
     A subject is blank if more users saw nothing than saw something; then ``blank`` is the consensus.
     Otherwise the ``median`` most named species are, where ``median`` is the high median of the species
     per user. ``order_by`` decides ties between equally often named species (first named wins).
+    A single numeric order column is the fastest: its minimum stays in a hash aggregate.
     Every count is aggregated before its shuffle; no list of rows is built for a subject.
     """
     keys = list(keys)
     questions = list(questions) if questions is not None else question_columns(annotations.columns)
     types = question_types(questions, count_questions)
-    species = species_statistics(annotations, keys, order_by, classification, main, questions, types, modes, ordinals)
+    order = order_by[0] if len(order_by) == 1 else "_order"
+    annotations = annotations if len(order_by) == 1 else annotations.withColumn(order, F.struct(*order_by))
+    species = species_statistics(annotations, keys, order, classification, main, questions, types, modes, ordinals)
     subjects = user_statistics(annotations, keys, user, classification, main, empty)
     subjects = subjects.withColumn("_is_empty", F.col("n_users_saw_no_species") > F.col("n_users_saw_a_species"))
     votes = F.col("n_users_identified_this_species")
