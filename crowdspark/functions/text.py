@@ -17,12 +17,13 @@ def empty_to_null(column: Column) -> Column:
     return F.when(column != "", column)
 
 
-def lookup(mapping: Mapping[str, str], key: Column) -> Column:
-    """The mapped value, or the key itself if it is not mapped."""
+def lookup(mapping: Mapping[str, str], key: Column, default: Column | None = None) -> Column:
+    """The mapped value, or the default (the key itself, if not given) where it is not mapped."""
+    default = key if default is None else default
     if not mapping:
-        return key
+        return default
     table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, key), key)
+    return F.coalesce(F.try_element_at(table, key), default)
 
 
 def capture_id(season="season", site="site", roll="roll", capture="capture") -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdspark.defaults import (
@@ -97,7 +97,8 @@ def check_stats(df: DataFrame) -> DataFrame:
 def group_shares(df: DataFrame, keys: Sequence[str], places: int = 2) -> DataFrame:
     """Rows per group, all rows and the group's percentage."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    counts = counts.withColumn("total", F.sum("count").over(Window.partitionBy()))
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
+    counts = counts.withColumn("total", total)
     return counts.withColumn("percent", F.round(100 * F.col("count") / F.col("total"), places))
 
 

@@ -32,7 +32,7 @@ SELECT *, CASE WHEN event_type = 'error' AND value < 40 THEN 1 ELSE 0 END AS ima
 FROM v_checked"""
 REQUIRES["v_flagged"] = ["v_checked"]
 
-GAP, MAX_DAYS = 3600, 0.3
+GAP, MAX_DAYS = 21600, 0.3
 IMAGE_COLUMNS = ("season", "site", "roll", "image_path_original")
 
 
@@ -176,7 +176,7 @@ deltas AS (
     coalesce(epoch(datetime) - epoch(lag(datetime) OVER w), 0.0) AS gap
   FROM kept WINDOW w AS (PARTITION BY season, site, roll ORDER BY datetime, image_name)),
 numbered AS (
-  SELECT *, CAST(1 + sum(CASE WHEN gap > 3600 THEN 1 ELSE 0 END) OVER (
+  SELECT *, CAST(1 + sum(CASE WHEN gap > 21600 THEN 1 ELSE 0 END) OVER (
     PARTITION BY season, site, roll ORDER BY rank_in_roll) AS INTEGER) AS new_capture FROM deltas)
 SELECT name AS image_name, CAST(rank_in_roll AS INTEGER) AS image_rank_in_roll, new_capture AS capture,
   season || '#' || site || '#' || roll || '#' || new_capture AS capture_id,

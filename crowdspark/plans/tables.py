@@ -67,3 +67,54 @@ class Tables:
             F.col("l_partkey").alias("part_no"), F.col("l_extendedprice").alias("price"),
             F.col("l_quantity").alias("quantity"),
         )
+
+    @cached_property
+    def classifications(self) -> DataFrame:
+        """``lineitem`` as a classification export with JSON columns, one row per line item."""
+        flags = F.concat("l_returnflag", "l_linestatus")
+        quantity, part = F.col("l_quantity").cast("int"), F.col("l_partkey")
+        how_many = F.when(quantity > 40, "51").when(quantity > 10, "1150").otherwise(quantity.cast("string"))
+        doing = F.when(part % 2 == 0, '["MOVING","EATING"]').otherwise('["MOVING"]')
+        young = F.when(F.col("l_tax") >= 0.04, "YES").otherwise("NO")
+        lion = '{"choice":"LION","answers":{},"filters":{}}'
+        zebra = F.concat(
+            F.lit('{"choice":"ZEBRA","answers":{"HOWMANY":"'), how_many, F.lit('","WHATBEHAVIORSDOYOUSEE":'), doing,
+            F.lit(',"ARETHEREANYYOUNGPRESENT":"'), young, F.lit('","DONTCARE":"X"},"filters":{"LIKE":"HORSE"}}'))
+        giraffe = F.concat(F.lit('{"choice":"GIRAFFE","answers":{"HOWMANY":"'), how_many, F.lit('"}}'))
+
+        def tasks(*values):
+            parts = [F.concat(F.lit(f'{{"task":"T{n}","value":'), v if not isinstance(v, str) else F.lit(v), F.lit("}"))
+                     for n, v in enumerate(values)]
+            return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+
+        annotations = (
+            F.when(flags == "AF", tasks(F.concat(F.lit("["), zebra, F.lit(f",{lion}]"))))
+            .when(flags == "AO", tasks(f'[{{"choice":"NOTHINGHERE","answers":{{}}}},{lion},{lion}]'))
+            .when(flags == "NF", tasks('"NOANIMALSPRESENT"'))
+            .when(flags == "NO", tasks("[]"))
+            .when(flags == "RF", tasks('["GIRAFFE","YES"]'))
+            .otherwise(tasks('"GIRAFFE"', F.concat(F.lit("["), giraffe, F.lit("]"))))
+        )
+        live = F.when(F.col("l_tax") == 0.01, "").otherwise(
+            F.concat(F.lit('"live_project":'), F.when(F.col("l_tax") == 0, "false").otherwise("true"), F.lit(",")))
+        seen = F.when(F.col("l_discount") == 0.1, "true").otherwise("false")
+        season = F.when(part % 7 == 0, "").otherwise(
+            F.concat(F.lit(',"#season":"S'), (part % 2).cast("string"), F.lit('"')))
+        anonymous = F.col("l_suppkey") % 10 == 0
+        return self.read("lineitem").select(
+            F.concat_ws("-", text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"),
+                        quantity.cast("string")).alias("classification_id"),
+            F.concat(F.when(anonymous, "not-logged-in-").otherwise("u"), text("l_suppkey")).alias("user_name"),
+            F.when(anonymous, "").otherwise(text("l_suppkey")).alias("user_id"),
+            F.when(F.col("l_linenumber") <= 5, "10").otherwise("11").alias("workflow_id"),
+            F.concat((part % 50 + 300).cast("string"), F.when(F.col("l_linenumber") == 1, "").otherwise(
+                F.concat(F.lit("."), text("l_linenumber")))).alias("workflow_version"),
+            F.when(quantity == 1, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+                F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss 'UTC'")).alias("created_at"),
+            F.concat(F.lit('{"source":"api",'), live, F.lit('"subject_selection_state":{"retired":false,"already_seen":'),
+                     seen, F.lit("}}")).alias("metadata"),
+            annotations.alias("annotations"),
+            F.concat(F.lit('{"'), text("l_orderkey"), F.lit('":{"retired":null'), season, F.lit("}}")).alias("subject_data"),
+            text("l_orderkey").alias("subject_ids"),
+            F.col("l_extendedprice").alias("price"),
+        )
