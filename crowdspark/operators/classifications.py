@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdspark.defaults import (
-    ANSWERS, ANSWERS_BY_QUESTION, CLASSIFICATION_COLUMNS, MAIN_QUESTION, QUESTION_DELIMITER, QUESTION_NAMES,
+    ANSWERS, ANSWERS_BY_QUESTION, CLASSIFICATION_COLUMNS, QUESTION_DELIMITER, QUESTION_NAMES,
     QUESTION_ORDER, QUESTION_PREFIX, QUESTIONS_IGNORED, REQUIRED_CLASSIFICATION_COLUMNS,
 )
 from crowdspark.functions.text import lookup
@@ -161,52 +162,57 @@ def is_survey(item: Column) -> Column:
     return F.try_variant_get(item, "$.choice", "string").isNotNull()
 
 
-def map_answer(question: Column, answer: Column, by_question: Mapping[str, Mapping[str, str]] = ANSWERS_BY_QUESTION,
+def map_answer(question: Column, answer: Column, names: Mapping[str, str] = QUESTION_NAMES,
+               by_question: Mapping[str, Mapping[str, str]] = ANSWERS_BY_QUESTION,
                answers: Mapping[str, str] = ANSWERS) -> Column:
-    """The answer's name for this question, then its general name."""
-    specific = {f"{q}\t{a}": new for q, mapping in by_question.items() for a, new in mapping.items()}
-    return lookup(answers, lookup(specific, F.concat(question, F.lit("\t"), answer), answer))
+    """The answer's name for this question, then its general name; ``question`` is the export's own name.
+
+    Both steps are one lookup of a literal map, built here from the mappings.
+    """
+    exported = {**{q: q for q in by_question if q not in names}, **names}
+    specific = {f"{raw}\t{a}": answers.get(new, new) for raw, q in exported.items()
+                for a, new in by_question.get(q, {}).items()}
+    return lookup(specific, F.concat(question, F.lit("\t"), answer), lookup(answers, answer))
 
 
 def _answer(question: Column, texts: Column, multi: Column, names: Mapping[str, str],
             by_question: Mapping[str, Mapping[str, str]], answers: Mapping[str, str]) -> Column:
-    name = lookup(names, question)
-    return F.struct(
-        name.alias("question"),
-        F.transform(texts, lambda a: map_answer(name, a, by_question, answers)).alias("answers"),
-        multi.alias("is_multi"))
-
+    mapped = F.transform(texts, lambda a: map_answer(question, a, names, by_question, answers))
+    return F.struct(lookup(names, question).alias("question"), mapped.alias("answers"), multi.alias("is_multi"))
 
-def identifications(annotations: Column, names: Mapping[str, str] = QUESTION_NAMES,
-                    ignored: Sequence[str] = QUESTIONS_IGNORED,
-                    by_question: Mapping[str, Mapping[str, str]] = ANSWERS_BY_QUESTION,
-                    answers: Mapping[str, str] = ANSWERS) -> Column:
-    """The identifications of an export row: an array of arrays of (question, answers, is_multi).
 
-    Tasks without an answer are skipped. A survey item gives its lower-case answers, without the ignored
-    questions, and its choice; an item of a question task gives one answer.
-    """
+def completed_items(annotations: Column) -> Column:
+    """The values of all completed tasks of an export row, as one array of variants."""
     tasks = F.try_variant_get(F.try_parse_json(annotations), "$", TASKS)
+    return F.flatten(F.transform(F.filter(tasks, task_is_completed), lambda t: variant_items(t["value"])))
 
-    def answered(question: Column, texts: Column, multi: Column) -> Column:
-        return _answer(question, texts, multi, names, by_question, answers)
 
-    def survey(item: Column) -> Column:
-        entries = F.map_entries(F.coalesce(F.try_variant_get(item, "$.answers", "map<string, variant>"),
-                                           F.create_map().cast("map<string, variant>")))
-        kept = F.filter(entries, lambda e: ~F.lower(e["key"]).isin(list(ignored)))
-        given = F.transform(kept, lambda e: answered(F.lower(e["key"]), variant_texts(e["value"]), as_array(e["value"]).isNotNull()))
-        choice = F.array(F.lower(F.try_variant_get(item, "$.choice", "string")))
-        return F.concat(given, F.array(answered(F.lit("choice"), choice, F.lit(False))))
+def main_answers(items: Column, names: Mapping[str, str], by_question: Mapping[str, Mapping[str, str]],
+                 answers: Mapping[str, str]) -> Column:
+    """The mapped choice of each survey item, and the mapped text of each question item."""
+    texts = F.transform(items, lambda i: F.lower(F.coalesce(
+        F.try_variant_get(i, "$.choice", "string"), F.try_variant_get(i, "$", "string"))))
+    return F.transform(texts, lambda a: map_answer(F.lit("choice"), a, names, by_question, answers))
 
-    def question(item: Column) -> Column:
-        return F.array(answered(F.lit("question"), variant_texts(item), as_array(item).isNotNull()))
 
-    def of_task(task: Column) -> Column:
-        return F.transform(variant_items(task["value"]), lambda i: F.when(is_survey(i), survey(i)).otherwise(question(i)))
+def item_answers(item: Column, names: Mapping[str, str] = QUESTION_NAMES, ignored: Sequence[str] = QUESTIONS_IGNORED,
+                 by_question: Mapping[str, Mapping[str, str]] = ANSWERS_BY_QUESTION,
+                 answers: Mapping[str, str] = ANSWERS) -> Column:
+    """The identification in an item: an array of (question, answers, is_multi).
 
-    done = F.filter(tasks, task_is_completed)
-    return F.flatten(F.transform(done, of_task))
+    A survey item gives its lower-case answers, without the ignored questions, and its choice; an item of
+    a question task gives one answer.
+    """
+    def answered(question: Column, texts: Column, multi: Column) -> Column:
+        return _answer(question, texts, multi, names, by_question, answers)
+
+    entries = F.map_entries(F.try_variant_get(item, "$.answers", "map<string, variant>"))
+    kept = F.filter(entries, lambda e: ~F.lower(e["key"]).isin(list(ignored)))
+    given = F.transform(kept, lambda e: answered(F.lower(e["key"]), variant_texts(e["value"]), as_array(e["value"]).isNotNull()))
+    choice = F.array(answered(F.lit("choice"), F.array(F.lower(F.try_variant_get(item, "$.choice", "string"))), F.lit(False)))
+    question = F.array(answered(F.lit("question"), variant_texts(item), as_array(item).isNotNull()))
+    none = F.array().cast("array<struct<question: string, answers: array<string>, is_multi: boolean>>")
+    return F.when(is_survey(item), F.concat(F.coalesce(given, none), choice)).otherwise(question)
 
 
 def task_type(value: Column) -> Column:
@@ -229,28 +235,24 @@ def task_overview(df: DataFrame, keep: Sequence[str] = ("classification_id",)) -
                        task_is_completed(F.col("task")).alias("is_completed"))
 
 
-def primary_answer(identification: Column, primary: str = MAIN_QUESTION) -> Column:
-    """The answer to the main question, null if it was not answered."""
-    found = F.filter(identification, lambda a: a["question"] == primary)
-    return F.array_join(F.get(found, F.lit(0))["answers"], "\t")
-
-
 def explode_classifications(df: DataFrame, columns: Sequence[str] = CLASSIFICATION_COLUMNS,
-                            rename: Mapping[str, str] | None = None, primary: str = MAIN_QUESTION,
-                            **mappings) -> DataFrame:
+                            rename: Mapping[str, str] = MappingProxyType({"subject_ids": "subject_id"}),
+                            names: Mapping[str, str] = QUESTION_NAMES, ignored: Sequence[str] = QUESTIONS_IGNORED,
+                            by_question: Mapping[str, Mapping[str, str]] = ANSWERS_BY_QUESTION,
+                            answers: Mapping[str, str] = ANSWERS) -> DataFrame:
     """One row per identification: classification columns, number and array of answers.
 
     If a classification gives the same main answer twice, its first identification is kept. The main
-    answers are carried along as an array, so the rule needs no shuffle.
+    answers are carried along as an array of the row, so the rule needs no shuffle.
     """
-    rows = df.select(*columns, identifications(F.col("annotations"), **mappings).alias("_found"))
-    rows = rows.withColumn("_primary", F.transform("_found", lambda i: primary_answer(i, primary)))
-    rows = rows.select(*columns, "_primary", F.posexplode("_found").alias("_no", "answers"))
-    rows = rows.withColumn("identification_no", F.col("_no") + 1)
-    first = F.array_position("_primary", F.get("_primary", F.col("_no"))) == F.col("identification_no")
-    return rows.where(first).drop("_no", "_primary").withColumnsRenamed(
-        dict(rename if rename is not None else {"subject_ids": "subject_id"})).select(
-        *[(rename or {"subject_ids": "subject_id"}).get(c, c) for c in columns], "identification_no", "answers")
+    rows = df.select(*columns, completed_items(F.col("annotations")).alias("_items"))
+    rows = rows.withColumn("_main", main_answers(F.col("_items"), names, by_question, answers))
+    # the outer form: for the inner one the optimizer adds a filter that parses the JSON a second time
+    rows = rows.select(*columns, "_main", F.posexplode_outer("_items").alias("_no", "_item"))
+    rows = rows.where(F.array_position("_main", F.get("_main", F.col("_no"))) == F.col("_no") + 1)
+    return rows.select(
+        *[F.col(c).alias(rename.get(c, c)) for c in columns], (F.col("_no") + 1).alias("identification_no"),
+        item_answers(F.col("_item"), names, ignored, by_question, answers).alias("answers"))
 
 
 def annotations_long(exploded: DataFrame) -> DataFrame:
