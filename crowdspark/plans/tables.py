@@ -7,6 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdspark.session import spread
+
 # unique within a subject
 ANNOTATION_ORDER = ("created_at", "line_no", "part_no", "price", "quantity")
 
@@ -101,7 +103,7 @@ class Tables:
         season = F.when(part % 7 == 0, "").otherwise(
             F.concat(F.lit(',"#season":"S'), (part % 2).cast("string"), F.lit('"')))
         anonymous = F.col("l_suppkey") % 10 == 0
-        return self.read("lineitem").select(
+        return spread(self.read("lineitem")).select(
             F.concat_ws("-", text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"),
                         quantity.cast("string")).alias("classification_id"),
             F.concat(F.when(anonymous, "not-logged-in-").otherwise("u"), text("l_suppkey")).alias("user_name"),

@@ -16,6 +16,8 @@ def local_session(cpus: int | str = "*", app: str = "crowdspark", shuffle_partit
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # no call-site capture for every column expression: it dominates the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -37,3 +39,13 @@ def stable(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="crowdspark-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores if the input has fewer splits than cores.
+
+    Quoted CSV with line breaks and small single-block files come as one split each; parsing their JSON
+    columns is the costly step. Inputs with enough splits are left alone.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
