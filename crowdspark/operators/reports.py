@@ -123,9 +123,10 @@ def balanced_sample(df: DataFrame, label: str, n: int, unique_id: str, seed: int
         "_smaller": F.coalesce(F.sum("_count").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_others": F.count(F.lit(1)).over(Window.partitionBy()) - F.row_number().over(by_size) + 1,
     })
-    # rows per label if all smaller labels are taken whole: the first label it does not exceed sets R
+    # rows per label if all smaller labels are taken whole; the first label that has as many sets R,
+    # and later labels only give lower levels
     level = F.ceil((F.col("_wanted") - F.col("_smaller")) / F.col("_others"))
-    counts = counts.withColumn("_level", F.min(F.when(level <= F.col("_count"), level)).over(Window.partitionBy()))
+    counts = counts.withColumn("_level", F.max(F.when(level <= F.col("_count"), level)).over(Window.partitionBy()))
     counts = counts.withColumn("_share", F.least("_count", F.coalesce("_level", "_count")))
     taken = F.coalesce(F.sum("_share").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.withColumn("_quota", F.greatest(F.lit(0), F.least("_share", F.col("_wanted") - taken)))

@@ -120,3 +120,82 @@ class Tables:
             text("l_orderkey").alias("subject_ids"),
             F.col("l_extendedprice").alias("price"),
         )
+
+    @cached_property
+    def subject_export(self) -> DataFrame:
+        """``orders`` as a subject export; two orders share a subject, so that the last row has to win."""
+        key, site = F.col("o_orderkey"), (F.col("o_custkey") % 50).cast("string")
+        urls = [F.when(key % 3 >= i, F.format_string(f'"{i}":"https://img.example.org/%d_{i}.jpg"', key)) for i in range(3)]
+        parts = [
+            F.format_string('"#season":"S%d"', F.year("o_orderdate") - 1994),
+            F.concat(F.lit('"#site":"C'), site, F.lit('"')),
+            F.when(key % 4 != 0, F.format_string('"#roll":"%d"', F.col("o_custkey") % 3 + 1)),
+            F.format_string('"#capture":"%d"', key),
+            F.when(key % 5 != 0, F.format_string('"#capture_id":"OR#C%s#%d"', site, key)),
+        ]
+        return self.read("orders").select(
+            F.floor(key / 2).cast("string").alias("subject_id"), "o_orderkey",
+            F.concat(F.lit("{"), F.concat_ws(",", *urls), F.lit("}")).alias("locations"),
+            F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("metadata"),
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("retired_at"),
+            F.col("o_orderstatus").alias("retirement_reason"),
+            F.lit("").alias("created_at"),
+        )
+
+    @cached_property
+    def order_captures(self) -> DataFrame:
+        """``orders`` as captures, one per order."""
+        key = F.col("o_orderkey")
+        return self.read("orders").select(
+            F.format_string("OR#Q%d#1#%d", key % 7, key).alias("capture_id"), F.lit("OR").alias("season"),
+            F.format_string("Q%d", key % 7).alias("site"), F.lit("1").alias("roll"),
+            key.cast("string").alias("capture"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("capture_date_local"),
+        )
+
+    def with_capture(self, aggregated: DataFrame) -> DataFrame:
+        """Give each subject the capture of the even order number, so that two subjects share one."""
+        key = F.col("subject_id").cast("bigint")
+        even = key - key % 2
+        return aggregated.withColumn("capture_id", F.format_string("OR#Q%d#1#%d", even % 7, even))
+
+    @cached_property
+    def species_predictions(self) -> DataFrame:
+        """``embeddings`` as species predictions; the first components are the scores."""
+        return self._predictions().select("capture_id", F.struct(
+            F.create_map(F.lit("species"), F.concat(F.lit("l"), text("label")), F.lit("eating"),
+                         F.when(F.get("embedding", F.lit(0)) > 0, "1").otherwise("0")).alias("predictions_top"),
+            F.create_map(F.lit("species"), score(0), F.lit("eating"), score(1)).alias("confidences_top"),
+            F.create_map(F.lit("species"), F.create_map(F.lit("l0"), score(0), F.lit("l1"), score(1), F.lit("l2"), score(2)),
+                         F.lit("eating"), F.create_map(F.lit("0"), score(3), F.lit("1"), score(4))).alias("aggregated_pred"),
+        ).alias("prediction"))
+
+    @cached_property
+    def empty_predictions(self) -> DataFrame:
+        """``embeddings`` as empty predictions of both label names, missing for every third capture."""
+        none = F.create_map().cast("map<string,string>")
+        is_even = F.col("vec_id") % 2 == 0
+        top = F.when(is_even, none).otherwise(F.create_map(
+            F.lit("is_blank"), F.when(F.get("embedding", F.lit(7)) > 0, "1").otherwise("0")))
+        scores = F.when(is_even, F.create_map(F.lit("empty"), F.create_map(
+            F.lit("empty"), score(5), F.lit("species"), score(6)))).otherwise(F.create_map(
+                F.lit("is_blank"), F.create_map(F.lit("0"), score(7), F.lit("1"), score(8))))
+        return self._predictions().where(F.col("vec_id") % 3 != 0).select("capture_id", F.struct(
+            top.alias("predictions_top"), none.alias("confidences_top"), scores.alias("aggregated_pred")).alias("prediction"))
+
+    def _predictions(self) -> DataFrame:
+        return self.read("embeddings").withColumn("capture_id", F.format_string("EM#%d#1#%d", F.col("label"), F.col("vec_id")))
+
+    @cached_property
+    def documents_as_files(self) -> DataFrame:
+        """``documents`` as files: path, size and content."""
+        folder = F.concat(F.col("lang"), F.lit("/"), F.col("lang"), F.when(F.col("doc_id") % 10 == 0, "-").otherwise("_"),
+                          F.when(F.col("doc_id") % 7 == 0, "r").otherwise("R"), F.replace("source", F.lit("src"), F.lit("")))
+        name = F.concat(F.lit("IMG"), text("doc_id"), F.when(F.col("doc_id") % 11 == 0, ".png").otherwise(".JPG"))
+        return self.read("documents").select(
+            "doc_id", F.concat(F.lit("/root/DOC/"), folder, F.lit("/"), name).alias("path"),
+            F.col("n_chars").alias("length"), F.encode("text", "utf-8").alias("content"))
+
+
+def score(component: int):
+    """A component as text, in thousandths."""
+    return F.floor(F.abs(F.get("embedding", F.lit(component)).cast("double")) * 1000).cast("string")
