@@ -90,28 +90,28 @@ def consolidate_annotations(df: DataFrame, order_by: Sequence[str], keys: Sequen
     """
     keys, order = list(keys), F.struct(*order_by)
     answers = [q for q in questions if q in df.columns and q not in keys and q != "count"]
-    others = [c for c in df.columns if c not in [*keys, *answers, "count", *order_by]]
-    rows = df.withColumn("_order", order)
-    marks = rows.groupBy(*keys).agg(
-        F.min(F.when(F.col("count").isin("", "51+"), F.col("_order"))).alias("_stop"), F.count(F.lit(1)).alias("_n"))
-    single, several = marks.where(F.col("_n") == 1), marks.where(F.col("_n") > 1)
-    kept = rows.join(single, keys, "left_semi").select(*df.columns)
-    repeated = rows.join(several, keys)
-    before = F.col("_stop").isNull() | (F.col("_order") < F.col("_stop"))
-    number = F.when(before, F.col("count").try_cast("int"))
-    folded = repeated.groupBy(*keys).agg(
-        F.count_if(F.col("count") == "11-50").alias("_mid"), F.count_if(F.col("count") == "51+").alias("_high"),
-        F.count_if(F.col("count") == "").alias("_empty"), F.coalesce(F.sum(number), F.lit(0)).alias("_sum"),
-        F.count(number).alias("_numbers"),
+    others = [c for c in df.columns if c not in [*keys, *answers, "count"]]
+    rows = df.withColumns({"_order": order, "_number": F.col("count").try_cast("int")})
+    folded = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("count") == "11-50").alias("_mid"),
+        F.count_if(F.col("count") == "51+").alias("_high"), F.count_if(F.col("count") == "").alias("_empty"),
+        F.sum("_number").alias("_sum"), F.min(F.when(F.col("count").isin("", "51+"), F.col("_order"))).alias("_stop"),
         *[F.max(a).alias(a) for a in answers],
-        F.max_by(F.struct(*others, *order_by), F.col("_order")).alias("_last"))
+        F.max_by(F.struct(*others, F.col("count").alias("_last_count")), "_order").alias("_last"))
+    # only groups that mix numbers with an empty or 51+ count need to know which came first
+    mixed = folded.where((F.col("_mid") == 0) & F.col("_stop").isNotNull() & F.col("_sum").isNotNull())
+    early = rows.select(*keys, "_order", "_number").join(mixed.select(*keys, "_stop"), keys).where(
+        F.col("_order") < F.col("_stop"))
+    early = early.groupBy(*keys).agg(F.sum("_number").alias("_early"), F.count("_number").alias("_n_early"))
     count = (
-        F.when(F.col("_mid") > 0, "11-50")
-        .when((F.col("_sum") > 10) & (F.col("_numbers") > 1), "11-50")
-        .when(F.col("_high") > 0, "51+").when(F.col("_empty") > 0, "").otherwise(F.col("_sum").cast("string"))
+        F.when(F.col("_n") == 1, F.col("_last._last_count"))
+        .when(F.col("_mid") > 0, "11-50")
+        .when(F.col("_stop").isNull(), F.when(F.col("_sum") > 10, "11-50").otherwise(F.col("_sum").cast("string")))
+        .when((F.col("_early") > 10) & (F.col("_n_early") > 1), "11-50")
+        .when(F.col("_high") > 0, "51+").otherwise("")
     )
-    folded = folded.select(*keys, *answers, count.alias("count"), "_last.*")
-    return kept.unionByName(folded.select(*df.columns))
+    result = folded.join(early, keys, "left")
+    return result.select(*keys, *answers, count.alias("count"), *[F.col(f"_last.{c}") for c in others]).select(*df.columns)
 
 
 def extract_legacy_annotations(df: DataFrame, subject_captures: DataFrame, images: DataFrame, order_by: Sequence[str],

@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ("consensus_queries", "capture_queries", "classification_queries", "report_queries")
+MODULES = (
+    "consensus_queries", "capture_queries", "classification_queries", "report_queries", "action_queries",
+)
 
 
 def load_all() -> None:
