@@ -199,3 +199,76 @@ class Tables:
 def score(component: int):
     """A component as text, in thousandths."""
     return F.floor(F.abs(F.get("embedding", F.lit(component)).cast("double")) * 1000).cast("string")
+
+
+def legacy_names(t: Tables) -> dict:
+    """Season, site and roll of an order in the spelling of the legacy export."""
+    key = F.col("key")
+    number = (key % 9 + 1).cast("string")
+    return {
+        "season": F.when(key % 50 == 0, "tutorial").when(key % 3 == 0, F.concat(F.lit("S"), number)).otherwise(number),
+        "site": F.format_string("B0%d", key % 5),
+        "roll": F.when(key % 2 == 0, "1").otherwise("r1"),
+    }
+
+
+def legacy_image(number):
+    return F.format_string("PICT%04d.JPG", number % 10000)
+
+
+def legacy_export(t: Tables) -> DataFrame:
+    """``lineitem`` as a legacy export; several rows may share a classification and a species."""
+    key, line, quantity = F.col("key"), F.col("l_linenumber"), F.col("l_quantity").cast("int")
+    first, second = legacy_image(key * 2), legacy_image(key * 2 + 1)
+    names = (
+        F.when(line == 1, "").when(line == 2, F.concat_ws(";", first, second, first, second)).when(line == 3, first)
+        .when(line == 4, F.concat_ws(";", second, first)).otherwise(F.lit("NONE0001.JPG"))
+    )
+    pair = F.concat("l_returnflag", "l_linestatus")
+    species = F.when(pair == "NO", "").when(pair == "NF", "nothing").when(pair == "AF", "zebra").otherwise("lion")
+    count = F.when(species.isin("", "nothing"), "").when(quantity > 45, "51+").when(quantity > 38, "11-50").when(
+        quantity > 36, "").otherwise((quantity % 9 + 1).cast("string"))
+    moving = F.when(F.col("l_tax") == 0, "").when(F.col("l_tax") >= 0.04, "true").otherwise("false")
+    return t.read("lineitem").withColumn("key", F.col("l_orderkey")).select(
+        F.concat_ws("-", text("l_orderkey"), (F.col("l_suppkey") % 5).cast("string")).alias("classification_id"),
+        F.concat(F.lit("u"), (F.col("l_suppkey") % 3).cast("string")).alias("user_name"),
+        text("l_orderkey").alias("subject_id"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+        F.lit("consensus").alias("retirement_reason"), *[v.alias(k) for k, v in legacy_names(t).items()],
+        names.alias("filenames"), species.alias("species"), count.alias("count"), moving.alias("moving"),
+        F.when(F.col("l_discount") >= 0.05, "true").otherwise("false").alias("eating"),
+        *[F.lit("").alias(c) for c in ("standing", "resting", "interacting", "young_present")],
+        line.alias("line_no"), F.col("l_partkey").alias("part_no"), F.col("l_extendedprice").alias("price"),
+    )
+
+
+def legacy_images(t: Tables) -> DataFrame:
+    """``orders`` as the image table of the legacy seasons, two images of different captures per order."""
+    rows = t.read("orders").where("o_orderkey % 50 <> 0").withColumn("key", F.col("o_orderkey")).select(
+        "key", *[v.alias(k) for k, v in legacy_names(t).items()], "o_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
+    return rows.select(
+        "season", "site", "roll", (F.col("o_custkey") + F.col("n")).cast("string").alias("capture"),
+        F.concat(F.lit("any/path/"), legacy_image(F.col("key") * 2 + F.col("n"))).alias("path"))
+
+
+def legacy_subjects(t: Tables) -> DataFrame:
+    """Known captures of every fourth order."""
+    return t.read("orders").where(F.col("o_orderkey") % 4 == 0).select(
+        text("o_orderkey").alias("subject_id"), F.format_string("SER_S9#X#1#%d", F.col("o_orderkey")).alias("capture_id"))
+
+
+def training_source(t: Tables) -> DataFrame:
+    """``lineitem`` as database rows of a training file."""
+    number, part = F.col("l_suppkey"), F.col("l_partkey")
+    name = F.when(part % 3 == 0, F.format_string("PICT%d.JPG", part)).when(
+        part % 3 == 1, F.format_string("IMG_%d.JPG", part)).otherwise(
+        F.format_string("S%d_A%d_R1_IMAG%d.JPG", F.col("l_linenumber"), number, part))
+    return t.read("lineitem").select(
+        F.col("l_linenumber").cast("string").alias("season"), F.format_string("A%d", number).alias("site"),
+        F.lit("1").alias("roll"), (F.col("l_orderkey") % 100).cast("string").alias("capture"),
+        F.concat(F.format_string("S%d/A%d/A%d_R1/", F.col("l_linenumber"), number, number), name).alias("path"),
+        F.when(F.col("l_quantity") == 1, "unknown").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
+        F.when(F.col("l_returnflag") == "N", "0").otherwise("1").alias("n_species"),
+        F.when(F.col("l_returnflag") == "A", "Zebra").otherwise("LION").alias("species"),
+        F.when(F.col("l_quantity") > 40, "51+").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("count"),
+        F.when(F.col("l_tax") == 0, "none").otherwise((F.col("l_tax") * 10).cast("string")).alias("Standing"),
+        "l_orderkey", part.alias("part_no"), F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("shipped"))
