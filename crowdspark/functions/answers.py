@@ -39,4 +39,4 @@ def half_up_answer(value: Column) -> Column:
 
 def two_decimals(number: Column) -> Column:
     """Decimal text with two places, as the exports print shares."""
-    return F.format_string("%.2f", F.bround(number, 2))
+    return F.when(number.isNotNull(), F.format_string("%.2f", F.bround(number, 2)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,15 +33,18 @@ def stable(df: DataFrame) -> DataFrame:
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session may fall
     back to a temporary folder: on a cluster a machine-local folder would be lost with its executor.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="crowdspark-checkpoint-"))
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        _set_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def _set_checkpoint_dir(spark: SparkSession) -> None:
+    sc, shared = spark.sparkContext, spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="crowdspark-checkpoint-"))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows over all cores if the input has fewer splits than cores.
 
@@ -49,3 +53,11 @@ def spread(df: DataFrame) -> DataFrame:
     """
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder next to the checkpoints, where all executors can read and write."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        _set_checkpoint_dir(spark)
+    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -163,9 +164,13 @@ def read_seasons(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def read_reports(spark: SparkSession, root: str, postfix: str = "_report.csv") -> DataFrame:
-    """All reports below ``root/*/`` in one read, with ``season_id`` from the file name."""
+    """All reports ``root/<site>/<season id><postfix>`` in one read, with ``season_id`` from the name.
+
+    A report may be one file or the folder that a Spark job wrote.
+    """
     reports = spark.read.options(header=True, escape='"').csv(f"{root}/*/*{postfix}")
-    return reports.na.fill("").withColumn("season_id", F.replace(F.col("_metadata.file_name"), F.lit(postfix), F.lit("")))
+    season = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]*)" + re.escape(postfix), 1)
+    return reports.withColumn("season_id", season).na.fill("")
 
 
 def subject_urls(subjects: DataFrame, quality: str = "standard", n: int = 3, prefix: str = "url_") -> DataFrame:
