@@ -79,30 +79,46 @@ def match_conditions(conditions: Mapping[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c) == v for c, v in conditions.items()], F.lit(True))
 
 
-def is_well_formed(columns: Sequence[str]) -> Column:
-    """All required columns exist and are filled in, and the JSON columns parse."""
+def is_complete(columns: Sequence[str]) -> Column:
+    """All required columns exist and are filled in."""
     if not set(REQUIRED_CLASSIFICATION_COLUMNS) <= set(columns):
         return F.lit(False)
-    parses = [F.try_parse_json(c).isNotNull() for c in ("annotations", "metadata", "subject_data") if c in columns]
-    filled = [F.col(c).isNotNull() for c in REQUIRED_CLASSIFICATION_COLUMNS]
-    return reduce(lambda a, b: a & b, [*filled, *parses])
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in REQUIRED_CLASSIFICATION_COLUMNS])
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def with_reject_reason(df: DataFrame, workflow_id: str | None = None, version_min: str | None = None,
                        start: str | None = None, end: str | None = None, season: str | None = None,
                        include_not_live: bool = False, use_seen_before: bool = False) -> DataFrame:
-    """The first filter each row fails, null for rows that pass all. Cheap filters come before the JSON ones."""
-    metadata = F.try_parse_json("metadata")
+    """The first filter each row fails, null for rows that pass all.
+
+    The filters on plain columns come first; JSON text is parsed only for rows that pass them, each
+    column once. Rows whose JSON does not parse are ``malformed``.
+    """
+    def by_season(live_or_malformed: Column, seen: Column) -> Column:
+        if not season:
+            return live_or_malformed.when(seen, "seen_before")
+        found = subject_season(F.col("subject_data"), F.col("subject_ids"))
+        return live_or_malformed.when(found != season, "season_does_not_match").when(seen, "seen_before")
+
+    def by_metadata(metadata: Column) -> Column:
+        reason = F.when(metadata.isNull(), "malformed")
+        if not include_not_live:
+            reason = reason.when(~is_live(metadata), "project_is_not_live")
+        reason = by_season(reason, already_seen(metadata, use_seen_before))
+        return reason.when(F.try_parse_json("annotations").isNull(), "malformed")
+
     reason = (
-        F.when(~is_eligible_workflow(workflow_id, version_min), "not_eligible_workflow")
+        F.when(~is_complete(df.columns), "malformed")
+        .when(~is_eligible_workflow(workflow_id, version_min), "not_eligible_workflow")
         .when(~in_date_range(start, end), "not_in_date_range")
-        .when(~is_well_formed(df.columns), "malformed")
+        .otherwise(once(F.try_parse_json("metadata"), by_metadata))
     )
-    if not include_not_live:
-        reason = reason.when(~is_live(metadata), "project_is_not_live")
-    if season:
-        reason = reason.when(subject_season(F.col("subject_data"), F.col("subject_ids")) != season, "season_does_not_match")
-    return df.withColumn("reject_reason", reason.when(already_seen(metadata, use_seen_before), "seen_before"))
+    return df.withColumn("reject_reason", reason)
 
 
 CLASSIFICATION_KEY = ("user_name", "subject_ids", "workflow_id")

@@ -13,6 +13,7 @@ from crowdspark.functions.text import capture_id as build_capture_id
 from crowdspark.operators.captures import remove_flagged
 from crowdspark.operators.ordering import group_positions
 from crowdspark.operators.predictions import update_map
+from crowdspark.session import stable
 
 EMPTY_MAP = "map<string,string>"
 
@@ -51,8 +52,10 @@ def batch_assign(df: DataFrame, order_by: Sequence[str], n_batches: int | None =
                  seed: int | None = None, unique_id: str = "capture_id", **options) -> DataFrame:
     """Add ``batch``, 1 to n: near-equal runs of the rows in order, or in a repeatable random order.
 
-    Batch b ends at row ``round(b * N / n)``, halves rounded to even.
+    Batch b ends at row ``round(b * N / n)``, halves rounded to even. The input is counted and numbered,
+    so it is checkpointed first.
     """
+    df = stable(df)
     total = df.agg(F.count(F.lit(1))).scalar()
     rows = df
     if seed is not None:

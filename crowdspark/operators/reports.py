@@ -14,6 +14,7 @@ from crowdspark.functions.answers import half_up_answer
 from crowdspark.functions.hashing import shuffle_key
 from crowdspark.operators.consensus import answer_shares, question_columns
 from crowdspark.operators.ordering import group_positions
+from crowdspark.session import stable
 
 
 def merge_tables(base: DataFrame, add: DataFrame, key: str, new_columns: str = "right") -> DataFrame:
@@ -114,8 +115,10 @@ def balanced_sample(df: DataFrame, label: str, n: int, unique_id: str, seed: int
 
     Every label gives up to R rows, with the smallest R that reaches ``n``; the labels are filled from
     the rarest to the commonest. Rows of a label are chosen by a repeatable random order of their id.
-    The quota of each label comes from the label counts, so no row leaves its partition for it.
+    The quota of each label comes from the label counts. The input is read three times, so it is
+    checkpointed first.
     """
+    df = stable(df)
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
     by_size = Window.orderBy("_count", F.col(label).desc())
     counts = counts.withColumns({

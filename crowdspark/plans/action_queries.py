@@ -13,6 +13,7 @@ from crowdspark.plans.capture_queries import flagged
 from crowdspark.plans.registry import query
 from crowdspark.plans.sql_views import REQUIRES, VIEWS
 from crowdspark.plans.tables import Tables
+from crowdspark.session import stable
 from crowdspark.sources.readers import inventory_from_paths
 
 LIST_COLUMNS = ("action_no", *actions.TARGETS, "action_to_take", "action_to_take_reason", "datetime_current", "datetime_new")
@@ -127,7 +128,7 @@ def action_scope(t: Tables) -> DataFrame:
 @query("v_actions", "SELECT * FROM v_actions")
 def generate_actions(t: Tables) -> DataFrame:
     """The images of site, roll, range and single-image actions."""
-    images = flagged(t)
+    images = stable(flagged(t))
     return actions.generate_actions(action_list(t, images), images)
 
 
@@ -138,7 +139,7 @@ SELECT action_no, problem FROM (
   FROM v_flagged GROUP BY site)""")
 def range_problems(t: Tables) -> DataFrame:
     """Ranges that run backwards or name unknown images."""
-    images = flagged(t)
+    images = stable(flagged(t))
     place = F.col("image_rank_in_roll")
     ranges = images.groupBy("site").agg(
         F.min_by("image_name", F.when(F.col("roll") == "3", place)).alias("first"),
@@ -155,7 +156,7 @@ FROM (SELECT image, action, count(*) AS n FROM (SELECT image, action FROM v_acti
   SELECT image, 'timechange' FROM v_actions WHERE action = 'timechange') GROUP BY 1, 2) WHERE n > 1""")
 def repeated_actions(t: Tables) -> DataFrame:
     """Images with the same action twice."""
-    images = flagged(t)
+    images = stable(flagged(t))
     generated = actions.generate_actions(action_list(t, images), images)
     extra = generated.where(F.col("action").isin("invalidate", "timechange")).withColumn("action", F.lit("timechange"))
     return actions.repeated_actions(generated.unionByName(extra)).withColumn("is_error", F.col("is_error").cast("int"))
@@ -176,7 +177,7 @@ SELECT image_name, strftime(datetime + to_seconds(coalesce(shift, 0)), '%Y-%m-%d
 FROM v_flagged LEFT JOIN per_image ON image = image_name""")
 def apply_actions(t: Tables) -> DataFrame:
     """Times shifted, flags set, actions and reasons appended."""
-    images = flagged(t)
+    images = stable(flagged(t))
     done = actions.apply_actions(images, actions.generate_actions(action_list(t, images), images))
     return done.select("image_name", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "action_taken",
                        "action_taken_reason", "image_was_deleted", "image_is_invalid", "image_no_upload",
@@ -187,7 +188,7 @@ def apply_actions(t: Tables) -> DataFrame:
 SELECT image, action FROM v_actions WHERE image NOT IN (SELECT image_name FROM v_flagged WHERE event_type <> 'view')""")
 def unknown_images(t: Tables) -> DataFrame:
     """Actions for images the captures lack."""
-    images = flagged(t)
+    images = stable(flagged(t))
     generated = actions.generate_actions(action_list(t, images), images)
     return actions.unknown_images(generated, images.where(F.col("event_type") != "view")).select("image", "action")
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from crowdspark.session import spread
 
-# unique within a subject
-ANNOTATION_ORDER = ("created_at", "line_no", "part_no", "price", "quantity")
+# unique within a subject; the same order as (created_at, line_no, part_no, quantity)
+ANNOTATION_ORDER = ("position",)
 
 
 def text(column: str):
@@ -59,6 +59,8 @@ class Tables:
             F.when((pair == "NO") | (F.col("l_tax") == 0), "").when(F.col("l_tax") >= 0.04, "1").otherwise("0")
         )
         young = F.when(pair == "NO", "").when(F.col("l_discount") >= 0.08, "1").otherwise("0")
+        day = F.unix_date(F.to_date("l_shipdate")).cast("bigint")
+        position = ((day * 16 + F.col("l_linenumber")) * F.lit(2**31) + F.col("l_partkey")) * 64 + F.col("l_quantity").cast("int")
         return self.read("lineitem").select(
             text("l_orderkey").alias("subject_id"),
             F.concat(F.lit("u"), text("l_suppkey")).alias("user_name"),
@@ -67,7 +69,7 @@ class Tables:
             standing.alias("question__standing"), young.alias("question__young_present"),
             F.col("l_shipdate").alias("created_at"), F.col("l_linenumber").alias("line_no"),
             F.col("l_partkey").alias("part_no"), F.col("l_extendedprice").alias("price"),
-            F.col("l_quantity").alias("quantity"),
+            F.col("l_quantity").alias("quantity"), position.alias("position"),
         )
 
     @cached_property
@@ -229,7 +231,7 @@ def legacy_export(t: Tables) -> DataFrame:
     count = F.when(species.isin("", "nothing"), "").when(quantity > 45, "51+").when(quantity > 38, "11-50").when(
         quantity > 36, "").otherwise((quantity % 9 + 1).cast("string"))
     moving = F.when(F.col("l_tax") == 0, "").when(F.col("l_tax") >= 0.04, "true").otherwise("false")
-    return t.read("lineitem").withColumn("key", F.col("l_orderkey")).select(
+    return spread(t.read("lineitem")).withColumn("key", F.col("l_orderkey")).select(
         F.concat_ws("-", text("l_orderkey"), (F.col("l_suppkey") % 5).cast("string")).alias("classification_id"),
         F.concat(F.lit("u"), (F.col("l_suppkey") % 3).cast("string")).alias("user_name"),
         text("l_orderkey").alias("subject_id"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
@@ -262,7 +264,7 @@ def training_source(t: Tables) -> DataFrame:
     name = F.when(part % 3 == 0, F.format_string("PICT%d.JPG", part)).when(
         part % 3 == 1, F.format_string("IMG_%d.JPG", part)).otherwise(
         F.format_string("S%d_A%d_R1_IMAG%d.JPG", F.col("l_linenumber"), number, part))
-    return t.read("lineitem").select(
+    return spread(t.read("lineitem")).select(
         F.col("l_linenumber").cast("string").alias("season"), F.format_string("A%d", number).alias("site"),
         F.lit("1").alias("roll"), (F.col("l_orderkey") % 100).cast("string").alias("capture"),
         F.concat(F.format_string("S%d/A%d/A%d_R1/", F.col("l_linenumber"), number, number), name).alias("path"),
