@@ -127,3 +127,6 @@ PLURALITY_COLUMNS_EXTENDED = (
 
 # Groups above this many rows are never put into one window task; see operators.ordering.
 HOT_GROUP_ROWS = 2_000_000
+
+# Values found in the data that become columns (answers, prediction labels); more are an error.
+MAX_COLUMNS = 5_000

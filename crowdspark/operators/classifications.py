@@ -10,11 +10,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from types import MappingProxyType
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from crowdspark.defaults import (
-    ANSWERS, ANSWERS_BY_QUESTION, CLASSIFICATION_COLUMNS, QUESTION_DELIMITER, QUESTION_NAMES,
+    ANSWERS, ANSWERS_BY_QUESTION, CLASSIFICATION_COLUMNS, MAX_COLUMNS, QUESTION_DELIMITER, QUESTION_NAMES,
     QUESTION_ORDER, QUESTION_PREFIX, QUESTIONS_IGNORED, REQUIRED_CLASSIFICATION_COLUMNS,
 )
 from crowdspark.functions.text import lookup
@@ -283,17 +283,24 @@ def question_domain(long: DataFrame) -> DataFrame:
     return long.groupBy("question", "answer").agg(F.bool_or("is_multi").alias("is_multi"))
 
 
+def bounded_rows(df: DataFrame, limit: int = MAX_COLUMNS) -> list[Row]:
+    """The rows of a table whose values become columns; too many of them are an error."""
+    found = df.limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} values would become columns; pass the wanted ones")
+    return found
+
+
 def collect_domain(long: DataFrame) -> tuple[list[str], dict[str, list[str]]]:
     """Single-answer questions, and the answers of each multi-answer question, in column order.
 
-    Runs one aggregate; only multi-answer questions, whose answers become columns, reach the driver
-    with their answers.
+    Only what becomes a column reaches the driver: the questions, and the answers of multi-answer
+    questions. More than ``MAX_COLUMNS`` of them is an error, not a cut.
     """
-    questions = question_domain(long).groupBy("question").agg(F.bool_or("is_multi").alias("is_multi"))
-    kinds = {r["question"]: r["is_multi"] for r in questions.toLocalIterator()}
+    questions = long.groupBy("question").agg(F.bool_or("is_multi").alias("is_multi"))
+    kinds = {r["question"]: r["is_multi"] for r in bounded_rows(questions)}
     multi: dict[str, list[str]] = {}
-    choices = long.where("is_multi").select("question", "answer").distinct().orderBy("question", "answer")
-    for row in choices.toLocalIterator():
+    for row in sorted(bounded_rows(long.where("is_multi").select("question", "answer").distinct())):
         multi.setdefault(row["question"], []).append(row["answer"])
     return ordered_questions([q for q, is_multi in sorted(kinds.items()) if not is_multi]), multi
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crowdspark.operators.classifications import bounded_rows
 from crowdspark.operators.ordering import first_n_per_group
 
 PREDICTION_STRUCT = (
@@ -84,8 +85,8 @@ def combine_predictions(empty: DataFrame, species: DataFrame) -> DataFrame:
 
 def prediction_names(flat: DataFrame) -> list[str]:
     """The sorted names that occur in the flat predictions: one distinct job over map keys."""
-    names = flat.select(F.explode(F.map_keys("predictions")).alias("name")).distinct().orderBy("name")
-    return [row["name"] for row in names.toLocalIterator()]
+    names = flat.select(F.explode(F.map_keys("predictions")).alias("name")).distinct()
+    return sorted(row["name"] for row in bounded_rows(names))
 
 
 def spread_predictions(flat: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -19,6 +19,7 @@ def local_session(cpus: int | str = "*", app: str = "crowdspark", shuffle_partit
         .config("spark.driver.memory", "8g")
         # no call-site capture for every column expression: it dominates the time to build a plan
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

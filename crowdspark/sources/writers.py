@@ -32,10 +32,13 @@ def project_cleaned(df: DataFrame, first: Sequence[str] = CLEANED_FIRST_COLUMNS,
 
 
 def write_table(df: DataFrame, path: str, first: Sequence[str] = (), mode: str = "error") -> None:
-    """CSV with the listed columns first and the rows sorted by them."""
+    """CSV with the listed columns first and the rows sorted by them.
+
+    A hash of the row breaks ties, so that equal keys do not all end in one task.
+    """
     ordered = df.select(*first_then_rest(df.columns, first))
     keys = [c for c in first if c in df.columns]
-    (ordered.orderBy(*keys) if keys else ordered).write.mode(mode).options(header=True, escape='"').csv(path)
+    (ordered.orderBy(*keys, F.xxhash64(*df.columns)) if keys else ordered).write.mode(mode).options(header=True, escape='"').csv(path)
 
 
 def split_by_season(df: DataFrame, path: str, mode: str = "error") -> None:
