@@ -55,8 +55,8 @@ def image_name(rank: Column, original: Column) -> Column:
 
 def season_path(path: Column, season: Column) -> Column:
     """Prefix a relative path by its season unless its first part already is the season."""
-    first = F.regexp_extract(path, "^/*([^/]*)", 1)
-    return F.when(first == season, path).otherwise(F.concat_ws("/", season, path))
+    first = F.regexp_extract(path, "^([^/]*)", 1)
+    return F.when((first == season) | path.startswith("/"), path).otherwise(F.concat_ws("/", season, path))
 
 
 def correct_image_name(path: Column) -> Column:

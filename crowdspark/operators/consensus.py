@@ -15,6 +15,7 @@ from crowdspark.functions.answers import (
     count_to_ordinal, ordinal_to_count, rounded_answer, two_decimals,
 )
 from crowdspark.operators.ordering import first_n_per_group
+from crowdspark.session import stable
 
 
 def question_columns(columns: Sequence[str]) -> list[str]:
@@ -120,16 +121,19 @@ def plurality_consensus(
     empty: str = EMPTY_ANSWER, questions: Sequence[str] | None = None,
     count_questions: Sequence[str] = COUNT_QUESTIONS, modes: Sequence[str] = COUNT_MODES,
     ordinals: Mapping[str, int] = COUNT_ORDINALS, consensus_only: bool = False, text_decimals: bool = False,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """One row per subject and species, flagged if the species is part of the consensus.
 
     A subject is blank if more users saw nothing than saw something; then ``blank`` is the consensus.
     Otherwise the ``median`` most named species are, where ``median`` is the high median of the species
     per user. ``order_by`` decides ties between equally often named species (first named wins).
-    A single numeric order column is the fastest: its minimum stays in a hash aggregate.
-    Every count is aggregated before its shuffle; no list of rows is built for a subject.
+    A single numeric order column is the fastest: its minimum stays in a hash aggregate. The annotations
+    are read four times, each time with few columns: pass a stored table, or set ``checkpoint`` if they
+    come from a costly plan. Every count is aggregated before its shuffle; no list of rows is built for a subject.
     """
     keys = list(keys)
+    annotations = stable(annotations) if checkpoint else annotations
     questions = list(questions) if questions is not None else question_columns(annotations.columns)
     types = question_types(questions, count_questions)
     order = order_by[0] if len(order_by) == 1 else "_order"
@@ -182,11 +186,14 @@ def first_n_users(annotations: DataFrame, n: int, order_by: Sequence[str], subje
 
 def plurality_by_first_n_users(annotations: DataFrame, n_users: Sequence[int], order_by: Sequence[str],
                                subject: str = "subject_id", user: str = "user_name", **options) -> DataFrame:
-    """The consensus from the first n users of each subject, for every n of ``n_users``."""
+    """The consensus from the first n users of each subject, for every n of ``n_users``.
+
+    The chosen annotations come from a join and are read several times, so they are checkpointed.
+    """
     ranked = first_n_users(annotations, max(n_users), order_by, subject, user)
     sizes = F.filter(F.array(*[F.lit(n) for n in n_users]), lambda n: n >= F.col("user_rank"))
     spread = ranked.withColumn("max_users_used", F.explode(sizes)).drop("user_rank")
-    return plurality_consensus(spread, order_by, keys=(subject, "max_users_used"), user=user, **options)
+    return plurality_consensus(stable(spread), order_by, keys=(subject, "max_users_used"), user=user, **options)
 
 
 def answer_shares(df: DataFrame, questions: Sequence[str], keys: Sequence[str] = (), places: int = 1,

@@ -11,6 +11,7 @@ from crowdspark.defaults import EMPTY_ANSWER, LEGACY_FLAG_QUESTIONS, LEGACY_QUES
 from crowdspark.functions import text
 from crowdspark.functions.text import filled
 from crowdspark.operators.consensus import answer_shares
+from crowdspark.session import stable
 
 MAX_IMAGES = 3
 
@@ -116,11 +117,14 @@ def consolidate_annotations(df: DataFrame, order_by: Sequence[str], keys: Sequen
 
 def extract_legacy_annotations(df: DataFrame, subject_captures: DataFrame, images: DataFrame, order_by: Sequence[str],
                                prefix: str = LEGACY_SEASON_PREFIX) -> DataFrame:
-    """Eligible legacy annotations with their capture, consolidated per classification and species."""
+    """Eligible legacy annotations with their capture, consolidated per classification and species.
+
+    The resolved rows are needed several times, so they are checkpointed.
+    """
     resolved = resolve_captures(df, subject_captures, images, prefix).where(F.col("reject_reason").isNull())
     mapped = map_legacy_answers(resolved.drop("reject_reason"))
     with_capture = mapped.withColumn("capture", F.element_at(F.split("capture_id", "#"), -1))
-    return consolidate_annotations(first_classification_rows(with_capture, order_by), order_by)
+    return consolidate_annotations(first_classification_rows(stable(with_capture), order_by), order_by)
 
 
 def reject_stats(resolved: DataFrame) -> DataFrame:

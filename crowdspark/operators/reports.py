@@ -27,7 +27,11 @@ def merge_tables(base: DataFrame, add: DataFrame, key: str, new_columns: str = "
 
 
 def deduplicate_captures(aggregated: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """The first subject of a capture wins; every row of a losing subject is dropped, in all captures."""
+    """The first subject of a capture wins; every row of a losing subject is dropped, in all captures.
+
+    The aggregations are needed three times, so they are checkpointed first.
+    """
+    aggregated = stable(aggregated)
     firsts = aggregated.groupBy("capture_id").agg(
         F.min_by("subject_id", F.struct(*order_by)).alias("_first"))
     pairs = aggregated.select("capture_id", "subject_id").distinct()

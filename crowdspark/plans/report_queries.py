@@ -424,3 +424,21 @@ def manifest_file_parts(t: Tables) -> DataFrame:
     name = F.concat(F.lit("/out/EV__batch_"), F.col("roll"), F.lit("__"), F.col("site"), F.lit("_manifest.json"))
     kept = checked(t).join(manifest(t).select("capture_id"), "capture_id", "left_semi").withColumn("file", name)
     return kept.select("site", *[manifest_file_part(F.col("file"), p).alias(p) for p in ("id", "batch", "name")]).distinct()
+
+
+@query("v_eligible v_extracted", """
+WITH v_some AS (
+  SELECT e.classification_id, e.user_name, e.subject_ids AS subject_id, species AS question__species, animals AS question__count,
+    moving AS question__moving, e.created_at, identification_no, e.price
+  FROM v_eligible e JOIN v_extracted x ON e.classification_id = x.classification_id AND e.price = x.price)
+SELECT subject_id, question__species, count(DISTINCT classification_id) AS n_users_identified_this_species FROM (
+  SELECT *, count(DISTINCT CASE WHEN question__species <> 'blank' THEN user_name END) OVER (PARTITION BY subject_id) AS n_some,
+    count(DISTINCT user_name) OVER (PARTITION BY subject_id) AS n_all FROM v_some)
+WHERE question__species <> 'blank' OR n_all - n_some > n_some GROUP BY 1, 2""")
+def export_to_consensus(t: Tables) -> DataFrame:
+    """From the JSON export to the labels: F7, R1, R2 and A1 in one plan."""
+    from crowdspark.operators.classifications import extract_annotations
+    from crowdspark.plans.classification_queries import FILTERS, MULTI, ORDER, SINGLE
+    annotations = extract_annotations(t.classifications, ORDER, SINGLE, MULTI, **FILTERS)
+    labels = consensus.plurality_consensus(annotations, ["created_at", "classification_id", "identification_no"], checkpoint=True)
+    return labels.select("subject_id", "question__species", "n_users_identified_this_species")
