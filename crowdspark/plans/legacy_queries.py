@@ -19,7 +19,7 @@ ORDER = ("created_at", "line_no", "part_no", "price")
 NAMES_SQL = """CASE WHEN k % 50 = 0 THEN 'tutorial' WHEN k % 3 = 0 THEN 'S' || (k % 9 + 1) ELSE CAST(k % 9 + 1 AS VARCHAR) END AS season,
   'B0' || (k % 5) AS site, CASE WHEN k % 2 = 0 THEN '1' ELSE 'r1' END AS roll,
   CASE WHEN k % 50 = 0 THEN 'SER_Stutorial' ELSE 'SER_S' || (k % 9 + 1) END AS season_id"""
-IMAGE_SQL = "'PICT' || printf('%04d', ({}) % 10000) || '.JPG'"
+IMAGE_SQL = "'PICT' || (({0}) // 10000) || 'X' || printf('%04d', ({0}) % 10000) || '.JPG'"
 VIEWS["v_legacy"] = f"""
 SELECT *, CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN first || ';' || second || ';' || first || ';' || second WHEN 3 THEN first
     WHEN 4 THEN second || ';' || first ELSE 'NONE0001.JPG' END AS filenames,

@@ -49,8 +49,8 @@ SELECT * EXCLUDE (capture, image_rank_in_roll),
        CAST(row_number() OVER (PARTITION BY season, site, roll, capture ORDER BY image_rank_in_roll) AS INTEGER)
          AS image_rank_in_capture,
        season || '#' || site || '#' || roll || '#' || CAST(capture AS INTEGER) AS capture_id,
-       round(seconds_to_last_image_taken / 86400.0, 2) AS days_to_last_image_taken,
-       round(seconds_to_next_image_taken / 86400.0, 2) AS days_to_next_image_taken,
+       floor(seconds_to_last_image_taken / 864.0 + 0.5) / 100.0 AS days_to_last_image_taken,
+       floor(seconds_to_next_image_taken / 864.0 + 0.5) / 100.0 AS days_to_next_image_taken,
        season || '_' || site || '_R' || roll || '_IMAG' || printf('%04d', image_rank_in_roll) || '.JPG' AS image_name
 FROM v_numbered"""
 

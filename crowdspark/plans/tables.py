@@ -215,7 +215,7 @@ def legacy_names(t: Tables) -> dict:
 
 
 def legacy_image(number):
-    return F.format_string("PICT%04d.JPG", number % 10000)
+    return F.format_string("PICT%dX%04d.JPG", F.floor(number / 10000), number % 10000)
 
 
 def legacy_export(t: Tables) -> DataFrame:
