@@ -58,7 +58,7 @@ def action_list(t: Tables, images: DataFrame) -> DataFrame:
     ends = images.where((number == 5) & (F.col("roll") <= "2")).groupBy("site").agg(
         F.min_by("image_name", place).alias("first"), F.max_by("image_name", place).alias("last"))
     wide = images.where(F.col("site").between("U30", "U39")).agg(
-        F.min_by("image_name", place).alias("first"), F.max_by("image_name", place).alias("last"))
+        F.min_by("image_name", place).alias("first"), F.max_by("image_name", place).alias("last")).where("first IS NOT NULL")
     parts = [
         list_rows(sites.where(number == 3), action_no=F.concat(lit("a"), "site"), action_site=F.col("site"),
                   action_to_take=lit("timechange"), action_to_take_reason=lit("clock"),
