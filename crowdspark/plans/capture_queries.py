@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdspark.functions import text, times
+from crowdspark.functions import times
 from crowdspark.operators import captures, ordering, quality
 from crowdspark.plans.registry import query
 from crowdspark.plans.sql_views import REQUIRES, VIEWS
