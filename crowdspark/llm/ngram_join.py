@@ -7,6 +7,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +19,12 @@ FREQUENCY_BITS = 18
 #: MinHash values by which a set finds the set it is first compared with.
 LEADERS = 8
 #: Parts of the hash space whose counts bound the overlap of two sets.
-PARTS = 8
+PARTS = 256
+#: Documents of candidate pairs are broadcast to find their texts up to so many, about 12 MB; beyond, texts
+#: are shuffled.
+BROADCAST_ROWS = 500_000
 
-SETS = "doc_id long, n long, set_id long, leaders array<long>, parts array<int>, prefix array<long>"
+SETS = "row long, doc_id long, n long, set_id long, leaders array<long>, parts array<int>, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -67,8 +71,9 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per document: set size, set id, MinHash leaders, counts by part of the hash space, rare-first prefix."""
+    """Per document: row number, set size, set id, MinHash leaders, counts by part of the hash space, rare-first prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
         for batch in small_slices(batches):
             hashes, _, _, bounds = words(batch.column("text"), lower=True)
             sizes, ids, leaders, parts, prefixes = [], [], [], [], []
@@ -88,8 +93,9 @@ def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS
                 parts.append(np.diff(np.append(np.searchsorted(s, _EDGES), len(s))).astype(np.int32))
                 order = np.argsort(frequencies[s >> np.uint64(64 - FREQUENCY_BITS)], kind="stable")
                 prefixes.append(s[order[: prefix_length(len(s), percent)]].astype(np.int64))
+            row += batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
+                pa.array(np.arange(row - batch.num_rows, row)), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
                 pa.array(leaders, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())),
                 pa.array(prefixes, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
 
@@ -110,8 +116,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, n_words: int = WORDS) -> Data
                                               pa.array([sets[i].tobytes() for i in right], pa.binary())],
                                              names=["set_id", "shingles"])
 
-    return (_texts(docs).join(wanted, "doc_id").select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
-            .groupBy("set_id").agg(F.any_value("shingles").alias("shingles")))
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = _texts(docs).join(F.broadcast(wanted) if few else wanted, "doc_id")
+    return texts.select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -132,42 +139,51 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def linkable(percent: int):
-    """Whether sizes ``n, m`` and part counts ``p, q`` allow a link: length and suffix filters."""
+def linkable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` whose sizes and counts by part allow a link: length and suffix filters."""
     needed = f"cast(ceil({percent} * (n + m) / {100 + percent}D - 1e-9) as bigint)"
-    return F.expr(
+    first = sets.select(F.col("set_id").alias("a"), "n", F.col("parts").alias("p"))
+    second = sets.select(F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("parts").alias("q"))
+    return pairs.join(first, "a").join(second, "b").where(
         f"100 * least(n, m) >= {percent} * greatest(n, m) and "
-        f"aggregate(zip_with(p, q, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {needed}")
+        f"aggregate(zip_with(p, q, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {needed}").select("a", "b")
 
 
-def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
+def leader_pairs(sets: DataFrame) -> DataFrame:
     """Pairs of a set and the smallest set that shares one of its MinHash values: at most LEADERS for a set."""
-    keys = sets.select("set_id", "n", "parts", F.explode("leaders").alias("key"))
-    least = keys.groupBy("key").agg(F.min(F.struct("set_id", "n", "parts")).alias("first"), F.count("*").alias("times")).where(
-        "times > 1").select("key", "first")
-    return keys.join(least, "key").select(
-        F.col("set_id").alias("a"), F.col("first.set_id").alias("b"), "n", F.col("parts").alias("p"),
-        F.col("first.n").alias("m"), F.col("first.parts").alias("q")).where(F.col("a") != F.col("b")).where(
-        linkable(percent)).select("a", "b").distinct()
+    keys = sets.select("set_id", F.explode("leaders").alias("key"))
+    least = keys.groupBy("key").agg(F.min("set_id").alias("b"), F.count("*").alias("times")).where("times > 1").select("key", "b")
+    return keys.join(least, "key").where("set_id <> b").select(F.col("set_id").alias("a"), "b").distinct()
 
 
 def prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that share a prefix shingle and pass the length, position and suffix filters.
+    """Pairs of sets of different groups that share a prefix shingle and pass the length and position filters.
 
     ``groups`` has ``node, component`` of sets that are connected already: their links cannot change the
-    result. A shingle whose sets all are in one group gives no pair and is dropped before the join.
+    result. A shingle of one set, or whose sets all are in one group, gives no pair and is dropped before
+    the join.
     """
-    named = sets.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "set_id", "n", "parts", F.coalesce("component", "set_id").alias("g"), F.posexplode("prefix").alias("at", "shingle"))
+    postings = sets.select("set_id", "n", F.posexplode("prefix").alias("at", "shingle"))
+    often = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
+    shared = written(postings.join(often, "shingle", "left_semi"), "postings")
+    named = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "g", F.coalesce("component", "set_id")).drop("component")
     mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
     some = written(named.join(mixed, "shingle", "left_semi"), "postings")
-    left = some.select("shingle", F.col("set_id").alias("a"), "n", F.col("parts").alias("p"), F.col("g").alias("ga"),
-                       F.col("at").alias("i"))
-    right = some.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("parts").alias("q"),
-                        F.col("g").alias("gb"), F.col("at").alias("j"))
+    left = some.select("shingle", F.col("set_id").alias("a"), "n", F.col("g").alias("ga"), F.col("at").alias("i"))
+    right = some.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("g").alias("gb"), F.col("at").alias("j"))
     # what both can still share from this shingle on must reach the overlap that a link needs
-    position = F.expr(f"{100 + percent} * (1 + least(n - i - 1, m - j - 1) + least(i, j)) >= {percent} * (n + m)")
-    return left.join(right, "shingle").where("ga < gb").where(position).where(linkable(percent)).select("a", "b").distinct()
+    position = f"{100 + percent} * (1 + least(n - i - 1, m - j - 1) + least(i, j)) >= {percent} * (n + m)"
+    return left.join(right, "shingle").where("ga < gb").where(
+        f"100 * least(n, m) >= {percent} * greatest(n, m) and {position}").select("a", "b").distinct()
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """The links among candidate pairs: filtered, then verified on the whole sets of their documents."""
+    pairs = written(linkable(pairs, sets, percent), "pairs")
+    wanted = pairs.select(F.col("a").alias("set_id")).unionAll(pairs.select("b")).distinct().join(
+        sets.select("set_id", "doc_id"), "set_id")
+    return written(verify(pairs, written(whole_sets(docs, wanted, n_words), "whole_sets"), percent), "links")
 
 
 def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -188,22 +204,11 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     """
     frequencies = shingle_frequencies(docs, n_words)
     described = written(describe_sets(docs, frequencies, n_words, percent), "sets")
-    one = described.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    # copies have equal columns: keep those of one row
-    sets = written(described.where("set_id is not null").join(one, ["set_id", "doc_id"], "left_semi").groupBy("set_id").agg(
-        F.any_value("n").alias("n"), F.any_value("leaders").alias("leaders"), F.any_value("parts").alias("parts"),
-        F.any_value("prefix").alias("prefix"), F.any_value("doc_id").alias("doc_id")), "distinct_sets")
-    # only sets that share a prefix shingle with another can be linked
-    postings = sets.select("set_id", F.explode("prefix").alias("shingle"))
-    shared = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
-    wanted = postings.join(shared, "shingle", "left_semi").select("set_id").distinct()
-    some = written(sets.join(wanted, "set_id", "left_semi"), "shared_sets")
-    whole = written(whole_sets(docs, some.select("set_id", "doc_id"), n_words), "whole_sets")
-    near = written(verify(leader_pairs(some, percent), whole, percent), "links")
-    groups = written(components(near), "groups")
-    far = written(verify(prefix_pairs(some, groups, percent), whole, percent), "links")
-    joined = written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "groups") if (
-        not far.isEmpty()) else groups
+    one = described.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("row").alias("row"))
+    sets = written(described.join(one, ["set_id", "row"], "left_semi").drop("row"), "distinct_sets")
+    groups = written(components(confirmed(docs, leader_pairs(sets), sets, n_words, percent)), "groups")
+    far = confirmed(docs, prefix_pairs(sets, groups, percent), sets, n_words, percent)
+    joined = written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "groups")
     rows = described.select("doc_id", "n", "set_id").join(
         joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "doc_id", "n", "set_id", F.coalesce("component", "set_id").alias("group"))
