@@ -18,13 +18,14 @@ WORDS, PERCENT = 4, 85
 FREQUENCY_BITS = 18
 #: MinHash values by which a set finds the set it is first compared with.
 LEADERS = 8
-#: Parts of the hash space whose counts bound the overlap of two sets.
-PARTS = 256
+#: 64-bit words of a set's parity sketch, whose bits tell whether an odd number of shingles fell on them: two
+#: sketches differ in no more bits than their sets in shingles.
+SKETCH = 10
 #: Documents of candidate pairs are broadcast to find their texts up to so many, about 12 MB; beyond, texts
 #: are shuffled.
 BROADCAST_ROWS = 500_000
 
-SETS = "row long, doc_id long, n long, set_id long, leaders array<long>, parts array<int>, prefix array<long>"
+SETS = "row long, doc_id long, n long, set_id long, leaders array<long>, sketch array<long>, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -71,40 +72,38 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per document: row number, set size, set id, MinHash leaders, counts by part of the hash space, rare-first prefix."""
+    """Per document: row number, set size, set id, MinHash leaders, parity sketch, rare-first prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         for batch in small_slices(batches):
             hashes, _, _, bounds = words(batch.column("text"), lower=True)
-            sizes, ids, leaders, parts, prefixes = [], [], [], [], []
+            sizes, ids, leaders, sketches, prefixes = [], [], [], [], []
             for a, b in zip(bounds, bounds[1:]):
                 s = shingle_set(hashes[a:b], n_words)
                 sizes.append(len(s))
                 if not len(s):
                     ids.append(None)
                     leaders.append([])
-                    parts.append([])
+                    sketches.append([])
                     prefixes.append([])
                     continue
                 ids.append(set_id(s))
                 spread = s * np.uint64(0x2545F4914F6CDD1D)
                 leaders.append(mix(np.array([((spread ^ seed) * (seed | np.uint64(1))).min() for seed in _SEEDS[:LEADERS]],
                                             np.uint64) + _SEEDS[:LEADERS]).astype(np.int64))
-                parts.append(np.diff(np.append(np.searchsorted(s, _EDGES), len(s))).astype(np.int32))
+                odd = np.bincount(mix(s) % np.uint64(64 * SKETCH), minlength=64 * SKETCH) & 1
+                sketches.append(np.packbits(odd.astype(bool)).view(np.int64))
                 order = np.argsort(frequencies[s >> np.uint64(64 - FREQUENCY_BITS)], kind="stable")
                 prefixes.append(s[order[: prefix_length(len(s), percent)]].astype(np.int64))
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(row - batch.num_rows, row)), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                pa.array(leaders, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())),
+                pa.array(leaders, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
                 pa.array(prefixes, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
 
     return _texts(docs).mapInArrow(run, SETS)
 
 
-_EDGES = np.array([i * ((1 << 64) // PARTS) for i in range(PARTS)], np.uint64)
-
-
 def whole_sets(docs: DataFrame, wanted: DataFrame, n_words: int = WORDS) -> DataFrame:
     """``set_id, shingles`` of the sets named in ``wanted`` (``set_id, doc_id`` of one document that has it)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,25 +138,38 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def linkable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` whose sizes and counts by part allow a link: length and suffix filters."""
-    needed = f"cast(ceil({percent} * (n + m) / {100 + percent}D - 1e-9) as bigint)"
-    first = sets.select(F.col("set_id").alias("a"), "n", F.col("parts").alias("p"))
-    second = sets.select(F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("parts").alias("q"))
-    return pairs.join(first, "a").join(second, "b").where(
-        f"100 * least(n, m) >= {percent} * greatest(n, m) and "
-        f"aggregate(zip_with(p, q, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {needed}").select("a", "b")
+def near(percent: int) -> str:
+    """Whether sizes ``n, m`` and sketches ``p0.., q0..`` allow a link: the length and suffix filters.
+
+    Linked sets differ in at most n + m - 2 * ceil(percent * (n + m) / (100 + percent)) shingles.
+    """
+    apart = " + ".join(f"bit_count(p{i} ^ q{i})" for i in range(SKETCH))
+    needed = f"({percent} * (n + m) + {99 + percent}) div {100 + percent}"
+    return f"100 * least(n, m) >= {percent} * greatest(n, m) and {apart} <= n + m - 2 * ({needed})"
+
+
+def sketched(sets: DataFrame, name: str, size: str, letter: str) -> DataFrame:
+    """``name`` (the set id), ``size`` and the words of the sketch as columns."""
+    return sets.select(F.col("set_id").alias(name), F.col("n").alias(size),
+                       *[F.col("sketch")[i].alias(f"{letter}{i}") for i in range(SKETCH)])
 
 
-def leader_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs of a set and the smallest set that shares one of its MinHash values: at most LEADERS for a set."""
+def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a set and a set that shares one of its MinHash values: at most LEADERS for a set.
+
+    It is the smallest by ``id ^ value``, another order for each value, so that a set that is not linked to
+    one leader of its group meets others.
+    Those that the length and suffix filters rule out are left out.
+    """
     keys = sets.select("set_id", F.explode("leaders").alias("key"))
-    least = keys.groupBy("key").agg(F.min("set_id").alias("b"), F.count("*").alias("times")).where("times > 1").select("key", "b")
-    return keys.join(least, "key").where("set_id <> b").select(F.col("set_id").alias("a"), "b").distinct()
+    least = keys.groupBy("key").agg(F.expr("min(set_id ^ key)").alias("m"), F.count("*").alias("times")).where(
+        "times > 1").select("key", F.expr("m ^ key").alias("b"))
+    pairs = keys.join(least, "key").where("set_id <> b").select(F.col("set_id").alias("a"), "b").distinct()
+    return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
 
 
 def prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that share a prefix shingle and pass the length and position filters.
+    """Pairs of sets of different groups that share a prefix shingle and pass all filters.
 
     ``groups`` has ``node, component`` of sets that are connected already: their links cannot change the
     result. A shingle of one set, or whose sets all are in one group, gives no pair and is dropped before
@@ -169,18 +181,17 @@ def prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     named = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "g", F.coalesce("component", "set_id")).drop("component")
     mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
-    some = written(named.join(mixed, "shingle", "left_semi"), "postings")
-    left = some.select("shingle", F.col("set_id").alias("a"), "n", F.col("g").alias("ga"), F.col("at").alias("i"))
-    right = some.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("g").alias("gb"), F.col("at").alias("j"))
+    some = written(named.drop("n").join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
+    left = some.withColumnsRenamed({"set_id": "a", "g": "ga", "at": "i"})
+    right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
     position = f"{100 + percent} * (1 + least(n - i - 1, m - j - 1) + least(i, j)) >= {percent} * (n + m)"
-    return left.join(right, "shingle").where("ga < gb").where(
-        f"100 * least(n, m) >= {percent} * greatest(n, m) and {position}").select("a", "b").distinct()
+    return left.join(right, "shingle").where(f"ga < gb and {position} and {near(percent)}").select("a", "b").distinct()
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """The links among candidate pairs: filtered, then verified on the whole sets of their documents."""
-    pairs = written(linkable(pairs, sets, percent), "pairs")
+    """The links among candidate pairs, verified on the whole sets of their documents."""
+    pairs = written(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("set_id")).unionAll(pairs.select("b")).distinct().join(
         sets.select("set_id", "doc_id"), "set_id")
     return written(verify(pairs, written(whole_sets(docs, wanted, n_words), "whole_sets"), percent), "links")
@@ -197,7 +208,7 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     their shingles.
 
     1. Equal sets are one set from here on; a group of copies costs one aggregate.
-    2. Each set is compared with the smallest set of each of its MinHash values. The verified links connect a
+    2. Each set is compared with one leader for each of its MinHash values. The verified links connect a
        group of near copies through a few of its members, whatever its size.
     3. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
        position and suffix filters are verified once, so no link between different groups is lost.
@@ -206,7 +217,7 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     described = written(describe_sets(docs, frequencies, n_words, percent), "sets")
     one = described.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("row").alias("row"))
     sets = written(described.join(one, ["set_id", "row"], "left_semi").drop("row"), "distinct_sets")
-    groups = written(components(confirmed(docs, leader_pairs(sets), sets, n_words, percent)), "groups")
+    groups = written(components(confirmed(docs, leader_pairs(sets, percent), sets, n_words, percent)), "groups")
     far = confirmed(docs, prefix_pairs(sets, groups, percent), sets, n_words, percent)
     joined = written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "groups")
     rows = described.select("doc_id", "n", "set_id").join(
