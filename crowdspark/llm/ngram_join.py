@@ -157,13 +157,16 @@ def sketched(sets: DataFrame, name: str, size: str, letter: str) -> DataFrame:
 def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a set and a set that shares one of its MinHash values: at most LEADERS for a set.
 
-    It is the smallest by ``id ^ value``, another order for each value, so that a set that is not linked to
-    one leader of its group meets others.
+    It is the one whose values are shared most, so a central one of a group of near copies; of several the largest by
+    ``id ^ value``, which is another one for each value.
     Those that the length and suffix filters rule out are left out.
     """
     keys = sets.select("set_id", F.explode("leaders").alias("key"))
-    least = keys.groupBy("key").agg(F.expr("min(set_id ^ key)").alias("m"), F.count("*").alias("times")).where(
-        "times > 1").select("key", F.expr("m ^ key").alias("b"))
+    times = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    shared = keys.join(times, "key")
+    weight = shared.groupBy("set_id").agg(F.sum("times").alias("weight"))
+    best = F.struct(F.col("weight"), F.expr("set_id ^ key").alias("m"))
+    least = shared.join(weight, "set_id").groupBy("key").agg(F.max(best).alias("best")).select("key", F.expr("best.m ^ key").alias("b"))
     pairs = keys.join(least, "key").where("set_id <> b").select(F.col("set_id").alias("a"), "b").distinct()
     return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
 
