@@ -12,6 +12,8 @@ from crowdspark.functions import text
 from crowdspark.operators.ordering import first_n_per_group
 from crowdspark.operators.quality import group_shares
 
+#: Address columns at most.
+MAX_ADDRESSES = 1000
 SUBJECT_FIELDS = ("retirement_reason", "retired_at", "created_at")
 
 
@@ -24,15 +26,26 @@ def last_per_subject(df: DataFrame, order_by: Sequence[str], subject: str = "sub
     return first_n_per_group(df, [subject], [F.col(c).desc() for c in order_by], 1)
 
 
-def extract_subjects(subjects: DataFrame, order_by: Sequence[str], season: str | None = None, n_urls: int = 3,
+def address_count(subjects: DataFrame, limit: int = MAX_ADDRESSES) -> int:
+    """One more than the largest number of an address; more than ``limit`` raise an error."""
+    keys = F.transform(F.map_keys("locations"), lambda k: k.try_cast("int"))
+    last = subjects.agg(F.max(F.array_max(keys))).first()[0]
+    if last is not None and last >= limit:
+        raise ValueError(f"a subject has more than {limit} addresses")
+    return 0 if last is None else last + 1
+
+
+def extract_subjects(subjects: DataFrame, order_by: Sequence[str], season: str | None = None, n_urls: int | None = None,
                      metadata: Sequence[str] = SUBJECT_METADATA, fields: Sequence[str] = SUBJECT_FIELDS,
                      prefix: str = "platform_") -> DataFrame:
     """One row per subject: ids, ``<prefix>url_<i>`` addresses and retirement fields.
 
+    Every address is exported: without ``n_urls`` the number of columns is that of the subject with the most.
     Needs the parsed export (``locations`` and ``metadata`` maps). Missing fields are empty. Leave
     ``#capture_id`` out of ``metadata`` if the export does not have it. A repeated subject keeps its
     last row.
     """
+    n_urls = address_count(subjects) if n_urls is None else n_urls
     columns = {"subject_id": F.col("subject_id")}
     columns |= {m.removeprefix("#"): metadata_field(m) for m in metadata}
     columns |= {f"{prefix}url_{i}": F.coalesce(F.try_element_at("locations", F.lit(str(i))), F.lit(""))
