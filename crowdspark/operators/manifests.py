@@ -63,9 +63,9 @@ def batch_assign(df: DataFrame, order_by: Sequence[str], n_batches: int | None =
     placed = group_positions(rows, [], list(order_by), out="_position", **options).withColumn("_total", total)
     n = F.lit(n_batches) if n_batches is not None else F.ceil(F.col("_total") / max_size)
     placed = placed.withColumn("_n", n.cast("bigint"))
-    near = F.floor((F.col("_position") - 1) * F.col("_n") / F.col("_total"))
-    # rounding moves a boundary by at most one row, so the batch is one of three neighbours
-    ends = F.filter(F.sequence(near, near + 2), lambda b: F.rint(b * F.col("_total") / F.col("_n")) >= F.col("_position"))
+    # the smallest b with b * N / n >= position - 1/2, or the next one where a half is rounded down
+    near = F.greatest(F.lit(1), F.expr("((2 * _position - 1) * _n + 2 * _total - 1) div (2 * _total)"))
+    ends = F.filter(F.sequence(near, near + 1), lambda b: F.rint(b * F.col("_total") / F.col("_n")) >= F.col("_position"))
     return placed.withColumn("batch", F.array_min(ends).cast("int")).select(*df.columns, "batch")
 
 
@@ -91,9 +91,13 @@ def upload_metadata(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("upload_metadata", update_map(F.col("upload_metadata"), new))
 
 
-def record_upload(manifest: DataFrame, tracker: DataFrame, set_id: str, set_name: str, upload_time: str) -> DataFrame:
-    """Manifest with the upload state of all captures the tracker lists."""
-    done = tracker.select("capture_id", F.col("subject_id").alias("_subject"))
+def record_upload(manifest: DataFrame, tracker: DataFrame, set_id: str, set_name: str, upload_time: str,
+                  order_by: Sequence[str] = ("subject_id",)) -> DataFrame:
+    """Manifest with the upload state of all captures the tracker lists.
+
+    A capture that the append-only tracker lists several times has its last row by ``order_by``.
+    """
+    done = tracker.groupBy("capture_id").agg(F.max_by("subject_id", F.struct(*order_by)).alias("_subject"))
     joined = manifest.join(done, "capture_id", "left")
     uploaded = F.col("_subject").isNotNull()
     state = {
