@@ -51,12 +51,14 @@ def capture_of_images(classified: DataFrame, images: DataFrame, prefix: str = LE
 
 
 def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, images: DataFrame,
-                     prefix: str = LEGACY_SEASON_PREFIX) -> DataFrame:
+                     prefix: str = LEGACY_SEASON_PREFIX, order_by: Sequence[str] = ("capture_id",)) -> DataFrame:
     """Add ``capture_id`` and ``reject_reason``: by subject first, by image names where the subject is unknown.
 
-    ``subject_captures(subject_id, capture_id)`` and ``images(image_id, capture_id)`` hold one row per key.
+    Of several rows of a subject in ``subject_captures(subject_id, capture_id)`` or of an image in
+    ``images(image_id, capture_id)`` the last by ``order_by`` counts.
     """
-    by_subject = subject_captures.select("subject_id", F.col("capture_id").alias("_by_subject"))
+    by_subject = subject_captures.groupBy("subject_id").agg(F.max_by("capture_id", F.struct(*order_by)).alias("_by_subject"))
+    images = images.groupBy("image_id").agg(F.max_by("capture_id", F.struct(*order_by)).alias("capture_id"))
     joined = classifications.join(by_subject, "subject_id", "left")
     key = ["season", "site", "roll", "filenames"]
     n_names = F.size(F.split("filenames", ";"))
