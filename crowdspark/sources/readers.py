@@ -18,12 +18,16 @@ IMAGE_EXTENSIONS = ("jpg", "jpeg", "bmp", "png", "ppm")
 MANIFEST_STRUCT = "struct<upload_metadata: map<string,string>, info: map<string,string>, images: variant>"
 
 
-def read_table(spark: SparkSession, path: str | Sequence[str], schema: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
+               multi_line: bool | None = None) -> DataFrame:
     """CSV with header, quotes doubled inside quotes, all columns text, missing fields empty.
 
-    Give ``schema`` for large inputs: without it Spark reads the header of the first file.
+    Give ``schema`` for large inputs: without it Spark reads the header of the first file. With a schema, files
+    are split over tasks, so a field must not hold a line break; ``multi_line=True`` reads such files, each in
+    one task, as is done without a schema.
     """
-    reader = spark.read.options(header=True, escape='"', multiLine=True, inferSchema=False)
+    multi_line = schema is None if multi_line is None else multi_line
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line, inferSchema=False)
     reader = reader.schema(schema) if schema else reader
     return reader.csv(path if isinstance(path, str) else list(path)).na.fill("")
 
@@ -168,7 +172,7 @@ def read_reports(spark: SparkSession, root: str, postfix: str = "_report.csv") -
 
     A report may be one file or the folder that a Spark job wrote.
     """
-    reports = spark.read.options(header=True, escape='"').csv(f"{root}/*/*{postfix}")
+    reports = spark.read.options(header=True, escape='"', multiLine=True).csv(f"{root}/*/*{postfix}")
     season = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]*)" + re.escape(postfix), 1)
     return reports.withColumn("season_id", season).na.fill("")
 

@@ -43,7 +43,9 @@ def write_table(df: DataFrame, path: str, first: Sequence[str] = (), mode: str =
 
 def split_by_season(df: DataFrame, path: str, mode: str = "error") -> None:
     """One folder per season, so that later reads prune to the seasons they need."""
-    df.write.mode(mode).partitionBy("season").options(header=True, escape='"').csv(path)
+    # rows of a season meet in a few tasks, and a large season is cut by a second, spreading key
+    spread = df.repartitionByRange("season", F.xxhash64(*df.columns))
+    spread.write.mode(mode).partitionBy("season").options(header=True, escape='"').csv(path)
 
 
 def write_season_files(df: DataFrame, path: str, order_by: Sequence[str | Column], mode: str = "error") -> None:
@@ -66,7 +68,7 @@ def write_manifest_batches(manifest: DataFrame, path: str, identifier: str, name
     """One folder per batch, ``batch=<id>__batch_<n>__<name>``."""
     label = F.concat(F.lit(f"{identifier}__batch_"), F.col("batch").cast("string"), F.lit(f"__{name}"))
     lines = manifest_lines(manifest).select("value", label.alias("batch"))
-    lines.write.mode(mode).partitionBy("batch").text(path)
+    lines.repartitionByRange("batch", F.xxhash64("value")).write.mode(mode).partitionBy("batch").text(path)
 
 
 def append_tracker(df: DataFrame, path: str, columns: Sequence[str] = ("capture_id", "subject_id")) -> None:
