@@ -108,8 +108,23 @@ def images_for_site(actions: DataFrame, captures: DataFrame, image: str = "image
         *actions.columns, "image")
 
 
-def generate_actions(action_list: DataFrame, captures: DataFrame, **options) -> DataFrame:
-    """One row per image and action: ``image, action, reason, shift_time_by_seconds, action_no``."""
+def check_actions(action_list: DataFrame, captures: DataFrame, **options) -> DataFrame:
+    """The broken rules of an action list and its ranges without images: ``action_no, problem``."""
+    ranges = action_list.where(action_scope() == "image_range")
+    return validate_actions(action_list).unionByName(range_problems(ranges, captures, **options))
+
+
+def generate_actions(action_list: DataFrame, captures: DataFrame, check: bool = True, **options) -> DataFrame:
+    """One row per image and action: ``image, action, reason, shift_time_by_seconds, action_no``.
+
+    A list with broken rules, a range that has no images, or two time changes of one image raise ValueError.
+    With ``check=False`` nothing is checked: see ``check_actions`` and ``repeated_actions`` for the problems as
+    tables.
+    """
+    if check:
+        problems = check_actions(action_list, captures, **options).orderBy("action_no", "problem").limit(20).collect()
+        if problems:
+            raise ValueError("; ".join(f"action {p.action_no}: {p.problem}" for p in problems))
     scoped = action_list.withColumn("_scope", action_scope())
     single = scoped.where(F.col("_scope") == "single_image").withColumn("image", F.col("action_from_image"))
     expanded = (
@@ -119,10 +134,16 @@ def generate_actions(action_list: DataFrame, captures: DataFrame, **options) ->
     )
     shift = seconds_between(parse_datetime(F.col("datetime_current"), [DATETIME_FORMAT]),
                             parse_datetime(F.col("datetime_new"), [DATETIME_FORMAT]))
-    return expanded.select(
+    made = expanded.select(
         "image", F.col("action_to_take").alias("action"), F.col("action_to_take_reason").alias("reason"),
         F.when(F.col("action_to_take") == "timechange", shift).otherwise(F.lit(0.0)).alias("shift_time_by_seconds"),
         "action_no")
+    if check:
+        changes = made.where(F.col("action") == "timechange")
+        twice = repeated_actions(changes).where("is_error").orderBy("image").limit(20).collect()
+        if twice:
+            raise ValueError("several time changes of " + ", ".join(r.image for r in twice))
+    return made
 
 
 def repeated_actions(actions: DataFrame) -> DataFrame:
