@@ -96,7 +96,7 @@ class TemplateIndex:
         self.fingerprints = np.array(sorted(self.places), np.uint64)
 
 
-def banded_alignment(template: list[str], text: list[str], shift: int, band: int) -> tuple[int, int, int]:
+def banded_alignment(template: list[str], text: list[str | None], shift: int, band: int) -> tuple[int, int, int]:
     """Most template words matched in order within a band: ``(matches, first, end)`` of the aligned text words.
 
     ``text[j]`` may stand for ``template[i]`` if ``|j - i - shift| <= band``; a word of either side may be
@@ -128,29 +128,30 @@ def banded_alignment(template: list[str], text: list[str], shift: int, band: int
     return best[0], best[2], end
 
 
-def scan_text(index: TemplateIndex, text_words: list[str], hits: list[tuple[int, int]], band: int,
+def scan_text(index: TemplateIndex, text_words: list[str], hits: list[tuple[int, int, int]], band: int,
               min_coverage: float) -> list[tuple[int, int, int, int]]:
-    """``(template, matches, first, end)`` of the matches that candidate ``(template, shift)`` pairs lead to.
+    """``(template, matches, first, end)`` of the matches that hits ``(template, place, place in the template)`` lead to.
 
-    Shifts of a template within a band of each other are one candidate. Of matches of several templates
-    over the same words the one with more matched words stays, then the better covered.
+    A word counts for one match of a template; a shift between both places is tried once. Of matches of
+    several templates over the same words the one with more matched words stays, then the better covered.
     """
     found = []
     by_template = defaultdict(list)
-    for template, shift in sorted(set(hits)):
-        by_template[template].append(shift)
-    for template, shifts in by_template.items():
-        needed = index.words[template]
-        done = None
-        for shift in shifts:
-            if done is not None and shift - done <= band // 2:
+    for template, place, at in sorted(set(hits)):
+        by_template[template].append((place, place - at))
+    for template, tries in by_template.items():
+        needed, left, tried = index.words[template], list(text_words), set()
+        for place, shift in tries:
+            if left[place] is None or shift in tried:
                 continue
-            done = shift
             low = max(0, shift - band)
-            part = text_words[low: shift + len(needed) + band + 1]
+            part = left[low: shift + len(needed) + band + 1]
             matches, first, end = banded_alignment(needed, part, shift - low, band)
             if matches >= min_coverage * len(needed):
                 found.append((template, matches, low + first, low + end))
+                left[low + first: low + end] = [None] * (end - first)
+            else:
+                tried.add(shift)
     kept: list[tuple[int, int, int, int]] = []
     for m in sorted(found, key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[2], m[0])):
         if all(m[3] <= k[2] or m[2] >= k[3] for k in kept):
@@ -183,7 +184,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, band:
             by_row = defaultdict(list)
             for place, row in zip(places[whole].tolist(), rows[whole].tolist()):
                 for template, at in index.places[int(grams[place])]:
-                    by_row[row].append((template, place - int(bounds[row]) - at))
+                    by_row[row].append((template, place - int(bounds[row]), at))
             out = []
             for row, hits in by_row.items():
                 text, doc_id = texts[row].as_py(), batch.column("doc_id")[row].as_py()
