@@ -177,7 +177,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: larger neighbours move to the smallest of the neighbourhood
         large = edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(least, "a").select(
-            F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+            F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")  # repeats go with the last distinct
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         # small star: a node and its smaller neighbours move to the smallest of them
         small = large.join(low, "a").select(F.explode(F.array(
