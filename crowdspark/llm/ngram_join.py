@@ -178,13 +178,13 @@ def prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     result. A shingle of one set, or whose sets all are in one group, gives no pair and is dropped before
     the join.
     """
-    postings = sets.select("set_id", "n", F.posexplode("prefix").alias("at", "shingle"))
+    postings = sets.select("set_id", F.posexplode("prefix").alias("at", "shingle"))
     often = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
     shared = written(postings.join(often, "shingle", "left_semi"), "postings")
     named = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "g", F.coalesce("component", "set_id")).drop("component")
     mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
-    some = written(named.drop("n").join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
+    some = written(named.join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
     left = some.withColumnsRenamed({"set_id": "a", "g": "ga", "at": "i"})
     right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
