@@ -25,7 +25,7 @@ SKETCH = 10
 #: are shuffled.
 BROADCAST_ROWS = 500_000
 
-SETS = "row long, doc_id long, n long, set_id long, leaders array<long>, sketch array<long>, prefix array<long>"
+SETS = "row long, doc_id long, n long, set_id long, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -34,6 +34,27 @@ def set_id(shingles: np.ndarray) -> int:
     return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """A parity sketch with a bit or more for each shingle, a power of two of them; half as wide by folding.
+
+    Empty for sets that are no larger than half a plain sketch, which serves them as well.
+    """
+    if len(shingles) <= 32 * SKETCH:
+        return b""
+    bits = 1 << (len(shingles) - 1).bit_length()
+    odd = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def wide_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two wide sketches (64-bit words) differ, the wider one folded: no more than their sets' shingles."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -72,12 +93,12 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per document: row number, set size, set id, MinHash leaders, parity sketch, rare-first prefix."""
+    """Per document: row number, set size, set id, MinHash leaders, parity sketches, rare-first prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         for batch in small_slices(batches):
             hashes, _, _, bounds = words(batch.column("text"), lower=True)
-            sizes, ids, leaders, sketches, prefixes = [], [], [], [], []
+            sizes, ids, leaders, sketches, wide, prefixes = [], [], [], [], [], []
             for a, b in zip(bounds, bounds[1:]):
                 s = shingle_set(hashes[a:b], n_words)
                 sizes.append(len(s))
@@ -85,6 +106,7 @@ def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS
                     ids.append(None)
                     leaders.append([])
                     sketches.append([])
+                    wide.append(b"")
                     prefixes.append([])
                     continue
                 ids.append(set_id(s))
@@ -93,13 +115,14 @@ def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS
                                             np.uint64) + _SEEDS[:LEADERS]).astype(np.int64))
                 odd = np.bincount(mix(s) % np.uint64(64 * SKETCH), minlength=64 * SKETCH) & 1
                 sketches.append(np.packbits(odd.astype(bool)).view(np.int64))
+                wide.append(wide_sketch(s))
                 order = np.argsort(frequencies[s >> np.uint64(64 - FREQUENCY_BITS)], kind="stable")
                 prefixes.append(s[order[: prefix_length(len(s), percent)]].astype(np.int64))
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(row - batch.num_rows, row)), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
                 pa.array(leaders, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
-                pa.array(prefixes, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
+                pa.array(wide, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
 
     return _texts(docs).mapInArrow(run, SETS)
 
@@ -154,6 +177,23 @@ def sketched(sets: DataFrame, name: str, size: str, letter: str) -> DataFrame:
                        *[F.col("sketch")[i].alias(f"{letter}{i}") for i in range(SKETCH)])
 
 
+def wide_near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` that the suffix filter passes with wide sketches as well, if both sets have one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            total = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            most = total + 2 * (-percent * total // (100 + percent))
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                keep[i] = not len(x) or not len(y) or wide_apart(x, y) <= most[i]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    first = sets.select(F.col("set_id").alias("a"), "n", F.col("wide").alias("x"))
+    second = sets.select(F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("wide").alias("y"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a set and a set that shares one of its MinHash values: at most LEADERS for a set.
 
@@ -189,7 +229,8 @@ def prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
     position = f"{100 + percent} * (1 + least(n - i - 1, m - j - 1) + least(i, j)) >= {percent} * (n + m)"
-    return left.join(right, "shingle").where(f"ga < gb and {position} and {near(percent)}").select("a", "b").distinct()
+    pairs = left.join(right, "shingle").where(f"ga < gb and {position} and {near(percent)}").select("a", "b").distinct()
+    return wide_near(written(pairs, "pairs"), sets, percent)
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int, percent: int) -> DataFrame:

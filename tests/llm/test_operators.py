@@ -456,3 +456,12 @@ def test_pipeline_stages_in_turn(spark):
 def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.count() > 0 and out.columns == packing.PIECE_NAMES
+
+
+def test_wide_sketches_bound_the_difference_of_sets():
+    rng = np.random.default_rng(5)
+    for n, m, common in [(400, 390, 380), (700, 520, 500), (5000, 4300, 100), (2100, 2040, 2000)]:
+        some = rng.integers(1, 1 << 63, n + m - common, dtype=np.uint64)
+        x, y = (np.frombuffer(ngram_join.wide_sketch(s), np.uint64) for s in (some[:n], some[n - common:]))
+        assert ngram_join.wide_apart(x, y) == ngram_join.wide_apart(y, x) <= n + m - 2 * common
+    assert ngram_join.wide_sketch(some[:320]) == b""
