@@ -1,4 +1,4 @@
-"""Line deduplication: content-defined chunks of lines; chunks that occur again anywhere are removed."""
+"""Line deduplication: content-defined chunks of lines, or passages of any lines, that occur again are removed."""
 
 from __future__ import annotations
 
@@ -85,3 +85,57 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return joined.withColumn("_cut", F.when(F.col("gone").isNotNull(), cut)).select(
         *[own_text.alias("text") if c == "text" else F.col(c) for c in own],
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("removed_chunks"), F.coalesce("_cut.lines", F.lit(0)).alias("removed_lines"))
+
+
+def line_pairs(text: str) -> str:
+    """SQL for the least passages of a text: an array of ``struct(first, last, digest)``, line numbers from 0.
+
+    Each line with the next one, blank lines aside, and each line of LONG_LINE_WORDS words by itself. A repeated
+    passage of several lines is a row of repeated pairs wherever it begins, so no boundary has to fall on its edge.
+    ``digest`` is the SHA-256 of the lines and all between them. A line has no fewer than 2 * LONG_LINE_WORDS - 1
+    characters if it has LONG_LINE_WORDS words, so that few are split.
+    """
+    filled = f"""transform(array(split({text}, '\n')), lines -> struct(lines as lines, filter(
+        sequence(0, size(lines) - 1), i -> trim(translate(get(lines, i), '\t\r', '  ')) <> '') as filled))[0]"""
+    ends = f"""transform(array({filled}), p -> struct(p.lines as lines, concat(
+        transform(slice(p.filled, 1, greatest(size(p.filled) - 1, 0)), (i, k) -> struct(i as first, get(p.filled, k + 1) as last)),
+        transform(filter(p.filled, i -> length(get(p.lines, i)) >= {2 * LONG_LINE_WORDS - 1}
+            and size(split(trim(get(p.lines, i)), '[ \t]+')) >= {LONG_LINE_WORDS}), i -> struct(i as first, i as last))) as ends))[0]"""
+    return f"""transform(array({ends}), q -> transform(q.ends, e -> struct(e.first as first, e.last as last,
+        unhex(sha2(array_join(slice(q.lines, e.first + 1, e.last - e.first + 1), '\n'), 256)) as digest)))[0]"""
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """``doc_key, first, last`` of every pair of lines, or long line, that occurs before.
+
+    Of equal ones the first by (doc_id, digest of the document, first line) stays. Digests are counted first,
+    by eight bytes and with partial sums; only those that repeat are brought together, whole.
+    """
+    pairs = docs.select("doc_id", doc_key().alias("doc_key"), F.expr(
+        f"inline({line_pairs("coalesce(cast(text as string), '')")})")).withColumn("short", F.xxhash64("digest"))
+    often = pairs.groupBy("short").agg(F.count("*").alias("n")).where("n > 1").select("short")
+    some = written(pairs.join(often, "short", "left_semi").drop("short"), "line_pairs")
+    least = some.groupBy("digest").agg(F.min(F.struct("doc_id", "doc_key", "first")).alias("least"))
+    return some.join(least, "digest").where("doc_key <> least.doc_key or first <> least.first").select("doc_key", "first", "last")
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` without the repeated passages of ``text``, plus ``removed_lines``.
+
+    A passage is a run of two or more lines that are not blank, or one line of LONG_LINE_WORDS words, equal byte for
+    byte (by SHA-256); it goes whole, wherever it lies in its document, but for the places that come first. The first
+    place of a line always stays, so nothing is lost from all documents. All rows and other columns stay; a null
+    text stays null. Rows with equal doc_id and text are one document and end alike. Columns named ``doc_key``,
+    ``gone`` or ``removed_lines`` are replaced. Built-in expressions only.
+    """
+    own = [c for c in docs.columns if c.lower() not in {"doc_key", "gone", "removed_lines"}]
+    docs = docs.select(*own)
+    gone = repeated_lines(docs).groupBy("doc_key").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
+    joined = docs.withColumn("doc_key", doc_key()).join(gone, "doc_key", "left")
+    kept = """transform(array(split(cast(text as string), '\n')), lines -> transform(array(array_except(
+        sequence(0, size(lines) - 1), flatten(transform(gone, g -> sequence(g.first, g.last))))), kept -> struct(
+        array_join(transform(kept, i -> get(lines, i)), '\n') as text, size(lines) - size(kept) as lines))[0])[0]"""
+    own_text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.col("_kept.text"))
+    return joined.withColumn("_kept", F.when(F.col("gone").isNotNull(), F.expr(kept))).select(
+        *[own_text.alias("text") if c == "text" else F.col(c) for c in own],
+        F.coalesce("_kept.lines", F.lit(0)).alias("removed_lines"))

@@ -257,6 +257,30 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_repeated_passages_of_short_lines_go_whole(spark):
+    rows, parts, seed = [], [], 5000
+    for copy, (n, size) in enumerate([(5, 12), (3, 20), (8, 10), (12, 10), (2, 6)] * 4):
+        parts.append("\n".join(prose(seed + i, size) for i in range(n)))
+        for side in range(2):
+            before, after = ([prose(seed + 100 + side * 20 + x * 10 + i, 11) for i in range(4)] for x in range(2))
+            rows.append((100 * side + copy, "\n".join([*before, parts[-1], *after])))
+        seed += 200
+    lone, long = prose(1, 20), prose(2, 50)
+    rows += [(300, f"{lone}\n{prose(3, 9)}"), (301, f"{prose(4, 9)}\n{lone}"), (302, f"a\n{long}"), (303, f"b\n{long}"),
+             (304, "c\nc\nc\nc"), (305, "d\n\ne\nf"), (306, "g\nd\n\ne"), (307, None), (308, ""), (309, "h\n\n"), (309, "h\n\n"),
+             (310, parts[0]), (None, "i\nj")]
+    rows = line_dedup.dedup_passages(documents(spark, rows).withColumn("gone", F.lit("clash"))).collect()
+    assert len(rows) == 53 and "gone" not in rows[0].asDict()
+    text, removed = {r.doc_id: r.text for r in rows}, {r.doc_id: r.removed_lines for r in rows}
+    for copy, part in enumerate(parts):
+        assert part in text[copy] and removed[copy] == 0
+        assert not set(part.split("\n")) & set(text[100 + copy].split("\n")) and text[100 + copy].count("\n") == 7
+    assert lone in text[300] and lone in text[301] and long in text[302] and text[303] == "b"  # single short lines stay
+    assert text[304] == "c" and text[305] == "d\n\ne\nf" and text[306] == "g" and text[307] is None and text[308] == ""
+    assert text[309] == "h\n\n" and text[310] == "" and removed[310] == 5 and text[None] == "i\nj"
+    assert line_dedup.dedup_passages(documents(spark, rows[:0])).count() == 0
+
+
 # ---- 7: n-gram join ----
 
 def brute_near_duplicates(rows, n, percent):
