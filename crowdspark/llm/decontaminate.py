@@ -1,4 +1,4 @@
-"""Benchmark decontamination: latent semantic retrieval of passages, then common-subsequence and answer checks."""
+"""Benchmark decontamination: latent semantic retrieval and rare words find passages; common-subsequence and answer checks."""
 
 from __future__ import annotations
 
@@ -26,6 +26,8 @@ COMMON, RAREST = 0.1, 6
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 #: Words at an item's end that are its answer if its last sentence is longer.
 ANSWER_WORDS = 8
+#: One of so many words of an item is asked for beyond the fewest of its rare words that a leak must hold.
+RARE_SHARE = 8
 #: Items handled in one pass over the documents, at most; they and their words travel with the tasks. More items
 #: take several passes.
 BLOCK_ITEMS = 2000
@@ -145,7 +147,8 @@ def latent_space(items: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, rank
 class LeakFinder:
     """The items of one block in latent space, and the checks of candidate passages."""
 
-    def __init__(self, ids: list[int], texts: list[str], vocabulary: np.ndarray, idf: np.ndarray, space: np.ndarray):
+    def __init__(self, ids: list[int], texts: list[str], vocabulary: np.ndarray, idf: np.ndarray, space: np.ndarray,
+                 all_words: np.ndarray, frequency: np.ndarray):
         self.ids, self.words = ids, item_words(texts)
         self.answers = [answer_length(t) for t in texts]
         self.vocabulary = vocabulary
@@ -164,9 +167,56 @@ class LeakFinder:
                 self.classes.append((steps, np.array(mine)))
             left -= set(mine)
             steps *= 2
+        self._index_rare_words(all_words, frequency)
+
+    def _index_rare_words(self, all_words: np.ndarray, frequency: np.ndarray) -> None:
+        """For each item the words of which every leak of it holds at least ``self.least`` in one passage.
+
+        A leak holds a share of LIKELY of the item's words, so of any words that make up all but that share, and
+        ``least`` more, it holds ``least``. The rarest serve.
+        """
+        self.steps, self.least, pairs = np.zeros(len(self.words), np.int64), np.ones(len(self.words), np.int64), []
+        for i, item in enumerate(self.words):
+            n, steps = len(item), 3
+            while n > (steps - 1) * STEP + 1:
+                steps *= 2
+            enough = next(c for c in range(n + 1) if c / n >= LIKELY)
+            self.steps[i], self.least[i] = steps, min(enough, 1 + n // RARE_SHARE)
+            word, times = np.unique(item, return_counts=True)
+            order = np.argsort(frequency[np.searchsorted(all_words, word)], kind="stable")
+            taken = np.searchsorted(np.cumsum(times[order]), n - enough + self.least[i]) + 1
+            pairs += [(w, i) for w in word[order[:taken]].tolist()]
+        pairs.sort()
+        self.rare, begin = np.unique(np.array([w for w, _ in pairs], np.uint64), return_index=True)
+        self.rare_bounds, self.rare_items = np.append(begin, len(pairs)), np.array([i for _, i in pairs], np.int64)
+        self.maybe_rare = np.zeros(1 << MAYBE_BITS, bool)
+        self.maybe_rare[self.rare >> np.uint64(64 - MAYBE_BITS)] = True
+
+    def rare_candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], set[int]]:
+        """``(text, item): first steps`` of all passages that hold enough of an item's rare words: no leak is left out."""
+        at = np.flatnonzero(self.maybe_rare[hashes >> np.uint64(64 - MAYBE_BITS)])
+        at = at[members(hashes[at], self.rare)]
+        word = np.searchsorted(self.rare, hashes[at])
+        many = self.rare_bounds[word + 1] - self.rare_bounds[word]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        item, place = self.rare_items[np.repeat(self.rare_bounds[word], many) + nth], np.repeat(at, many)
+        text = np.searchsorted(bounds, place, "right") - 1
+        order = np.argsort(text * len(self.words) + item, kind="stable")
+        text, item, place = text[order], item[order], (place - bounds[text])[order]
+        other = np.arange(len(order)) + self.least[item] - 1
+        first = np.flatnonzero(other < len(order))
+        other = other[first]
+        near = (text[first] == text[other]) & (item[first] == item[other]) & (
+            place[other] - place[first] < (self.steps[item[first]] + 2) * STEP)
+        first, other = first[near], other[near]
+        found: dict[tuple[int, int], set[int]] = {}
+        for t, i, a, b in zip(text[first].tolist(), item[first].tolist(), place[first].tolist(), place[other].tolist()):
+            low = max(0, (b - STEP) // STEP - int(self.steps[i]) + 1)
+            found.setdefault((t, i), set()).update(range(low, (a + STEP) // STEP + 1))
+        return found
 
-    def candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, int, int]]:
-        """``(text, item): (cosine, first step, steps)`` of the nearest passage at or above the limits."""
+    def candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], set[int]]:
+        """``(text, item): first steps`` of the passages at or above the limits in latent space."""
         count = np.diff(bounds)
         blocks = -(-count // STEP)
         first = np.concatenate([[0], np.cumsum(blocks)])
@@ -181,7 +231,7 @@ class LeakFinder:
         reach = np.concatenate([[0], np.cumsum(self.norms[word])])
         total = np.concatenate([np.zeros((1, self.vectors.shape[1])), np.cumsum(self.vectors[word], 0, dtype=np.float64)])
         here = np.flatnonzero(np.diff(before))  # passages that begin with a known word's step, or just before it
-        found: dict[tuple[int, int], tuple[float, int, int]] = {}
+        found: dict[tuple[int, int], set[int]] = {}
         for steps, items in self.classes:
             floor = MIN_LENGTH * self.lengths[items]
             begin = np.unique((here[:, None] - np.arange(steps)[None, :]).ravel()) if len(here) * steps < first[-1] else (
@@ -199,29 +249,47 @@ class LeakFinder:
             passages, length, some = passages[near], length[near], some[near]
             cosine = (passages / length[:, None]).astype(np.float32) @ self.points[items].T.astype(np.float32)
             p, i = np.nonzero((cosine >= MIN_COSINE) & (length[:, None] >= floor[None, :]))
-            for at, item, value in zip(some[p].tolist(), items[i].tolist(), cosine[p, i].tolist()):
-                key = (int(text[at]), item)
-                if key not in found or value > found[key][0]:
-                    found[key] = (value, int(begin[at] - first[key[0]]), steps)
+            at = some[p]
+            for t, item, step in zip(text[at].tolist(), items[i].tolist(), (begin[at] - first[text[at]]).tolist()):
+                found.setdefault((t, item), set()).add(step)
         return found
 
+    def cosine(self, item: int, passage: np.ndarray) -> float:
+        """Of an item and a passage in latent space; 0 where one of them has no words there."""
+        total = self.vectors[np.searchsorted(self.vocabulary, passage[members(passage, self.vocabulary)])].sum(0, dtype=np.float64)
+        return float(total @ self.points[item] / max(np.sqrt((total ** 2).sum()), 1e-12))
+
     def leaks(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple]:
-        """``(text, item id, cosine, common words, item's words, coverage, answer found, start, end)`` of each leak."""
+        """``(text, item id, cosine, common words, item's words, coverage, answer found, start, end)`` of each leak.
+
+        Every candidate passage is compared, widened by a step on both sides; of several leaked ones the row has that
+        with the answer, the most common words and the highest cosine, and the first of such.
+        """
+        found = self.candidates(hashes, bounds)
+        for key, begins in self.rare_candidates(hashes, bounds).items():
+            found.setdefault(key, set()).update(begins)
         out = []
-        for (text, item), (cosine, step, steps) in sorted(self.candidates(hashes, bounds).items()):
-            wanted, low, high = self.words[item], bounds[text], bounds[text + 1]
-            start = max(low, low + step * STEP - STEP)
-            stop = min(high, low + (step + steps) * STEP + STEP)
-            part = hashes[start:stop]
-            common = common_subsequence(wanted, part)
-            coverage = common / len(wanted)
-            if coverage < LIKELY:
-                continue
-            answer = wanted[-self.answers[item]:]
-            has_answer = common_subsequence(answer, part) >= ANSWER * len(answer)
-            if coverage >= SURE or has_answer:
-                out.append((text, self.ids[item], cosine, common, len(wanted), coverage, bool(has_answer),
-                            int(start - low), int(stop - low)))
+        for (text, item), begins in sorted(found.items()):
+            wanted, low, high, steps = self.words[item], bounds[text], bounds[text + 1], int(self.steps[item])
+            answer, best = wanted[-self.answers[item]:], []
+            for step in sorted(begins):
+                start = max(low, low + step * STEP - STEP)
+                stop = min(high, low + (step + steps) * STEP + STEP)
+                part = hashes[start:stop]
+                # in any order at least as many are common as in order
+                if members(wanted, np.unique(part)).sum() < LIKELY * len(wanted) - 1e-6:
+                    continue
+                common = common_subsequence(wanted, part)
+                coverage = common / len(wanted)
+                if coverage < LIKELY:
+                    continue
+                has_answer = common_subsequence(answer, part) >= ANSWER * len(answer)
+                if coverage >= SURE or has_answer:
+                    cosine = self.cosine(item, hashes[low + step * STEP: min(high, low + (step + steps) * STEP)])
+                    best.append((bool(has_answer), common, cosine, -step, int(start - low), int(stop - low)))
+            if best:
+                has_answer, common, cosine, _, start, stop = max(best)
+                out.append((text, self.ids[item], cosine, common, len(wanted), common / len(wanted), has_answer, start, stop))
         return out
 
 
@@ -250,11 +318,12 @@ def leak_finders(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, block_
         held = [r for r, w in zip(held, item_words([r.text for r in held])) if len(w)] if held else []
         if not held:
             continue
-        vocabulary = np.unique(np.concatenate(item_words([r.text for r in held])))
-        total, frequency = document_frequencies(docs, vocabulary)
-        vocabulary, idf = _steering(vocabulary, total, frequency, item_words([r.text for r in held]))
+        all_words = np.unique(np.concatenate(item_words([r.text for r in held])))
+        total, frequency = document_frequencies(docs, all_words)
+        vocabulary, idf = _steering(all_words, total, frequency, item_words([r.text for r in held]))
         space = latent_space(mine, vocabulary, idf, rank)
-        finders.append(LeakFinder([r.item_id for r in held], [r.text for r in held], vocabulary, idf, space))
+        finders.append(LeakFinder([r.item_id for r in held], [r.text for r in held], vocabulary, idf, space, all_words,
+                                  frequency))
     return finders
 
 
@@ -262,10 +331,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataF
     """Benchmark items found in documents, one row per document and item: ``doc_id, item_id, cosine, lcs_words,
     item_words, coverage, answer_found, word_start, word_end`` (the words of the document that were compared).
 
-    Every text is cut into overlapping passages; passages near an item in latent space are compared with it. An
-    item counts as leaked if its words occur in order there for 80 %, or for 60 % with its answer, the last
-    words of the item, among them. Null or empty texts have no leaks; repeated rows have theirs each; a null
-    ``doc_id`` stays null; other columns are not read. Documents are not shuffled.
+    Every text is cut into overlapping passages. Those near an item in latent space are compared with it, and those
+    that hold enough of its rare words, which no leak lacks. An item counts as leaked if its words occur in order in
+    one passage for 80 %, or for 60 % with its answer, the last words of the item, among them. Null or empty texts
+    have no leaks; repeated rows have theirs each; a null ``doc_id`` stays null; other columns are not read.
+    Documents are not shuffled.
     """
     finders = leak_finders(docs, benchmark, rank)
 

@@ -446,6 +446,34 @@ def test_leak_recall_against_brute_force(spark):
     assert len(want & got) >= 0.9 * len(want) and len(got - want) <= 2
 
 
+def test_every_leak_of_a_passage_is_found(spark):
+    rng = random.Random(12)
+    items = [(i, prose(700 + i, rng.randint(15, 59))) for i in range(150)]
+    rows = []
+    for i, text in items[:40]:
+        w = text.split()
+        mixed, part = list(w), [x for x in w if rng.random() < 0.86]
+        rng.shuffle(mixed)  # nearer in latent space than what follows, but in no order
+        rows.append((i, " ".join([*mixed, prose(900 + i, 120), *part, prose(950 + i, 70 + i)])))
+        rows.append((100 + i, " ".join([prose(1000 + i, i), *(x for y in w for x in (y, "zu") if x == y or rng.random() < 0.3)])))
+    docs, benchmark = documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    hashes, want = dict(zip([d for d, _ in rows], decontaminate.item_words([t for _, t in rows]))), set()
+    for (i, text), item in zip(items, decontaminate.item_words([t for _, t in items])):
+        steps, answer = 3, item[-decontaminate.answer_length(text):]
+        while len(item) > (steps - 1) * 8 + 1:
+            steps *= 2
+        for d, w in hashes.items():
+            for a in range(0, len(w), 8):
+                part = w[max(0, a - 8): a + 8 * steps + 8]
+                share = decontaminate.common_subsequence(item, part) / len(item)
+                if share >= 0.8 or share >= 0.6 and decontaminate.common_subsequence(answer, part) >= 0.8 * len(answer):
+                    want.add((d, i))
+    assert len(want) > 60
+    for rank in (96, 2):
+        got = [(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark, rank).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):
