@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdspark.llm.common import members, small_slices, words
+from crowdspark.llm.common import members, small_slices, words, written
 
 #: Directions of the latent space.
 RANK = 96
@@ -303,46 +305,39 @@ def _steering(vocabulary: np.ndarray, total: int, frequency: np.ndarray, items:
     return vocabulary[kept], idf
 
 
-def leak_finders(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, block_items: int = BLOCK_ITEMS) -> list[LeakFinder]:
-    """One finder per block of at most ``block_items`` benchmark items; items without words are left out.
-
-    Repeated rows of an item count once. Word frequencies come from all documents.
-    """
+def benchmark_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> list[DataFrame]:
+    """The distinct ``item_id, text`` rows of the benchmark in blocks of about ``block_items``."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(
         "item_id is not null and text is not null").distinct()
-    rows = items.count()
-    blocks, finders = max(1, -(-rows // block_items)), []
-    for b in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        held = mine.orderBy("item_id", "text").collect()
-        held = [r for r, w in zip(held, item_words([r.text for r in held])) if len(w)] if held else []
-        if not held:
-            continue
-        all_words = np.unique(np.concatenate(item_words([r.text for r in held])))
-        total, frequency = document_frequencies(docs, all_words)
-        vocabulary, idf = _steering(all_words, total, frequency, item_words([r.text for r in held]))
-        space = latent_space(mine, vocabulary, idf, rank)
-        finders.append(LeakFinder([r.item_id for r in held], [r.text for r in held], vocabulary, idf, space, all_words,
-                                  frequency))
-    return finders
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
-    """Benchmark items found in documents, one row per document and item: ``doc_id, item_id, cosine, lcs_words,
-    item_words, coverage, answer_found, word_start, word_end`` (the words of the document that were compared).
-
-    Every text is cut into overlapping passages. Those near an item in latent space are compared with it, and those
-    that hold enough of its rare words, which no leak lacks. An item counts as leaked if its words occur in order in
-    one passage for 80 %, or for 60 % with its answer, the last words of the item, among them. Null or empty texts
-    have no leaks; repeated rows have theirs each; a null ``doc_id`` stays null; other columns are not read.
-    Documents are not shuffled.
-    """
-    finders = leak_finders(docs, benchmark, rank)
+    blocks = -(-items.count() // block_items)
+    if blocks <= 1:
+        return [items] * blocks
+    items = written(items, "items")
+    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) for b in range(blocks)]
+
+
+def leak_finder(docs: DataFrame, items: DataFrame, rank: int = RANK) -> LeakFinder | None:
+    """The finder of one block of items, None if they have no words. Word frequencies come from all documents."""
+    held = items.orderBy("item_id", "text").collect()
+    held = [r for r, w in zip(held, item_words([r.text for r in held])) if len(w)] if held else []
+    if not held:
+        return None
+    texts = [r.text for r in held]
+    all_words = np.unique(np.concatenate(item_words(texts)))
+    total, frequency = document_frequencies(docs, all_words)
+    vocabulary, idf = _steering(all_words, total, frequency, item_words(texts))
+    space = latent_space(items, vocabulary, idf, rank)
+    return LeakFinder([r.item_id for r in held], texts, vocabulary, idf, space, all_words, frequency)
+
+
+def _block_leaks(docs: DataFrame, items: DataFrame, rank: int) -> DataFrame:
+    """The leaks of one block of items; only this block travels with the tasks."""
+    finder = leak_finder(docs, items, rank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches):
             hashes, _, _, bounds = words(batch.column("text"), lower=True, letters=True)
-            out = [leak for finder in finders for leak in finder.leaks(hashes, bounds)]
+            out = finder.leaks(hashes, bounds)
             if out:
                 columns = list(zip(*out))
                 types = [pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.int64(), pa.int64()]
@@ -350,20 +345,66 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataF
                     [batch.column("doc_id").take(pa.array(columns[0])), *(pa.array(c, t) for c, t in zip(columns[1:], types))],
                     names=[c.split()[0] for c in LEAKS.split(", ")])
 
+    if finder is None:
+        return docs.sparkSession.createDataFrame([], LEAKS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, LEAKS)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
-    """The rows of ``docs`` without a leaked item, with all their columns."""
-    finders = leak_finders(docs, benchmark, rank)
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """Benchmark items found in documents, one row per document and item: ``doc_id, item_id, cosine, lcs_words,
+    item_words, coverage, answer_found, word_start, word_end`` (the words of the document that were compared).
+
+    Every text is cut into overlapping passages. Those near an item in latent space are compared with it, and those
+    that hold enough of its rare words, which no leak lacks. An item counts as leaked if its words occur in order in
+    one passage for 80 %, or for 60 % with its answer, the last words of the item, among them. Null or empty texts
+    have no leaks; repeated rows have theirs each; a null ``doc_id`` stays null; other columns are not read.
+    Documents are not shuffled. Beyond ``block_items`` items the leaks of each block are written before the next.
+    """
+    blocks = benchmark_blocks(benchmark, block_items)
+    if not blocks:
+        return docs.sparkSession.createDataFrame([], LEAKS)
+    if len(blocks) == 1:
+        return _block_leaks(docs, blocks[0], rank)
+    return reduce(DataFrame.unionAll, [written(_block_leaks(docs, b, rank), "leaks") for b in blocks])
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of ``docs`` without a leaked item, with all their columns.
+
+    One block of items filters the rows where they are. Of several, each writes the leaked texts' SHA-256 before
+    the next begins.
+    """
+    blocks = benchmark_blocks(benchmark, block_items)
+    if len(blocks) > 1:
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        gone = reduce(DataFrame.unionAll, [written(_leaked_texts(docs, b, rank), "leaked") for b in blocks]).distinct()
+        keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.sha2(text, 256).alias("digest"))
+        return keyed.join(gone, "digest", "left_anti").select("row.*")
+    finder = leak_finder(docs, blocks[0], rank) if blocks else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches):
             hashes, _, _, bounds = words(batch.column("text"), lower=True, letters=True)
             clean = np.ones(batch.num_rows, bool)
-            for finder in finders:
-                clean[[leak[0] for leak in finder.leaks(hashes, bounds)]] = False
+            clean[[leak[0] for leak in finder.leaks(hashes, bounds)]] = False
             yield batch.filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs if finder is None else docs.mapInArrow(run, docs.schema)
+
+
+def _leaked_texts(docs: DataFrame, items: DataFrame, rank: int) -> DataFrame:
+    """``digest``: the SHA-256 of each text with an item of one block."""
+    finder = leak_finder(docs, items, rank)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches):
+            hashes, _, _, bounds = words(batch.column("text"), lower=True, letters=True)
+            leaked = sorted({leak[0] for leak in finder.leaks(hashes, bounds)})
+            if leaked:
+                texts = batch.column("text").take(pa.array(leaked)).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([sha256(t.encode()).hexdigest() for t in texts])], names=["digest"])
+
+    if finder is None:
+        return docs.sparkSession.createDataFrame([], "digest string")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "digest string").distinct()

@@ -474,6 +474,24 @@ def test_every_leak_of_a_passage_is_found(spark):
         assert len(got) == len(want) and set(got) == want
 
 
+def test_blocks_of_items_go_one_after_the_other(spark, monkeypatch):
+    items = [(i, prose(300 + i, 20 + i)) for i in range(30)]
+    rows = [(1, prose(1, 200)), (2, items[2][1]), (2, items[2][1]), (None, prose(2, 9) + " " + items[7][1]), (3, None), (4, "")]
+    docs, benchmark = documents(spark, rows).withColumn("row", F.lit(1)), spark.createDataFrame(items, "item_id long, text string")
+    made, known = [], decontaminate.LeakFinder.__init__
+
+    def counted(self, *args):
+        known(self, *args)
+        made.append(len(self.ids))
+
+    monkeypatch.setattr(decontaminate.LeakFinder, "__init__", counted)
+    leaks = decontaminate.find_leaks(docs, benchmark, block_items=10)
+    assert len(made) == 3 and sum(made) == 30  # blocks come by hash, so their sizes vary
+    assert sorted((r.doc_id or 0, r.item_id) for r in leaks.collect()) == [(0, 7), (2, 2), (2, 2)]
+    kept = decontaminate.keep_clean(docs, benchmark, block_items=10)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):
