@@ -275,9 +275,22 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
 def keep_one(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
 
-    Rows with a null doc_id stay. Of rows that repeat a doc_id one stays. Documents without shingles are
-    no near duplicates and stay.
+    Rows with a null doc_id stay. Documents without shingles are no near duplicates and stay. Rows are told apart by
+    a 64-bit hash of doc_id and text: of rows that share a doc_id but not the text each is judged by its own text, and
+    of rows that repeat both one stays, the least as JSON.
     """
-    found = near_duplicates(docs, n_words, percent).where("doc_id is not null").select("doc_id", "component_id")
-    gone = found.groupBy("doc_id").agg(F.min("component_id").alias("first")).where("first < doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    rows = docs.select(row.alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text").where("_row is not null")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), n_words, percent)
+    judged = found.groupBy(F.col("doc_id").alias("_row")).agg(
+        F.min("component_id").alias("group"), F.expr("count(*) > 1 and max(n_shingles) > 0").alias("repeated"))
+    kept = written(judged.join(rows.select("_row", "doc_id").distinct(), "_row").groupBy("group").agg(
+        F.min(F.struct("doc_id", "_row", "repeated")).alias("kept")).select("kept._row", "kept.repeated"), "kept")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    left = docs.select(whole.alias("whole"), row.alias("_row")).join(kept, "_row", "left").where(
+        "_row is null or repeated is not null")
+    if not kept.where("repeated").limit(1).count():
+        return left.select("whole.*")
+    once = left.where("_row is not null and repeated").groupBy("_row").agg(
+        F.min_by("whole", F.to_json("whole")).alias("whole"))
+    return left.where("_row is null or not repeated").select("whole.*").unionAll(once.select("whole.*"))

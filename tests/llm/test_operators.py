@@ -329,6 +329,17 @@ def test_near_duplicates_match_brute_force(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4]
 
 
+def test_one_row_of_repeated_ids_stays(spark):
+    text, other = prose(41, 60), prose(42, 60)
+    rows = [(7, text)] * 50 + [(8, text)] * 3 + [(9, text), (9, other), (9, other), (5, prose(43, 60)), (5, text + " end"),
+                                                 (None, text), (None, text), (6, ""), (6, ""), (4, None), (4, None)]
+    docs = documents(spark, rows).withColumn("_kept", F.lit(2)).repartition(5)
+    kept = ngram_join.keep_one(docs, 5, 80)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text or "") for r in kept.collect())) == sorted(
+        [(5, prose(43, 60)), (5, text + " end"), (9, other), (0, text), (0, text), (6, ""), (6, ""), (4, ""), (4, "")])
+
+
 def test_filters_never_exclude_a_link():
     rng = np.random.default_rng(3)
     for _ in range(200):
