@@ -26,20 +26,29 @@ NEAR, SIBLING = 0.3, 0.3
 NEAR_OTHER = 0.1
 
 # Element names of the HTML standard by their role here.
-RAW_TEXT = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template",
-            "svg", "math", "select", "object", "canvas")
+RAW_TEXT = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
+#: Fallbacks and drawings: part of the text around them inside an article or main, boilerplate elsewhere.
+EMBEDDED = frozenset(("noscript", "object", "canvas", "svg"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rb rp rt rtc "
-                   "ruby s samp small span strike strong sub sup time tt u var wbr br img picture source".split())
+                   "ruby s samp small span strike strong sub sup time tt u var wbr br img picture source "
+                   "math semantics annotation mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom "
+                   "msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd "
+                   "g defs symbol use path rect circle ellipse line polyline polygon text tspan textpath desc stop".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption blockquote pre address".split())
 CONTENT_ELEMENTS = frozenset(("article", "main"))
-BOILERPLATE_ELEMENTS = frozenset("nav header footer aside form menu dialog button fieldset".split())
+BOILERPLATE_ELEMENTS = frozenset("nav header footer aside form menu dialog button fieldset select template".split())
+#: Boilerplate elements that may wrap a whole page; an article in them is one.
+WRAPPERS = frozenset(("form", "fieldset"))
 # Words of class, id and role attributes.
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
     "disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager "
     "pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar widget complementary contentinfo search alert".split())
+#: Words of areas whose articles are no articles of the page; the second ones only if they are a whole class, id or role.
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+ASIDE_NAMES = frozenset("complementary contentinfo navigation related sidebar".split())
 CONTENT_WORDS = frozenset("article content entry main post story body text".split())
 
 FEATURES = ("constant", "inside article or main", "inside boilerplate element", "boilerplate words", "content words",
@@ -67,31 +76,37 @@ class Block:
 
 
 def _state(state: tuple, name: str, attributes: str) -> tuple:
-    """(content, boilerplate element, boilerplate words, content words) inside an element.
+    """(content, boilerplate element, boilerplate words, content words, firm) inside an element.
 
-    A nested article or main starts anew unless a boilerplate element is around it.
+    An article or main starts anew, without the words and forms around it, unless the boilerplate is firm: an element
+    like nav or aside, hidden, or a comment area.
     """
-    content, element, words, good = state
+    content, element, words, good, firm = state
     if name in CONTENT_ELEMENTS:
         content = True
-    elif name in BOILERPLATE_ELEMENTS:
+        if not firm:
+            element = words = False
+    elif name in BOILERPLATE_ELEMENTS or name in EMBEDDED:
         element = True
+        firm = firm or name in BOILERPLATE_ELEMENTS and name not in WRAPPERS
     if attributes:
         if _HIDDEN.search(attributes):
-            element = True
+            element = firm = True
         if "class" in attributes or "id" in attributes or "role" in attributes:
             hints = {w.lower() for m in _HINT.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")}
             # an article or body that names a sidebar layout is no sidebar
             if name not in CONTENT_ELEMENTS and name != "body" and hints & BOILERPLATE_WORDS:
                 words = True
+                whole = {w.lower() for m in _HINT.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").split()}
+                firm = firm or bool(hints & COMMENT_WORDS or whole & ASIDE_NAMES)
             if hints & CONTENT_WORDS:
                 good = True
-    return content, element, words, good
+    return content, element, words, good, firm
 
 
 def blocks_of(page: str) -> list[Block]:
     """The non-empty text blocks of a page, in order, with character references decoded."""
-    start = (False, False, False, False)
+    start = (False, False, False, False, False)
     stack: list[tuple[str, tuple, int, int]] = [("", start, 0, 0)]  # name, state, own number, the parent's
     made, current, links, elements = [], None, 0, 0
     for token in _TOKEN.finditer(page):
@@ -112,7 +127,7 @@ def blocks_of(page: str) -> list[Block]:
         if name == "a":
             links = 0 if token["close"] else 1
             continue
-        if name in INLINE:
+        if name in INLINE or name in EMBEDDED and stack[-1][1][0]:
             if name in ("br", "img") and current is not None:
                 current.parts.append(" ")
             continue
@@ -143,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def features(block: Block) -> list[float]:
-    content, element, words, good = block.state
+    content, element, words, good, _ = block.state
     raw = sum(map(len, block.parts)) or 1
     count = block.text.count(" ") + 1
     tag = block.tag
@@ -231,7 +246,7 @@ def main_text(page: str | None, weights: np.ndarray, near: float = NEAR, near_ot
     scores = np.array([features(b) for b in found]) @ weights
     content = np.logaddexp(0, scores).tolist()  # cost of calling it boilerplate
     boilerplate = np.logaddexp(0, -scores).tolist()
-    edges = [(i, i + 1, near if a.state == b.state else near_other) for i, (a, b) in enumerate(zip(found, found[1:]))]
+    edges = [(i, i + 1, near if a.state[:4] == b.state[:4] else near_other) for i, (a, b) in enumerate(zip(found, found[1:]))]
     last: dict[int, int] = {}
     for i, block in enumerate(found):  # neighbouring children of one element
         if block.parent in last:
@@ -243,7 +258,7 @@ def main_text(page: str | None, weights: np.ndarray, near: float = NEAR, near_ot
 
 def weak_label(block: Block) -> int | None:
     """1 or 0 where the page's own markup says what a block is, else None."""
-    content, element, words, _ = block.state
+    content, element, words, _, _ = block.state
     if element or words:
         return 0
     return 1 if content else None

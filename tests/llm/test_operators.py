@@ -382,6 +382,25 @@ def test_extraction_keeps_the_article(spark):
     assert extract.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_wrappers_and_embedded_text_leave_the_article():
+    body = "<p>First long paragraph of the text, which ends here.</p><p>Second long paragraph of the text, it ends too.</p>"
+    text = "First long paragraph of the text, which ends here.\nSecond long paragraph of the text, it ends too."
+    for open_, close in (("<div class='has-sidebar'>", "</div>"), ("<div class=page-header-fixed>", "</div>"), ("<form>", "</form>"),
+                         ("<div id='search-results'>", "</div>"), ("<div><svg><g>", "</div>")):
+        for name in ("article", "main"):
+            assert extract.main_text(f"<body>{open_}<{name}>{body}</{name}>{close}</body>", extract.START) == text, open_
+    for open_, close in (("<nav>", "</nav>"), ("<aside>", "</aside>"), ("<div class='comment-list'>", "</div>"),
+                         ("<div class=sidebar>", "</div>"), ("<div hidden>", "</div>")):
+        assert extract.main_text(f"<body>{open_}<article>{body}</article>{close}</body>", extract.START) == "", open_
+    page = ("<article><p>Let the value <math><mi>x</mi></math> be given in <svg><text>this drawing</text></svg> and so on.</p>"
+            "<noscript><p>This figure is shown to readers as a long text.</p></noscript><p>After an <object>open one it goes on.</p>"
+            "<p>The last long paragraph of the article ends here.</p></article>")
+    assert extract.main_text(page, extract.START) == (
+        "Let the value x be given in this drawing and so on.\nThis figure is shown to readers as a long text.\n"
+        "After an open one it goes on.\nThe last long paragraph of the article ends here.")
+    assert extract.main_text("<noscript>Please turn on scripts to read this page.</noscript>", extract.START) == ""
+
+
 def test_min_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(60):
