@@ -17,13 +17,26 @@ from crowdspark.defaults import HOT_GROUP_ROWS
 from crowdspark.session import stable
 
 SLICE = "_slice"
+#: Hash buckets of keys that are counted first; a task sends at most so many counts.
+HOT_BUCKETS = 1 << 16
 
 
 def split_hot_groups(df: DataFrame, keys: Sequence[str], hot_group_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of groups above ``hot_group_rows`` (None if there are none)."""
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group_rows)
+    """Rows of ordinary groups, and rows of groups above ``hot_group_rows`` (None if there are none).
+
+    Hash buckets of the keys are counted first: those counts collapse in the map tasks, whatever the number of
+    groups. Groups themselves are counted only in buckets that are large enough to hold a hot one.
+    """
     if not keys:
+        large = df.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group_rows)
         return (df, None) if large.isEmpty() else (df.limit(0), df)
+    bucket = F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(HOT_BUCKETS))
+    full = [r[0] for r in df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > hot_group_rows).select("_b").collect()]
+    if not full:
+        return df, None
+    some = df.select(*keys).where(bucket.isin(full)) if len(full) < HOT_BUCKETS // 64 else df.select(*keys)
+    large = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group_rows)
     large = large.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     if large.isEmpty():
         return df, None

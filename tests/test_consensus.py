@@ -1,9 +1,13 @@
 """Consensus rules on small subjects."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from crowdspark.operators.consensus import first_n_users, plurality_consensus, question_types
+from crowdspark.operators.consensus import (
+    first_n_users, plurality_by_first_n_users, plurality_consensus, question_types,
+)
 
 
 def annotations(spark, votes):
@@ -105,3 +109,45 @@ def test_first_users(spark):
 def test_question_types():
     types = question_types(["question__species", "question__count", "question__horns_count", "question__moving"])
     assert list(types.values()) == ["main", "count", "count", "prop"]
+
+
+def many_votes(spark, n=400):
+    """Subjects of 1 to 60 rows with repeated users, blanks and empty counts."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        user = f"u{rng.randint(0, 12)}"
+        species = rng.choice(["zebra", "lion", "blank", "giraffe"])
+        subject = f"s{min(rng.randint(0, 9), rng.randint(0, 9))}"
+        rows.append((i, subject, user, f"{subject}-{user}", species, rng.choice(["", "1", "3", "11-50", "51+"]),
+                     rng.choice(["", "0", "1"])))
+    return spark.createDataFrame(
+        rows, "ord int, subject_id string, user_name string, classification_id string, question__species string, "
+              "question__count string, question__standing string")
+
+
+@pytest.mark.parametrize("n_users", [(), (1, 3, 7)])
+def test_hot_subjects_take_another_way_to_the_same_result(spark, n_users):
+    rows = many_votes(spark)
+    plain = plurality_consensus(rows, ["ord"], hot_group_rows=None, n_users=n_users)
+    split = plurality_consensus(rows, ["ord"], hot_group_rows=50, n_users=n_users)
+    assert plain.columns == split.columns and plain.count() > 20
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+
+
+def test_one_scan_and_one_exchange(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    many_votes(spark).write.parquet(path)
+    for n_users in ((), (1, 2, 3, 4, 5)):
+        plan = plurality_consensus(spark.read.parquet(path), ["ord"], n_users=n_users)._jdf.queryExecution().toString()
+        plan = plan[plan.index("Physical Plan"):]
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+def test_first_users_match_the_consensus_of_their_rows(spark):
+    rows = many_votes(spark)
+    whole = plurality_by_first_n_users(rows, [2, 5], ["ord"])
+    for n in (2, 5):
+        want = plurality_consensus(first_n_users(rows, n, ["ord"]).drop("user_rank"), ["ord"])
+        got = whole.where(F.col("max_users_used") == n).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
