@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "consensus_queries", "capture_queries", "classification_queries", "report_queries", "action_queries",
-    "legacy_queries", "source_queries",
+    "legacy_queries", "source_queries", "stream_queries",
 )
 
 

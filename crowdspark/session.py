@@ -20,6 +20,9 @@ def local_session(cpus: int | str = "*", app: str = "crowdspark", shuffle_partit
         # no call-site capture for every column expression: it dominates the time to build a plan
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # state on disk: a batch writes its changes, not all keys
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -1,9 +1,13 @@
 """Streams over growing folders."""
 
+import datetime
+import random
+
+from crowdspark.operators.captures import group_into_captures
 from crowdspark.operators.classifications import extract_annotations
 from crowdspark.plans.classification_queries import FILTERS, MULTI, SINGLE
 from crowdspark.plans.tables import Tables
-from crowdspark.streaming import incremental
+from crowdspark.streaming import arrivals, incremental
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -31,3 +35,72 @@ def test_items_are_processed_once(spark, tmp_path):
         items = spark.readStream.schema("capture_id string").parquet(folder)
         incremental.process_once(items, "capture_id", out, state).awaitTermination(120)
     assert sorted(r["capture_id"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
+
+
+def test_a_batch_reads_nothing_that_was_written_before(spark, tmp_path):
+    """Each batch has its own new files as input, and its keys are looked up in the state."""
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    for n in range(4):
+        spark.createDataFrame([(f"{n}-{i}",) for i in range(5)] + [("again",)], "id string").coalesce(1).write.mode("append").parquet(folder)
+        query = incremental.process_once(spark.readStream.schema("id string").parquet(folder), "id", out, state)
+        query.awaitTermination(120)
+        assert sum(p["numInputRows"] for p in query.recentProgress) == 6
+    assert spark.read.parquet(out).count() == 21
+
+
+IMAGES = "season string, site string, roll string, datetime timestamp_ntz, image_path_original string, extra double"
+
+
+def images(n=120):
+    """Two rolls, gaps of exactly 5 and 6 seconds, equal times, and a null in another column."""
+    rng, rows = random.Random(3), []
+    for roll in ("1", "2"):
+        at = datetime.datetime(2020, 1, 1)
+        for i in range(n // 2):
+            at += datetime.timedelta(seconds=rng.choice([0, 1, 5, 6, 400]))
+            rows.append(("S1", "A", roll, at, f"{roll}/{i:03}", None if i % 7 == 0 else i / 3))
+    return rows
+
+
+def run_captures(spark, folder, out, state):
+    stream = arrivals.capture_stream(spark.readStream.schema(IMAGES).option("maxFilesPerTrigger", 1).parquet(folder), delay="1 day",
+                                     close_after=3600)
+    query = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True).format("parquet").start(out)
+    query.awaitTermination(200)
+
+
+def test_captures_of_shuffled_files_and_a_restart(spark, tmp_path):
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    rows = images()
+    shuffled = random.Random(5).sample(rows, len(rows))
+    for part in (shuffled[:50], shuffled[50:]):
+        spark.createDataFrame(part, IMAGES).coalesce(1).write.mode("append").parquet(folder)
+    run_captures(spark, folder, out, state)
+    arrivals.end_mark(spark, IMAGES, "datetime", "2020-02-01 00:00:00").coalesce(1).write.mode("append").parquet(folder)
+    for _ in range(2):  # the second run finds nothing new
+        run_captures(spark, folder, out, state)
+        got = spark.read.parquet(out)
+        want = group_into_captures(spark.createDataFrame(rows, IMAGES))
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    # an image behind the watermark is dropped, a later one goes on with the numbers
+    more = [("S1", "A", "1", datetime.datetime(2020, 1, 1), "late", 0.0), ("S1", "A", "1", datetime.datetime(2020, 2, 2), "next", 0.0),
+            ("S1", "A", "1", None, "no time", 0.0)]
+    spark.createDataFrame(more, IMAGES).coalesce(1).write.mode("append").parquet(folder)
+    arrivals.end_mark(spark, IMAGES, "datetime", "2020-03-01 00:00:00").coalesce(1).write.mode("append").parquet(folder)
+    run_captures(spark, folder, out, state)
+    new = spark.read.parquet(out).where("image_path_original in ('late', 'next', 'no time')").collect()
+    assert [(r.image_path_original, r.image_rank_in_roll, r.seconds_to_next_image_taken) for r in new] == [("next", 61, 0.0)]
+
+
+def test_first_rows_of_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    schema = "k string, at timestamp_ntz, n int, name string"
+    day = lambda d: datetime.datetime(2020, 1, d)
+    parts = [[("a", day(5), 1, "late"), ("a", day(4), 10, "ten"), ("a", day(4), 9, "nine"), ("b", day(6), None, "null"), ("b", day(6), 0, "zero")],
+             [("a", day(4), 2, "two"), ("c", None, 0, "no time")], [(None, day(20), 0, "mark")], [("a", day(21), 0, "again"), (None, day(30), 0, "m")]]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = arrivals.first_rows_stream(spark.readStream.schema(schema).parquet(folder), ["k"], F.col("at"), ["n"], delay="4 days")
+        stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True).format("parquet").start(out).awaitTermination(100)
+    assert sorted((r.k, r.n, r.name) for r in spark.read.parquet(out).collect()) == [("a", 2, "two"), ("b", None, "null")]
