@@ -11,6 +11,7 @@ from crowdspark.defaults import ACTION_FLAGS, ALLOWED_ACTIONS, DATETIME_FORMAT,
 from crowdspark.functions.text import filled
 from crowdspark.functions.times import parse_datetime, seconds_between, shift_seconds
 from crowdspark.operators.ordering import group_positions
+from crowdspark.session import stable
 
 TARGETS = ("action_site", "action_roll", "action_from_image", "action_to_image")
 
@@ -60,7 +61,7 @@ def _range_ends(ranges: DataFrame, captures: DataFrame, rolls: DataFrame, keys:
     """Ranges with the roll number and the rank of their first and last image."""
     for side in ("from", "to"):
         place = captures.select(F.col(image).alias(f"action_{side}_image"), F.col(rank).alias(f"_{side}_rank"), *keys)
-        place = place.join(rolls.withColumnRenamed("_roll_no", f"_{side}_no"), list(keys)).drop(*keys)
+        place = place.join(rolls.select(*keys, F.col("_roll_no").alias(f"_{side}_no")), list(keys)).drop(*keys)
         ranges = ranges.join(place, f"action_{side}_image", "left")
     return ranges
 
@@ -70,42 +71,78 @@ def _in_order() -> Column:
     return F.coalesce(F.col("_from_no").isNotNull() & F.col("_to_no").isNotNull() & (start <= end), F.lit(False))
 
 
-def number_rolls(captures: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
-    """The rolls with their position in text order."""
-    return group_positions(captures.select(*keys).distinct(), [], list(keys), out="_roll_no")
+def number_rolls(captures: DataFrame, keys: Sequence[str] = GROUP_KEYS, rank: str = "image_rank_in_roll") -> DataFrame:
+    """The rolls with their position in text order and their last rank."""
+    rolls = captures.groupBy(*keys).agg(F.max(rank).cast("bigint").alias("_size"))
+    return group_positions(rolls, [], list(keys), out="_roll_no")
+
+
+#: Ranks of a roll are below 2 to this power.
+RANK_BITS = 31
+
+
+def covering_blocks(first: str, end: str) -> Column:
+    """SQL for the blocks ``level, block`` that make up the ranks from ``first`` to below ``end``.
+
+    A block of level k holds the 2^k ranks whose number shifted by k is ``block``. At most two blocks of each level are
+    needed: the odd one on the left, and the one before an odd end on the right, while the left is below the right.
+    """
+    left, right = f"((({first}) + shiftleft(1L, k) - 1) div shiftleft(1L, k))", f"(({end}) div shiftleft(1L, k))"
+    return F.expr(f"""filter(flatten(transform(sequence(0, {RANK_BITS}), k -> array(
+        if({left} < {right} and {left} % 2 = 1, struct(k as level, {left} as block), null),
+        if({left} < {right} and {right} % 2 = 1, struct(k as level, {right} - 1 as block), null)))), b -> b is not null)""")
+
+
+def range_ends(ranges: DataFrame, captures: DataFrame, keys: Sequence[str] = GROUP_KEYS,
+               rank: str = "image_rank_in_roll", image: str = "image_name") -> DataFrame:
+    """Ranges with the roll numbers and ranks of both ends, null where an image is unknown."""
+    return _range_ends(ranges, captures, number_rolls(captures, keys, rank), keys, rank, image)
+
+
+def _range_images(columns: Sequence[str], ends: DataFrame, captures: DataFrame, keys: Sequence[str], rank: str,
+                  image: str) -> DataFrame:
+    rolls = number_rolls(captures, keys, rank)
+    parts = ends.where(_in_order()).withColumn("_roll_no", F.explode(F.sequence("_from_no", "_to_no"))).join(rolls, "_roll_no")
+    parts = parts.withColumns({
+        "_first": F.when(F.col("_roll_no") == F.col("_from_no"), F.col("_from_rank")).otherwise(F.lit(0)).cast("bigint"),
+        "_end": (F.when(F.col("_roll_no") == F.col("_to_no"), F.col("_to_rank")).otherwise(F.col("_size")) + 1).cast("bigint")})
+    blocks = parts.select(*columns, *keys, F.explode(covering_blocks("_first", "_end")).alias("_b")).select(
+        *columns, *keys, "_b.level", "_b.block")
+    # an image is in one block of each level; only the levels that its roll's ranges use
+    levels = blocks.groupBy(*keys).agg(F.collect_set("level").alias("_levels"))
+    images = captures.select(F.col(image).alias("image"), F.col(rank).cast("bigint").alias("_rank"), *keys).join(levels, list(keys))
+    images = images.withColumn("level", F.explode("_levels")).withColumn("block", F.expr("shiftright(_rank, level)"))
+    return blocks.join(images.drop("_levels", "_rank"), [*keys, "level", "block"]).select(*columns, "image")
 
 
 def images_for_range(ranges: DataFrame, captures: DataFrame, keys: Sequence[str] = GROUP_KEYS,
                      rank: str = "image_rank_in_roll", image: str = "image_name") -> DataFrame:
     """All images between two names in inventory order; a range may cross rolls.
 
-    A range is spread over the numbers of the rolls it touches, so images meet their ranges by an equi
-    join on the roll. No side has to be small.
+    A range is cut at the rolls it touches and each part into blocks of ranks whose lengths are powers of two, so images
+    meet ranges by an equi join on roll and block: it makes the rows of the result and no others, however many short
+    ranges share a roll. No side has to be small.
     """
-    rolls = number_rolls(captures, keys)
-    ends = _range_ends(ranges, captures, rolls, keys, rank, image).where(_in_order())
-    spread = ends.withColumn("_roll_no", F.explode(F.sequence("_from_no", "_to_no"))).join(rolls, "_roll_no")
-    after = (F.col("_roll_no") > F.col("_from_no")) | (F.col(rank) >= F.col("_from_rank"))
-    before = (F.col("_roll_no") < F.col("_to_no")) | (F.col(rank) <= F.col("_to_rank"))
-    images = captures.select(F.col(image).alias("image"), rank, *keys)
-    return images.join(spread, list(keys)).where(after & before).select(*ranges.columns, "image")
+    return _range_images(ranges.columns, range_ends(ranges, captures, keys, rank, image), captures, keys, rank, image)
 
 
-def range_problems(ranges: DataFrame, captures: DataFrame, keys: Sequence[str] = GROUP_KEYS,
-                   rank: str = "image_rank_in_roll", image: str = "image_name") -> DataFrame:
-    """Ranges whose images are unknown or whose last image precedes the first."""
-    ends = _range_ends(ranges, captures, number_rolls(captures, keys), keys, rank, image)
+def _end_problems(ends: DataFrame) -> DataFrame:
     return ends.where(~_in_order()).select(
         "action_no", F.when(F.col("_from_no").isNull() | F.col("_to_no").isNull(), "image of range is unknown")
         .otherwise("last image of range precedes the first").alias("problem"))
 
 
+def range_problems(ranges: DataFrame, captures: DataFrame, **options) -> DataFrame:
+    """Ranges whose images are unknown or whose last image precedes the first."""
+    return _end_problems(range_ends(ranges, captures, **options))
+
+
 def images_for_site(actions: DataFrame, captures: DataFrame, image: str = "image_name") -> DataFrame:
-    """Images of the site, or of the site and roll where a roll is given."""
-    images = captures.select(F.col("site").alias("action_site"), F.col("roll").alias("_roll"), F.col(image).alias("image"))
-    joined = actions.join(images, "action_site")
-    return joined.where((F.col("action_roll") == "") | (F.col("action_roll") == F.col("_roll"))).select(
-        *actions.columns, "image")
+    """Images of the site, or of the site and roll where a roll is given; each kind meets its own images only."""
+    of_site = captures.select(F.col("site").alias("action_site"), F.col(image).alias("image"))
+    of_roll = captures.select(F.col("site").alias("action_site"), F.col("roll").alias("action_roll"), F.col(image).alias("image"))
+    return actions.where("action_roll = ''").join(of_site, "action_site").select(*actions.columns, "image").unionByName(
+        actions.where("action_roll <> ''").join(of_roll, ["action_site", "action_roll"]).select(*actions.columns, "image"))
 
 
 def check_actions(action_list: DataFrame, captures: DataFrame, **options) -> DataFrame:
@@ -114,22 +151,26 @@ def check_actions(action_list: DataFrame, captures: DataFrame, **options) -> Dat
     return validate_actions(action_list).unionByName(range_problems(ranges, captures, **options))
 
 
-def generate_actions(action_list: DataFrame, captures: DataFrame, check: bool = True, **options) -> DataFrame:
+def generate_actions(action_list: DataFrame, captures: DataFrame, check: bool = True, keys: Sequence[str] = GROUP_KEYS,
+                     rank: str = "image_rank_in_roll", image: str = "image_name") -> DataFrame:
     """One row per image and action: ``image, action, reason, shift_time_by_seconds, action_no``.
 
-    A list with broken rules, a range that has no images, or two time changes of one image raise ValueError.
-    With ``check=False`` nothing is checked: see ``check_actions`` and ``repeated_actions`` for the problems as
-    tables.
+    A list with broken rules, a range that has no images, or two time changes of one image raise ValueError; the range
+    ends and the rows are worked out once, written, and then checked. With ``check=False`` nothing is checked or
+    written: see ``check_actions`` and ``repeated_actions`` for the problems as tables.
     """
+    scoped = action_list.withColumn("_scope", action_scope())
+    ranges = scoped.where(F.col("_scope") == "image_range")
+    ends = range_ends(ranges, captures, keys, rank, image)
     if check:
-        problems = check_actions(action_list, captures, **options).orderBy("action_no", "problem").limit(20).collect()
+        ends = stable(ends)
+        problems = validate_actions(action_list).unionByName(_end_problems(ends)).orderBy("action_no", "problem").limit(20).collect()
         if problems:
             raise ValueError("; ".join(f"action {p.action_no}: {p.problem}" for p in problems))
-    scoped = action_list.withColumn("_scope", action_scope())
     single = scoped.where(F.col("_scope") == "single_image").withColumn("image", F.col("action_from_image"))
     expanded = (
-        images_for_site(scoped.where(F.col("_scope").isin("site", "site_roll")), captures)
-        .unionByName(images_for_range(scoped.where(F.col("_scope") == "image_range"), captures, **options))
+        images_for_site(scoped.where(F.col("_scope").isin("site", "site_roll")), captures, image)
+        .unionByName(_range_images(ranges.columns, ends, captures, keys, rank, image))
         .unionByName(single)
     )
     shift = seconds_between(parse_datetime(F.col("datetime_current"), [DATETIME_FORMAT]),
@@ -139,6 +180,7 @@ def generate_actions(action_list: DataFrame, captures: DataFrame, check: bool =
         F.when(F.col("action_to_take") == "timechange", shift).otherwise(F.lit(0.0)).alias("shift_time_by_seconds"),
         "action_no")
     if check:
+        made = stable(made)
         changes = made.where(F.col("action") == "timechange")
         twice = repeated_actions(changes).where("is_error").orderBy("image").limit(20).collect()
         if twice:

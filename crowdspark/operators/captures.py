@@ -15,6 +15,7 @@ from crowdspark.functions import text
 from crowdspark.functions.times import epoch_seconds, split_date_time
 from crowdspark.operators.ordering import SLICE, before_slice, join_summary, ordered_slices, split_hot_groups
 from crowdspark.operators.quality import time_checks
+from crowdspark.session import stable
 
 SECONDS_PER_DAY = 86400.0
 
@@ -87,8 +88,9 @@ def group_into_captures(
     if hot is not None:
         local = _local_columns(ordered_slices(hot, [*keys, *order]), [SLICE, *keys], order, max_gap)
         parts.append(join_summary(local, _slice_summary(local, keys, max_gap), keys))
-    return parts[0].select(*base, *_capture_columns()) if hot is None else parts[0].select(
-        *base, *_capture_columns()).unionByName(parts[1].select(*base, *_capture_columns()))
+    columns = [*base, *_capture_columns(keys)]
+    grouped = parts[0].select(*columns)
+    return grouped if hot is None else grouped.unionByName(parts[1].select(*columns))
 
 
 CAPTURE_COLUMNS = (
@@ -97,7 +99,7 @@ CAPTURE_COLUMNS = (
 )
 
 
-def _capture_columns() -> list[Column]:
+def _capture_columns(keys: Sequence[str]) -> list[Column]:
     rank = F.col("_before") + F.col("_rn")
     last = F.coalesce(F.col("_s") - F.coalesce(F.col("_prev"), F.col("_prev_s")), F.lit(0.0))
     following = F.coalesce(F.coalesce(F.col("_next"), F.col("_next_s")) - F.col("_s"), F.lit(0.0))
@@ -111,7 +113,7 @@ def _capture_columns() -> list[Column]:
         F.round(following / SECONDS_PER_DAY, 2).alias("days_to_next_image_taken"),
         capture.alias("capture"),
         (rank - start + 1).cast("int").alias("image_rank_in_capture"),
-        F.concat_ws("#", "season", "site", "roll", capture.cast("string")).alias("capture_id"),
+        F.concat_ws("#", *keys, capture.cast("string")).alias("capture_id"),
     ]
 
 
@@ -155,6 +157,21 @@ def regroup_after_actions(captures: DataFrame, *, unique_id: str = "image_name",
     return time_checks(grouped, max_days=max_days, min_year=min_year, max_year=max_year, max_images=max_images)
 
 
+def regroup_touched(captures: DataFrame, actions: DataFrame, *, image: str = "image_name", keys: Sequence[str] = GROUP_KEYS,
+                    flags: Mapping[str, Sequence[str]] = FLAGS_REMOVED_FROM_CLEANED, **options) -> DataFrame:
+    """``regroup_after_actions`` of the rolls that ``actions`` touch; the rows of all others pass by unchanged.
+
+    ``captures`` are grouped captures to which the actions were applied, ``actions`` has the ``image`` of each. A roll is
+    touched if an action names one of its images or if it holds an image that is to be removed. The rolls are a short list, so
+    that the rows of untouched rolls are not shuffled but filtered where they are.
+    """
+    named = captures.join(actions.select(F.col("image").alias(image)).distinct(), image, "left_semi").select(*keys)
+    touched = stable(named.unionByName(captures.where(flagged(captures, flags)).select(*keys)).distinct())
+    again = regroup_after_actions(captures.join(touched, list(keys), "left_semi"), unique_id=image, keys=keys, flags=flags, **options)
+    rest = captures.join(touched, list(keys), "left_anti")
+    return again.unionByName(rest.select(*again.columns))
+
+
 def capture_number(capture_id: str = "capture_id") -> Column:
     return F.element_at(F.split(F.col(capture_id), "#"), -1).try_cast("int")
 

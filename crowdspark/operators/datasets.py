@@ -8,11 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdspark.defaults import HOT_GROUP_ROWS
 from crowdspark.functions import text
 from crowdspark.functions.answers import binary_answer
 from crowdspark.functions.hashing import assign_split, hash_to_unit, shuffle_key
-from crowdspark.operators.ordering import first_n_per_group, group_positions
+from crowdspark.operators.ordering import first_n_per_group, lowest_hashes
 from crowdspark.operators.predictions import first_images
 
 SPLIT_NAMES, SPLIT_SHARES = ("train", "val", "test"), (0.9, 0.05, 0.05)
@@ -66,12 +65,10 @@ def test_split_only(df: DataFrame, location: str = "location", season: str = "se
     return rows.withColumns(paths)
 
 
-def random_sample(df: DataFrame, n: int, unique_id: str, strata: Sequence[str] = (), seed: int = 123,
-                  hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Exactly ``n`` rows (of each stratum), without replacement, repeatable by the seed."""
+def random_sample(df: DataFrame, n: int, unique_id: str, strata: Sequence[str] = (), seed: int = 123) -> DataFrame:
+    """Exactly ``n`` rows (of each stratum), without replacement, repeatable by the seed; nothing is sorted as a whole."""
     ordered = df.withColumn("_random", shuffle_key(seed, F.col(unique_id)))
-    placed = group_positions(ordered, strata, ["_random", unique_id], out="_position", hot_group_rows=hot_group_rows)
-    return placed.where(F.col("_position") <= n).select(*df.columns)
+    return lowest_hashes(ordered, strata, "_random", [unique_id], n).select(*df.columns)
 
 
 def shuffle(df: DataFrame, unique_id: str, seed: int = 123) -> DataFrame:

@@ -99,3 +99,30 @@ def first_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     kept = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = kept.where(F.col(name) <= n)
     return kept if rank else kept.drop(name)
+
+
+#: Leading hexadecimal digits of a hash that its histogram counts.
+HASH_DIGITS = 4
+
+
+def lowest_hashes(df: DataFrame, keys: Sequence[str], hashed: str, tie: Sequence[str], quota: Column | int) -> DataFrame:
+    """The rows of each group with the lowest values of a hexadecimal hash: as many as ``quota`` says.
+
+    No group is sorted. The leading digits are counted, with partial sums; from these counts comes the bucket in which
+    a group reaches its quota. Rows of lower buckets are taken whole, and only those of that one bucket are ranked, by hash
+    and ``tie``. ``quota`` is a number, or a column of ``df`` that is the same in a group. Reads ``df`` three times.
+    """
+    keys, quota = list(keys), F.lit(quota) if isinstance(quota, int) else quota
+    rows = df.withColumns({"_bucket": F.conv(F.substring(hashed, 1, HASH_DIGITS), 16, 10).cast("int"), "_quota": quota.cast("bigint")})
+    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.max("_quota").alias("_wanted"))
+    counts = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket")))
+    counts = counts.withColumn("_before", F.col("_upto") - F.col("_n"))
+    cuts = counts.where("_before < _wanted and _upto >= _wanted or _wanted <= 0 and _before = 0")
+    cuts = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_bucket").alias("_cut"), "_before")
+    same = [rows[k].eqNullSafe(cuts[f"_c_{k}"]) for k in keys]
+    placed = rows.join(cuts, same, "left") if keys else rows.join(cuts.withColumn("_one", F.lit(1)), F.lit(1) == F.col("_one"), "left")
+    whole = placed.where(F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut")))
+    edge = placed.where(F.col("_bucket") == F.col("_cut")).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(hashed, *tie))).where(
+        F.col("_rn") <= F.col("_quota") - F.col("_before"))
+    return whole.select(*df.columns).unionByName(edge.select(*df.columns))

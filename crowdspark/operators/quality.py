@@ -14,6 +14,8 @@ from crowdspark.defaults import (
     MAX_DAYS_WITHOUT_IMAGE, MAX_IMAGES_PER_CAPTURE, MAX_YEAR, MIN_YEAR, WHITE_SHARE, WHITE_THRESHOLD,
 )
 from crowdspark.functions.text import base_name, filled
+from crowdspark.session import stable
+from crowdspark.sources.contents import file_digests
 
 
 def check_columns(columns: Sequence[str]) -> list[str]:
@@ -157,47 +159,68 @@ def image_exposure(images: DataFrame, black: tuple[int, float] = (BLACK_THRESHOL
         exposure, schema)
 
 
-def _repeated(files: DataFrame, key: str) -> DataFrame:
-    """Files whose key occurs more than once; the counts are aggregated before the shuffle."""
-    counts = files.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
-    return files.join(counts, key, "left_semi")
+def _repeated(files: DataFrame, *keys: str) -> DataFrame:
+    """Files whose keys occur more than once; the counts are aggregated before the shuffle."""
+    counts = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+    return files.join(counts, list(keys), "left_semi")
+
+
+def _same_content(files: DataFrame, prefix_bytes: int) -> DataFrame:
+    """``files`` (with ``path, length``) of equal size and equal start, with ``_hash`` of the whole content.
+
+    Sizes come from the listing. Only files that share a size are opened, for their first bytes; only those that
+    share these too are read whole. Files that fit into the first bytes are not read again.
+    """
+    starts = stable(file_digests(files, prefix_bytes, "_start").where("_start is not null"))
+    same = _repeated(starts, "length", "_start")
+    short = same.where(F.col("length") <= prefix_bytes).withColumn("_hash", F.col("_start"))
+    long = file_digests(same.where(F.col("length") > prefix_bytes), None, "_hash")
+    return stable(short.unionByName(long).where("_hash is not null").drop("_start"))
 
 
 def duplicate_files(files: DataFrame, order_by: Sequence[str] = ("path",), prefix_bytes: int = 1024) -> DataFrame:
-    """Pairs of a file and the first file of equal content.
+    """Pairs of a file and the first file of equal content: ``path, first_path, length``.
 
-    Expects ``path``, ``length`` and ``content``. The stages keep files of equal size, then of equal
-    start, and hash whole contents only for what is left.
+    Expects ``path`` and ``length``. Without ``content`` the files are opened by path, in stages: those of equal size,
+    then those of equal start. A ``content`` column is hashed where it is, and never crosses a shuffle. Files that
+    cannot be read are left out.
     """
-    start = F.sha1(F.substring(F.col("content"), 1, prefix_bytes))
-    candidates = _repeated(_repeated(files, "length").withColumn("_start", start), "_start")
-    hashed = candidates.select("path", "length", F.sha1("content").alias("_hash"), *[
-        F.col(c) for c in order_by if c not in ("path", "length")])
-    firsts = hashed.groupBy("_hash").agg(
+    columns = [F.col(c) for c in dict.fromkeys(["path", "length", *order_by])]
+    if "content" in files.columns:
+        hashed = files.select(*columns, F.sha1("content").alias("_hash"))
+    else:
+        hashed = _same_content(_repeated(files.select(*columns), "length"), prefix_bytes)
+    firsts = hashed.groupBy("length", "_hash").agg(
         F.min_by("path", F.struct(*order_by)).alias("first_path"), F.count(F.lit(1)).alias("_n"))
     firsts = firsts.where(F.col("_n") > 1).drop("_n")
-    return hashed.join(firsts, "_hash").where(F.col("path") != F.col("first_path")).select(
+    return hashed.join(firsts, ["length", "_hash"]).where(F.col("path") != F.col("first_path")).select(
         "path", "first_path", "length")
 
 
-def match_files(find: DataFrame, search: DataFrame, verify_single: bool = False) -> DataFrame:
+def match_files(find: DataFrame, search: DataFrame, verify_single: bool = False, prefix_bytes: int = 1024) -> DataFrame:
     """The searched file of each file to find: equal size, and equal content if several share the size.
 
-    Both tables need ``path``, ``length`` and ``content``. Files without a match keep null. Sizes with
-    one searched file match by size alone unless ``verify_single``; all others match on size and hash.
+    Both tables need ``path`` and ``length``. Files without a match keep null. Sizes with one searched file match by
+    size alone unless ``verify_single``; all others match on size and hash, of ``content`` if both tables have it, else
+    of the files themselves, of which only those are opened whose size is on both sides and has to be compared.
     """
-    left = find.select(F.col("path").alias("path_search"), "length", F.sha1("content").alias("_hash"))
-    right = search.select(F.col("path").alias("path_found"), F.col("length").alias("_length"),
-                          F.sha1("content").alias("_found_hash"))
-    per_size = right.groupBy("_length").agg(F.count(F.lit(1)).alias("_n"), F.min("path_found").alias("_only"))
-    firsts = right.groupBy("_length", "_found_hash").agg(F.min("path_found").alias("path_found"))
-    matched = (
-        left.join(per_size, F.col("length") == F.col("_length"), "left").drop("_length")
-        .join(firsts, (F.col("length") == F.col("_length")) & (F.col("_hash") == F.col("_found_hash")), "left")
-    )
+    tables = [t.select("path", "length", F.lit(side).alias("_side"), *(["content"] if "content" in t.columns else []))
+              for side, t in enumerate((find, search))]
+    per_size = tables[1].groupBy("length").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_only"))
+    if all("content" in t.columns for t in tables):
+        hashed = tables[0].unionByName(tables[1]).select("path", "length", "_side", F.sha1("content").alias("_hash"))
+    else:
+        compared = per_size if verify_single else per_size.where(F.col("_n") > 1)
+        sizes = compared.select("length").join(find.select("length").distinct(), "length", "left_semi")
+        both = tables[0].drop("content").unionByName(tables[1].drop("content"))
+        hashed = _same_content(both.join(sizes, "length", "left_semi"), prefix_bytes)
+    firsts = hashed.where("_side = 1").groupBy("length", "_hash").agg(F.min("path").alias("path_found"))
+    same = hashed.where("_side = 0").join(firsts, ["length", "_hash"]).select("path", "path_found")
+    matched = tables[0].select("path", "length").join(per_size, "length", "left").join(same, "path", "left")
     found = F.col("path_found") if verify_single else F.when(F.col("_n") == 1, F.col("_only")).otherwise(
         F.col("path_found"))
-    return matched.select("path_search", found.alias("path_found")).withColumn("name_found", base_name(F.col("path_found")))
+    return matched.select(F.col("path").alias("path_search"), found.alias("path_found")).withColumn(
+        "name_found", base_name(F.col("path_found")))
 
 
 def coverage_check(reference: DataFrame, result: DataFrame, on: Sequence[str], compare: Sequence[str] = ()) -> DataFrame:

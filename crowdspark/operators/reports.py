@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdspark.defaults import (
-    COUNT_QUESTIONS, EMPTY_ANSWER, HOT_GROUP_ROWS, HUMAN_LABELS, MAIN_COLUMN, MAIN_QUESTION,
+    COUNT_QUESTIONS, EMPTY_ANSWER, HUMAN_LABELS, MAIN_COLUMN, MAIN_QUESTION,
 )
 from crowdspark.functions.answers import half_up_answer
 from crowdspark.functions.hashing import shuffle_key
 from crowdspark.operators.consensus import answer_shares, question_columns
-from crowdspark.operators.ordering import group_positions
+from crowdspark.operators.ordering import lowest_hashes
 from crowdspark.session import stable
 
 
@@ -113,14 +113,13 @@ def question_answer_overview(reports: DataFrame, keys: Sequence[str] = ("locatio
     return long.distinct()
 
 
-def balanced_sample(df: DataFrame, label: str, n: int, unique_id: str, seed: int = 123,
-                    hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def balanced_sample(df: DataFrame, label: str, n: int, unique_id: str, seed: int = 123) -> DataFrame:
     """``n`` rows with labels as balanced as possible; only the commonest labels are cut short.
 
     Every label gives up to R rows, with the smallest R that reaches ``n``; the labels are filled from
     the rarest to the commonest. Rows of a label are chosen by a repeatable random order of their id.
-    The quota of each label comes from the label counts. The input is read three times, so it is
-    checkpointed first.
+    The quota of each label comes from the label counts. No label is sorted as a whole (``lowest_hashes``). The input
+    is read several times, so it is checkpointed first.
     """
     df = stable(df)
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_count"))
@@ -138,7 +137,6 @@ def balanced_sample(df: DataFrame, label: str, n: int, unique_id: str, seed: int
     taken = F.coalesce(F.sum("_share").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.withColumn("_quota", F.greatest(F.lit(0), F.least("_share", F.col("_wanted") - taken)))
     ordered = df.withColumn("_random", shuffle_key(seed, F.col(unique_id)))
-    placed = group_positions(ordered, [label], ["_random", unique_id], out="_position", hot_group_rows=hot_group_rows)
-    quotas = counts.select(F.col(label).alias("_label"), "_quota")
-    joined = placed.join(quotas, placed[label].eqNullSafe(quotas["_label"]))
-    return joined.where(F.col("_position") <= F.col("_quota")).select(*df.columns)
+    quotas = counts.select(F.col(label).alias("_label"), F.col("_quota").alias("_taken"))
+    joined = ordered.join(quotas, ordered[label].eqNullSafe(quotas["_label"]))
+    return lowest_hashes(joined, [label], "_random", [unique_id], F.col("_taken")).select(*df.columns)

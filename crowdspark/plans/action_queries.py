@@ -13,8 +13,8 @@ from crowdspark.plans.capture_queries import flagged
 from crowdspark.plans.registry import query
 from crowdspark.plans.sql_views import REQUIRES, VIEWS
 from crowdspark.plans.tables import Tables
-from crowdspark.session import stable
-from crowdspark.sources.readers import inventory_from_paths
+from crowdspark.session import shared_folder, stable
+from crowdspark.sources.readers import inventory_from_paths, list_images
 
 LIST_COLUMNS = ("action_no", *actions.TARGETS, "action_to_take", "action_to_take_reason", "datetime_current", "datetime_new")
 
@@ -195,7 +195,7 @@ def unknown_images(t: Tables) -> DataFrame:
 
 # --- files ---------------------------------------------------------------------------------------
 
-@query("v_files", """
+@query("v_files", DUPLICATES_SQL := """
 SELECT path, first_path, length FROM (
   SELECT path, length, doc_id, first_value(path) OVER (PARTITION BY text ORDER BY doc_id) AS first_path FROM v_files)
 WHERE path <> first_path""")
@@ -217,6 +217,57 @@ def match_files(t: Tables) -> DataFrame:
     return matched.select("path_search", F.coalesce("path_found", F.lit("")).alias("path_found"))
 
 
+def on_disk(t: Tables) -> DataFrame:
+    """``documents_as_files`` as files below a new folder: ``path, length`` of the listing and the path in the table."""
+    root = shared_folder(t.spark, "files").removeprefix("file:")
+
+    def write(batches):
+        from pyarrow.fs import FileSystem
+        for batch in batches:
+            system, name = FileSystem.from_uri(root)
+            system.create_dir(name)
+            for number, content in zip(batch.column("doc_id").to_pylist(), batch.column("content").to_pylist()):
+                with system.open_output_stream(f"{name}/{number:012}.jpg") as out:
+                    out.write(content)
+            yield batch.select(["doc_id", "path"])
+
+    names = stable(t.documents_as_files.select("doc_id", "path", "content").mapInArrow(write, "doc_id bigint, path string"))
+    listed = list_images(t.spark, root).select("path", F.col("length").alias("bytes"))
+    number = F.regexp_extract("path", r"([0-9]+)\.jpg$", 1).cast("bigint")
+    return listed.withColumn("doc_id", number).join(names.withColumnRenamed("path", "name"), "doc_id").withColumnRenamed("bytes", "length")
+
+
+@query("v_files", f"SELECT path, first_path FROM ({DUPLICATES_SQL})")
+def duplicate_files_by_path(t: Tables) -> DataFrame:
+    """D5 over files: sizes from the listing, then starts and whole contents of those that may be equal."""
+    files = on_disk(t)
+    found = quality.duplicate_files(files.select("path", "length", "doc_id"), ["doc_id"])
+    names = files.select("path", "name")
+    return found.join(names, "path").select(F.col("name").alias("_name"), "first_path").join(
+        names.withColumnsRenamed({"path": "first_path", "name": "_first"}), "first_path").select(
+        F.col("_name").alias("path"), F.col("_first").alias("first_path"))
+
+
+@query("v_files", """
+SELECT f.path, (SELECT min(s.doc_id) FROM v_files s WHERE s.text = f.text AND s.doc_id % 3 <> 0) AS found
+FROM v_files f WHERE f.doc_id % 3 = 0""")
+def match_files_by_path(t: Tables) -> DataFrame:
+    """J11 over files, every match verified by content; of equal files the first by name."""
+    files = on_disk(t)
+    number = F.regexp_extract("path_found", r"([0-9]+)\.jpg$", 1).cast("bigint")
+    # names in the order of their numbers
+    matched = quality.match_files(files.where("doc_id % 3 = 0").select("path", "length"),
+                                  files.where("doc_id % 3 <> 0").select("path", "length"), verify_single=True)
+    return matched.join(files.select(F.col("path").alias("path_search"), "name"), "path_search").select(
+        F.col("name").alias("path"), number.alias("found"))
+
+
+@query("", "SELECT doc_id, strlen(text) AS length FROM documents WHERE text IS NOT NULL")
+def listed_images(t: Tables) -> DataFrame:
+    """Name and size of all images below a folder."""
+    return on_disk(t).select("doc_id", "length")
+
+
 @query("v_files", """
 SELECT path, unnest(list_filter([
   CASE WHEN NOT regexp_full_match(split_part(path, '/', -2), '[a-zA-Z0-9]+_R[0-9]+') THEN 'roll folder must be <site>_R<number>'

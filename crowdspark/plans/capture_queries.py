@@ -192,6 +192,15 @@ def regroup_after_actions(t: Tables) -> DataFrame:
         "image_name", "image_rank_in_roll", "capture", "capture_id", "image_rank_in_capture")
 
 
+@query("v_flagged", REGROUPED)
+def regroup_touched(t: Tables) -> DataFrame:
+    """W9 of the rolls that an action touches; all others pass by."""
+    rows = flagged(t)
+    named = rows.where("event_type = 'signup'").select(F.col("image_name").alias("image"))
+    return captures.regroup_touched(rows, named, max_gap=GAP).select(
+        "image_name", "image_rank_in_roll", "capture", "capture_id", "image_rank_in_capture")
+
+
 @query("v_flagged", """
 SELECT image_name, image_path_original FROM v_flagged
 WHERE image_was_deleted <> '1' AND image_is_invalid <> '1'""")

@@ -254,9 +254,7 @@ JOIN quotas ON label = question__species WHERE position <= quota""")
 def balanced_sample(t: Tables) -> DataFrame:
     """A sample of consensus rows with species as balanced as possible."""
     rows = consensus.plurality_consensus(t.annotations, ANNOTATION_ORDER, consensus_only=True)
-    sample = reports.balanced_sample(rows.select("subject_id", "question__species"), "question__species", 10000,
-                                     "subject_id", hot_group_rows=4000)
-    return sample
+    return reports.balanced_sample(rows.select("subject_id", "question__species"), "question__species", 10000, "subject_id")
 
 
 # --- predictions ---------------------------------------------------------------------------------

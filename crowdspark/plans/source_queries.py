@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdspark.functions import text
+from crowdspark.functions.times import epoch_seconds, file_time_local
 from crowdspark.operators import classifications, manifests, predictions, quality
 from crowdspark.plans import tables
 from crowdspark.plans.capture_queries import grouped
@@ -158,3 +159,61 @@ def image_exposure(t: Tables) -> DataFrame:
         F.when(broken, F.lit(b"")).otherwise(F.unhex(pixels)).alias("data"))
     checks = quality.image_exposure(t.read("events").select(image.alias("image")))
     return checks.withColumn("event_id", F.col("path").cast("bigint")).drop("path")
+
+
+@query("v_order_captures", "SELECT DISTINCT capture_id, capture AS subject_id FROM v_order_captures")
+def tracker_commits(t: Tables) -> DataFrame:
+    """K5: batches of ids, one of them run twice and one interrupted, then compacted: each id once."""
+    folder = shared_folder(t.spark, "commits")
+    done = t.order_captures.select("capture_id", F.col("capture").alias("subject_id"))
+    number = F.pmod(F.xxhash64("capture_id"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        writers.append_tracker(done.where(number == batch), folder, batch=f"run{batch}")
+    # rows without a commit, as an interrupted run leaves them
+    done.write.options(header=True).csv(f"{folder}/batch=broken")
+    writers.compact_tracker(t.spark, folder, "all", files=2)
+    return writers.read_tracker(t.spark, folder)
+
+
+@query("v_inventory", "SELECT site, roll AS season, image_name_original FROM v_inventory WHERE roll IN ('1', '2', '3')")
+def split_by_season_round_trip(t: Tables) -> DataFrame:
+    """K2: one folder per season; reading some seasons opens theirs alone."""
+    folder = shared_folder(t.spark, "split")
+    writers.split_by_season(t.inventory.select("site", F.col("roll").alias("season"), "image_name_original"), folder)
+    rows = t.spark.read.schema("site string, image_name_original string, season string").options(header=True, escape='"').csv(folder)
+    return rows.where(F.col("season").isin("1", "2", "3")).select("site", "season", "image_name_original")
+
+
+@query("", """
+SELECT event_id, CASE event_type WHEN 'click' THEN 'touch' WHEN 'view' THEN 'look' WHEN 'error' THEN 'fault' ELSE event_type END AS kind
+FROM events""")
+def mapped_values(t: Tables) -> DataFrame:
+    """A mapping with overriding entries, applied by a join."""
+    names = readers.mapping_table(t.spark, {"click": "press", "view": "look"}, {"click": "touch", "error": "fault"})
+    return t.read("events").select("event_id", "event_type").join(names, F.col("event_type") == F.col("key"), "left").select(
+        "event_id", F.coalesce("value", "event_type").alias("kind"))
+
+
+@query("", """
+SELECT event_id, strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS local_time, strftime(ts, '%Y-%m-%d %H:%M:%S') AS utc FROM events""")
+def file_times(t: Tables) -> DataFrame:
+    """C11: file times as local wall-clock times of a zone, and in UTC."""
+    # the same instant in every session time zone
+    instant = F.timestamp_micros((epoch_seconds(F.col("ts").cast("timestamp_ntz")) * 1000000).cast("bigint"))
+    return t.read("events").select("event_id", file_time_local(instant).alias("local_time"), file_time_local(instant, "").alias("utc"))
+
+
+@query("v_classifications", """
+SELECT classification_id, price, reason AS reject_reason FROM (
+  SELECT *, CASE WHEN part = '8' THEN 'malformed' WHEN workflow_id <> '10' OR version < 310 THEN 'not_eligible_workflow'
+    WHEN part = '7' THEN 'malformed' WHEN NOT live THEN 'project_is_not_live' WHEN seen THEN 'seen_before'
+    WHEN part = '6' THEN 'malformed' END AS reason
+  FROM (SELECT *, split_part(classification_id, '-', 5) AS part FROM v_classifications)) WHERE reason IS NOT NULL""")
+def rejected_rows(t: Tables) -> DataFrame:
+    """quarantine of rows with missing fields and with JSON that does not parse, and of those that fail a filter."""
+    part = F.element_at(F.split("classification_id", "-"), 5)
+    rows = t.classifications.withColumns({
+        "user_name": F.when(part != "8", F.col("user_name")),
+        "metadata": F.when(part == "7", F.lit('{"live_project":')).otherwise(F.col("metadata")),
+        "annotations": F.when(part == "6", F.lit("[{]")).otherwise(F.col("annotations"))})
+    return classifications.rejected_rows(rows, workflow_id="10", version_min="310").select("classification_id", "price", "reject_reason")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdspark.defaults import (
@@ -65,12 +66,60 @@ def write_manifest(manifest: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_manifest_batches(manifest: DataFrame, path: str, identifier: str, name: str, mode: str = "error") -> None:
-    """One folder per batch, ``batch=<id>__batch_<n>__<name>``."""
+    """One folder per batch, ``batch=<id>__batch_<n>__<name>``; ``overwrite`` replaces the batches it writes and no others."""
     label = F.concat(F.lit(f"{identifier}__batch_"), F.col("batch").cast("string"), F.lit(f"__{name}"))
     lines = manifest_lines(manifest).select("value", label.alias("batch"))
-    lines.repartitionByRange("batch", F.xxhash64("value")).write.mode(mode).partitionBy("batch").text(path)
+    lines.repartitionByRange("batch", F.xxhash64("value")).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+        "batch").text(path)
 
 
-def append_tracker(df: DataFrame, path: str, columns: Sequence[str] = ("capture_id", "subject_id")) -> None:
-    """Append processed ids to the tracker table."""
-    df.select(*columns).write.mode("append").options(header=True).csv(path)
+COMMITS = "_commits"
+
+
+def append_tracker(df: DataFrame, path: str, columns: Sequence[str] = ("capture_id", "subject_id"),
+                   batch: str | None = None) -> None:
+    """Append processed ids to the tracker table.
+
+    With a ``batch`` id the rows are committed once: they go into the batch's own folder, which replaces what an
+    interrupted run left there, and then a commit names it. A batch that is committed already is not written again.
+    ``read_tracker`` reads committed batches only.
+    """
+    if batch is None:
+        df.select(*columns).write.mode("append").options(header=True).csv(path)
+    elif batch not in committed_batches(df.sparkSession, path, every=True):
+        _commit(df.select(*columns), path, batch, [])
+
+
+def _commit(df: DataFrame, path: str, batch: str, replaces: Sequence[str]) -> None:
+    """Write the rows of a batch, then the commit that makes them, and nothing of ``replaces``, visible."""
+    df.write.mode("overwrite").options(header=True).csv(f"{path}/batch={batch}")
+    done = df.sparkSession.createDataFrame([(batch, list(replaces))], "batch string, replaces array<string>")
+    done.coalesce(1).write.mode("overwrite").json(f"{path}/{COMMITS}/batch={batch}")
+
+
+def committed_batches(spark: SparkSession, path: str, every: bool = False) -> list[str]:
+    """The batches that make up the tracker; with ``every``, also those that were compacted into others."""
+    try:
+        rows = spark.read.schema("name string, batch string, replaces array<string>").json(f"{path}/{COMMITS}/*").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    names, replaced = {r.batch for r in rows}, {b for r in rows for b in r.replaces or []}
+    return sorted(names | replaced if every else names - replaced)
+
+
+def read_tracker(spark: SparkSession, path: str, schema: str = "capture_id string, subject_id string") -> DataFrame:
+    """The rows of all committed batches; empty if there are none."""
+    batches = committed_batches(spark, path)
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).options(header=True).csv([f"{path}/batch={b}" for b in batches]).na.fill("")
+
+
+def compact_tracker(spark: SparkSession, path: str, batch: str, schema: str = "capture_id string, subject_id string",
+                    files: int = 1) -> None:
+    """One batch of ``files`` files in place of all committed ones; readers see either them or it."""
+    old = committed_batches(spark, path)
+    if old and batch not in committed_batches(spark, path, every=True):
+        _commit(read_tracker(spark, path, schema).distinct().coalesce(files), path, batch, old)
