@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -21,17 +22,17 @@ LEADERS = 8
 #: 64-bit words of a set's parity sketch, whose bits tell whether an odd number of shingles fell on them: two
 #: sketches differ in no more bits than their sets in shingles.
 SKETCH = 10
-#: Documents of candidate pairs are broadcast to find their texts up to so many, about 12 MB; beyond, texts
-#: are shuffled.
-BROADCAST_ROWS = 500_000
+#: While shingles bring together more pairs of different groups than this for each set, groups are linked first, until
+#: a turn leaves more than the second share of the pairs.
+PAIRS_PER_SET, WORTH = 4, 0.95
 
-SETS = "row long, doc_id long, n long, set_id long, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
+SETS = "row long, doc_id {}, n long, set_id binary, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def set_id(shingles: np.ndarray) -> int:
-    """A 64-bit name of a set of shingles."""
-    return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_id(shingles: np.ndarray) -> bytes:
+    """A 128-bit name of a set of shingles."""
+    return blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
 def wide_sketch(shingles: np.ndarray) -> bytes:
@@ -55,8 +56,14 @@ def wide_apart(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def id_type(docs: DataFrame) -> str:
+    """Ids are whole numbers: of 64 bits, or as wide as a decimal."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return kind if kind.startswith("decimal") else "bigint"
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(F.col("doc_id").cast(id_type(docs)).alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def shingle_frequencies(docs: DataFrame, n_words: int = WORDS) -> np.ndarray:
@@ -120,11 +127,11 @@ def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS
                 prefixes.append(s[order[: prefix_length(len(s), percent)]].astype(np.int64))
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(row - batch.num_rows, row)), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
+                pa.array(np.arange(row - batch.num_rows, row)), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
                 pa.array(leaders, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
                 pa.array(wide, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
 
-    return _texts(docs).mapInArrow(run, SETS)
+    return _texts(docs).mapInArrow(run, SETS.format(id_type(docs)))
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, n_words: int = WORDS) -> DataFrame:
@@ -138,9 +145,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, n_words: int = WORDS) -> Data
                                               pa.array([sets[i].tobytes() for i in right], pa.binary())],
                                              names=["set_id", "shingles"])
 
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = _texts(docs).join(F.broadcast(wanted) if few else wanted, "doc_id")
-    return texts.select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
+    # a written table has a known size, by which Spark chooses how to join
+    texts = _texts(docs).join(written(wanted, "wanted"), "doc_id")
+    return texts.select("set_id", "text").mapInArrow(run, "set_id binary, shingles binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -158,7 +165,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
     first = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
 def near(percent: int) -> str:
@@ -191,40 +198,70 @@ def wide_near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = sets.select(F.col("set_id").alias("a"), "n", F.col("wide").alias("x"))
     second = sets.select(F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("wide").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
 def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a set and a set that shares one of its MinHash values: at most LEADERS for a set.
 
     It is the one whose values are shared most, so a central one of a group of near copies; of several the largest by
-    ``id ^ value``, which is another one for each value.
+    a hash of id and value, which is another one for each value.
     Those that the length and suffix filters rule out are left out.
     """
     keys = sets.select("set_id", F.explode("leaders").alias("key"))
     times = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     shared = keys.join(times, "key")
     weight = shared.groupBy("set_id").agg(F.sum("times").alias("weight"))
-    best = F.struct(F.col("weight"), F.expr("set_id ^ key").alias("m"))
-    least = shared.join(weight, "set_id").groupBy("key").agg(F.max(best).alias("best")).select("key", F.expr("best.m ^ key").alias("b"))
+    best = F.struct(F.col("weight"), F.xxhash64("set_id", "key").alias("m"), F.col("set_id"))
+    least = shared.join(weight, "set_id").groupBy("key").agg(F.max(best).alias("best")).select("key", F.col("best.set_id").alias("b"))
     pairs = keys.join(least, "key").where("set_id <> b").select(F.col("set_id").alias("a"), "b").distinct()
     return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
 
 
-def prefix_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that share a prefix shingle and pass all filters.
+def shared_postings(sets: DataFrame) -> DataFrame:
+    """``set_id, at, shingle`` of the prefix shingles that several sets have."""
+    postings = sets.select("set_id", F.posexplode("prefix").alias("at", "shingle"))
+    often = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
+    return postings.join(often, "shingle", "left_semi")
+
+
+def mixed_postings(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """The postings, with the group ``g`` of their set, of shingles that sets of different groups have.
 
     ``groups`` has ``node, component`` of sets that are connected already: their links cannot change the
-    result. A shingle of one set, or whose sets all are in one group, gives no pair and is dropped before
-    the join.
+    result. A shingle whose sets all are in one group gives no pair.
     """
-    postings = sets.select("set_id", F.posexplode("prefix").alias("at", "shingle"))
-    often = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
-    shared = written(postings.join(often, "shingle", "left_semi"), "postings")
     named = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "g", F.coalesce("component", "set_id")).drop("component")
     mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
-    some = written(named.join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
+    return named.join(mixed, "shingle", "left_semi")
+
+
+def pairs_ahead(mixed: DataFrame) -> float:
+    """Pairs of sets of different groups that shingles bring together, for each of their sets; 0 without any."""
+    each = mixed.groupBy("shingle", "g").agg(F.count("*").cast("double").alias("n"))
+    total = each.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).agg(
+        F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
+    return total[1] / total[0] if total[0] else 0.0
+
+
+def group_pairs(mixed: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
+    """One pair for each shingle and group: a set of the group, and one of the group that has most sets there.
+
+    Which sets they are changes with the shingle and with ``turn``, so a set that is linked with some of a large group's
+    sets soon meets one. There are no more pairs than postings, whatever the sizes of the groups.
+    """
+    pick = F.max(F.struct(F.xxhash64("set_id", "shingle", F.lit(turn)).alias("h"), F.col("set_id")))
+    each = mixed.groupBy("shingle", "g").agg(F.count("*").alias("n"), pick.alias("pick"))
+    most = each.groupBy("shingle").agg(F.max(F.struct("n", "g", "pick")).alias("most")).select(
+        "shingle", F.col("most.g").alias("h"), F.col("most.pick.set_id").alias("b"))
+    pairs = each.join(most, "shingle").where("g <> h").select(F.col("pick.set_id").alias("a"), "b").distinct()
+    return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
+
+
+def prefix_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different groups that share a prefix shingle and pass all filters."""
+    some = written(mixed.join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
     left = some.withColumnsRenamed({"set_id": "a", "g": "ga", "at": "i"})
     right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
@@ -241,6 +278,11 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int,
     return written(verify(pairs, written(whole_sets(docs, wanted, n_words), "whole_sets"), percent), "links")
 
 
+def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` of the groups after further links."""
+    return written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links)), "groups")
+
+
 def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -254,7 +296,9 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     1. Equal sets are one set from here on; a group of copies costs one aggregate.
     2. Each set is compared with one leader for each of its MinHash values. The verified links connect a
        group of near copies through a few of its members, whatever its size.
-    3. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
+    3. While the prefixes bring together far more pairs than sets, one pair of each shingle and group is compared,
+       another one each turn, so that sets left apart from a large group find it without meeting all of it.
+    4. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
        position and suffix filters are verified once, so no link between different groups is lost.
     """
     frequencies = shingle_frequencies(docs, n_words)
@@ -262,8 +306,16 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     one = described.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("row").alias("row"))
     sets = written(described.join(one, ["set_id", "row"], "left_semi").drop("row"), "distinct_sets")
     groups = written(components(confirmed(docs, leader_pairs(sets, percent), sets, n_words, percent)), "groups")
-    far = confirmed(docs, prefix_pairs(sets, groups, percent), sets, n_words, percent)
-    joined = written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "groups")
+    shared, turn = written(shared_postings(sets), "postings"), 0
+    mixed = written(mixed_postings(shared, groups), "postings")
+    ahead, before = pairs_ahead(mixed), math.inf
+    # a turn that spares little says that what is left apart is hardly linked: the whole join decides
+    while ahead > PAIRS_PER_SET and ahead < WORTH * before:
+        groups = joined_groups(groups, confirmed(docs, group_pairs(mixed, sets, percent, turn), sets, n_words, percent))
+        mixed = written(mixed_postings(mixed.drop("g"), groups), "postings")
+        ahead, before, turn = pairs_ahead(mixed), ahead, turn + 1
+    far = confirmed(docs, prefix_pairs(mixed, sets, percent), sets, n_words, percent)
+    joined = joined_groups(groups, far)
     rows = described.select("doc_id", "n", "set_id").join(
         joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "doc_id", "n", "set_id", F.coalesce("component", "set_id").alias("group"))
@@ -276,10 +328,13 @@ def keep_one(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> D
     """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
 
     Rows with a null doc_id stay. Documents without shingles are no near duplicates and stay. Rows are told apart by
-    a 64-bit hash of doc_id and text: of rows that share a doc_id but not the text each is judged by its own text, and
+    120 bits of hashes of doc_id and text: of rows that share a doc_id but not the text each is judged by its own text, and
     of rows that repeat both one stays, the least as JSON.
     """
-    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    named = (F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    row = F.when(F.col("doc_id").isNotNull(), F.concat(
+        F.xxhash64(*named).cast("string"), F.lpad(F.pmod(F.xxhash64(F.lit("row"), *named), F.lit(10**18)).cast("string"), 18, "0")).cast(
+        "decimal(38,0)"))
     rows = docs.select(row.alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text").where("_row is not null")
     found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), n_words, percent)
     judged = found.groupBy(F.col("doc_id").alias("_row")).agg(
