@@ -26,11 +26,11 @@ SKETCH = 10
 #: a turn leaves more than the second share of the pairs.
 PAIRS_PER_SET, WORTH = 4, 0.95
 
-SETS = "row long, doc_id {}, n long, set_id binary, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
+SETS = "row long, doc_id {}, n long, name binary, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def set_id(shingles: np.ndarray) -> bytes:
+def set_name(shingles: np.ndarray) -> bytes:
     """A 128-bit name of a set of shingles."""
     return blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -100,7 +100,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per document: row number, set size, set id, MinHash leaders, parity sketches, rare-first prefix."""
+    """Per document: row number, set size, set name, MinHash leaders, parity sketches, rare-first prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         for batch in small_slices(batches):
@@ -116,7 +116,7 @@ def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS
                     wide.append(b"")
                     prefixes.append([])
                     continue
-                ids.append(set_id(s))
+                ids.append(set_name(s))
                 spread = s * np.uint64(0x2545F4914F6CDD1D)
                 leaders.append(mix(np.array([((spread ^ seed) * (seed | np.uint64(1))).min() for seed in _SEEDS[:LEADERS]],
                                             np.uint64) + _SEEDS[:LEADERS]).astype(np.int64))
@@ -135,19 +135,27 @@ def describe_sets(docs: DataFrame, frequencies: np.ndarray, n_words: int = WORDS
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, n_words: int = WORDS) -> DataFrame:
-    """``set_id, shingles`` of the sets named in ``wanted`` (``set_id, doc_id`` of one document that has it)."""
+    """``set_id, shingles`` of the sets in ``wanted`` (``set_id, name``, and ``doc_id`` of one document that has it).
+
+    Rows that repeat an id and its text give the set once in each task.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in small_slices(batches):
             hashes, _, _, bounds = words(batch.column("text"), lower=True)
             sets = [shingle_set(hashes[a:b], n_words) for a, b in zip(bounds, bounds[1:])]
-            right = [i for i, (s, want) in enumerate(zip(sets, batch.column("set_id").to_pylist())) if len(s) and set_id(s) == want]
+            right = []
+            for i, (key, want) in enumerate(zip(batch.column("set_id").to_pylist(), batch.column("name").to_pylist())):
+                if key not in seen and len(sets[i]) and set_name(sets[i]) == want:
+                    seen.add(key)
+                    right.append(i)
             yield pa.RecordBatch.from_arrays([batch.column("set_id").take(pa.array(right, pa.int64())),
                                               pa.array([sets[i].tobytes() for i in right], pa.binary())],
                                              names=["set_id", "shingles"])
 
     # a written table has a known size, by which Spark chooses how to join
     texts = _texts(docs).join(written(wanted, "wanted"), "doc_id")
-    return texts.select("set_id", "text").mapInArrow(run, "set_id binary, shingles binary")
+    return texts.select("set_id", "name", "text").mapInArrow(run, "set_id long, shingles binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -165,7 +173,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
     first = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def near(percent: int) -> str:
@@ -198,7 +206,7 @@ def wide_near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = sets.select(F.col("set_id").alias("a"), "n", F.col("wide").alias("x"))
     second = sets.select(F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("wide").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a binary, b binary")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
@@ -274,7 +282,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int,
     """The links among candidate pairs, verified on the whole sets of their documents."""
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("set_id")).unionAll(pairs.select("b")).distinct().join(
-        sets.select("set_id", "doc_id"), "set_id")
+        sets.select("set_id", "doc_id", "name"), "set_id")
     return written(verify(pairs, written(whole_sets(docs, wanted, n_words), "whole_sets"), percent), "links")
 
 
@@ -303,8 +311,10 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     """
     frequencies = shingle_frequencies(docs, n_words)
     described = written(describe_sets(docs, frequencies, n_words, percent), "sets")
-    one = described.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("row").alias("row"))
-    sets = written(described.join(one, ["set_id", "row"], "left_semi").drop("row"), "distinct_sets")
+    # a set goes by the row number of its first document from here on
+    one = written(described.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("row").alias("set_id")), "names")
+    sets = written(described.join(one.select(F.col("set_id").alias("row")), "row", "left_semi").withColumnRenamed("row", "set_id"),
+                   "distinct_sets")
     groups = written(components(confirmed(docs, leader_pairs(sets, percent), sets, n_words, percent)), "groups")
     shared, turn = written(shared_postings(sets), "postings"), 0
     mixed = written(mixed_postings(shared, groups), "postings")
@@ -316,9 +326,9 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
         ahead, before, turn = pairs_ahead(mixed), ahead, turn + 1
     far = confirmed(docs, prefix_pairs(mixed, sets, percent), sets, n_words, percent)
     joined = joined_groups(groups, far)
-    rows = described.select("doc_id", "n", "set_id").join(
-        joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "doc_id", "n", "set_id", F.coalesce("component", "set_id").alias("group"))
+    of_set = one.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "name", F.coalesce("component", "set_id").alias("group"))
+    rows = described.select("doc_id", "n", "name").join(of_set, "name", "left")
     least = rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "group", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
