@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -22,9 +21,8 @@ LEADERS = 8
 #: 64-bit words of a set's parity sketch, whose bits tell whether an odd number of shingles fell on them: two
 #: sketches differ in no more bits than their sets in shingles.
 SKETCH = 10
-#: While shingles bring together more pairs of different groups than this for each set, groups are linked first, until
-#: a turn leaves more than the second share of the pairs.
-PAIRS_PER_SET, WORTH = 4, 0.95
+#: Of a prefix shingle that so many sets share, each set is compared with one of them first.
+CROWD = 16
 
 SETS = "row long, doc_id {}, n long, name binary, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -227,49 +225,36 @@ def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_postings(sets: DataFrame) -> DataFrame:
-    """``set_id, at, shingle`` of the prefix shingles that several sets have."""
+    """``set_id, at, shingle, times`` of the prefix shingles that several sets have."""
     postings = sets.select("set_id", F.posexplode("prefix").alias("at", "shingle"))
-    often = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
-    return postings.join(often, "shingle", "left_semi")
+    often = postings.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    return postings.join(often, "shingle")
 
 
-def mixed_postings(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """The postings, with the group ``g`` of their set, of shingles that sets of different groups have.
+def crowd_pairs(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a set and one other set of each prefix shingle that CROWD sets or more share.
 
-    ``groups`` has ``node, component`` of sets that are connected already: their links cannot change the
-    result. A shingle whose sets all are in one group gives no pair.
+    It is another one for each shingle, so a set that is linked with some of a large group of near copies finds one of
+    them, whichever its leaders are. There are no more pairs than postings; those that the length and suffix
+    filters rule out are left out.
     """
-    named = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-        "g", F.coalesce("component", "set_id")).drop("component")
-    mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
-    return named.join(mixed, "shingle", "left_semi")
-
-
-def pairs_ahead(mixed: DataFrame) -> float:
-    """Pairs of sets of different groups that shingles bring together, for each of their sets; 0 without any."""
-    each = mixed.groupBy("shingle", "g").agg(F.count("*").cast("double").alias("n"))
-    total = each.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).agg(
-        F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
-    return total[1] / total[0] if total[0] else 0.0
+    crowd = shared.where(F.col("times") >= CROWD).select("set_id", "shingle")
+    one = crowd.groupBy("shingle").agg(F.max(F.struct(F.xxhash64("set_id", "shingle").alias("h"), "set_id")).alias("one"))
+    pairs = crowd.join(one.select("shingle", F.col("one.set_id").alias("b")), "shingle").where("set_id <> b").select(
+        F.greatest("set_id", "b").alias("a"), F.least("set_id", "b").alias("b")).distinct()
+    return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
 
 
-def group_pairs(mixed: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
-    """One pair for each shingle and group: a set of the group, and one of the group that has most sets there.
+def prefix_pairs(shared: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different groups that share a prefix shingle and pass all filters.
 
-    Which sets they are changes with the shingle and with ``turn``, so a set that is linked with some of a large group's
-    sets soon meets one. There are no more pairs than postings, whatever the sizes of the groups.
+    ``groups`` has ``node, component`` of sets that are connected already: their links cannot change the
+    result. A shingle whose sets all are in one group gives no pair and is dropped before the join.
     """
-    pick = F.max(F.struct(F.xxhash64("set_id", "shingle", F.lit(turn)).alias("h"), F.col("set_id")))
-    each = mixed.groupBy("shingle", "g").agg(F.count("*").alias("n"), pick.alias("pick"))
-    most = each.groupBy("shingle").agg(F.max(F.struct("n", "g", "pick")).alias("most")).select(
-        "shingle", F.col("most.g").alias("h"), F.col("most.pick.set_id").alias("b"))
-    pairs = each.join(most, "shingle").where("g <> h").select(F.col("pick.set_id").alias("a"), "b").distinct()
-    return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
-
-
-def prefix_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that share a prefix shingle and pass all filters."""
-    some = written(mixed.join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
+    named = shared.drop("times").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "g", F.coalesce("component", "set_id")).drop("component")
+    mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
+    some = written(named.join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
     left = some.withColumnsRenamed({"set_id": "a", "g": "ga", "at": "i"})
     right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
@@ -286,11 +271,6 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int,
     return written(verify(pairs, written(whole_sets(docs, wanted, n_words), "whole_sets"), percent), "links")
 
 
-def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, component`` of the groups after further links."""
-    return written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links)), "groups")
-
-
 def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -302,11 +282,10 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     their shingles.
 
     1. Equal sets are one set from here on; a group of copies costs one aggregate.
-    2. Each set is compared with one leader for each of its MinHash values. The verified links connect a
-       group of near copies through a few of its members, whatever its size.
-    3. While the prefixes bring together far more pairs than sets, one pair of each shingle and group is compared,
-       another one each turn, so that sets left apart from a large group find it without meeting all of it.
-    4. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
+    2. Each set is compared with one leader for each of its MinHash values, and with one other set of each of its
+       crowded prefix shingles. The verified links connect a group of near copies through a few of its members, whatever
+       its size.
+    3. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
        position and suffix filters are verified once, so no link between different groups is lost.
     """
     frequencies = shingle_frequencies(docs, n_words)
@@ -315,17 +294,11 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     one = written(described.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("row").alias("set_id")), "names")
     sets = written(described.join(one.select(F.col("set_id").alias("row")), "row", "left_semi").withColumnRenamed("row", "set_id"),
                    "distinct_sets")
-    groups = written(components(confirmed(docs, leader_pairs(sets, percent), sets, n_words, percent)), "groups")
-    shared, turn = written(shared_postings(sets), "postings"), 0
-    mixed = written(mixed_postings(shared, groups), "postings")
-    ahead, before = pairs_ahead(mixed), math.inf
-    # a turn that spares little says that what is left apart is hardly linked: the whole join decides
-    while ahead > PAIRS_PER_SET and ahead < WORTH * before:
-        groups = joined_groups(groups, confirmed(docs, group_pairs(mixed, sets, percent, turn), sets, n_words, percent))
-        mixed = written(mixed_postings(mixed.drop("g"), groups), "postings")
-        ahead, before, turn = pairs_ahead(mixed), ahead, turn + 1
-    far = confirmed(docs, prefix_pairs(mixed, sets, percent), sets, n_words, percent)
-    joined = joined_groups(groups, far)
+    shared = written(shared_postings(sets), "postings")
+    first = leader_pairs(sets, percent).unionAll(crowd_pairs(shared, sets, percent))
+    groups = written(components(confirmed(docs, first.distinct(), sets, n_words, percent)), "groups")
+    far = confirmed(docs, prefix_pairs(shared, sets, groups, percent), sets, n_words, percent)
+    joined = written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "groups")
     of_set = one.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "name", F.coalesce("component", "set_id").alias("group"))
     rows = described.select("doc_id", "n", "name").join(of_set, "name", "left")

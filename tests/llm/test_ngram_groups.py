@@ -1,4 +1,4 @@
-"""Large groups of near copies in the n-gram join: turns of one pair for each shingle and group lose no link."""
+"""Large groups of near copies in the n-gram join: one pair for each crowded shingle first, and no link is lost."""
 
 import random
 
@@ -43,9 +43,9 @@ def plain_components(rows, n_words, percent):
     return sorted((i, len(s), find(i)) for i, s in sets.items())
 
 
-@pytest.mark.parametrize("factor", [0, 4, 10**9])
-def test_turns_keep_every_link(spark, monkeypatch, factor):
-    monkeypatch.setattr(ngram_join, "PAIRS_PER_SET", factor)
+@pytest.mark.parametrize("crowd", [2, 16, 10**9])
+def test_crowds_keep_every_link(spark, monkeypatch, crowd):
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
     monkeypatch.setattr(ngram_join, "LEADERS", 1)
     rows = near_copies()
     got = sorted(tuple(r) for r in ngram_join.near_duplicates(documents(spark, rows), 4, 85).collect())
