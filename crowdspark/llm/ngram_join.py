@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -23,6 +24,11 @@ LEADERS = 8
 SKETCH = 10
 #: Of a prefix shingle that so many sets share, each set is compared with one of them first.
 CROWD = 16
+#: While shingles bring together more pairs of different groups than this for each set, groups are linked first, until
+#: a turn leaves more than the second share of the pairs.
+PAIRS_PER_SET, WORTH, PICKS = 4, 0.5, 8
+#: The list of documents of candidate pairs is broadcast up to so many rows, about 16 MB; beyond, texts are shuffled.
+BROADCAST_ROWS = 500_000
 
 SETS = "row long, doc_id {}, n long, name binary, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -151,8 +157,9 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, n_words: int = WORDS) -> Data
                                               pa.array([sets[i].tobytes() for i in right], pa.binary())],
                                              names=["set_id", "shingles"])
 
-    # a written table has a known size, by which Spark chooses how to join
-    texts = _texts(docs).join(written(wanted, "wanted"), "doc_id")
+    wanted = written(wanted, "wanted")
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = _texts(docs).join(F.broadcast(wanted) if few else wanted, "doc_id")
     return texts.select("set_id", "name", "text").mapInArrow(run, "set_id long, shingles binary")
 
 
@@ -245,16 +252,44 @@ def crowd_pairs(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
 
 
-def prefix_pairs(shared: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that share a prefix shingle and pass all filters.
+def mixed_postings(shared: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """The postings of shingles that sets of different groups ``g`` have, with sizes and sketches.
 
     ``groups`` has ``node, component`` of sets that are connected already: their links cannot change the
-    result. A shingle whose sets all are in one group gives no pair and is dropped before the join.
+    result. A shingle whose sets all are in one group gives no pair.
     """
     named = shared.drop("times").join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "g", F.coalesce("component", "set_id")).drop("component")
     mixed = named.groupBy("shingle").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("shingle")
-    some = written(named.join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id"), "postings")
+    return named.join(mixed, "shingle", "left_semi").join(sketched(sets, "set_id", "n", "p"), "set_id")
+
+
+def pairs_ahead(mixed: DataFrame) -> float:
+    """Pairs of sets of different groups that shingles bring together, for each of their sets; 0 without any."""
+    each = mixed.groupBy("shingle", "g").agg(F.count("*").cast("double").alias("n"))
+    total = each.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).agg(
+        F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
+    return total[1] / total[0] if total[0] else 0.0
+
+
+def group_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """PICKS pairs for each shingle and group: sets of the group, and sets of the group that has most sets there.
+
+    Which sets they are changes with the shingle and the pick, so a group that is linked with a few sets of a large one
+    meets one of them. There are no more pairs than PICKS for each posting, whatever the sizes of the groups.
+    """
+    picks = [F.max(F.struct(F.xxhash64("set_id", "shingle", F.lit(k)).alias("h"), F.col("set_id"))).alias(f"k{k}") for k in range(PICKS)]
+    each = mixed.groupBy("shingle", "g").agg(F.count("*").alias("n"), *picks).select(
+        "shingle", "g", "n", F.array(*[F.col(f"k{k}.set_id") for k in range(PICKS)]).alias("picks"))
+    most = each.groupBy("shingle").agg(F.max(F.struct("n", "g", "picks")).alias("most")).select(
+        "shingle", F.col("most.g").alias("h"), F.col("most.picks").alias("others"))
+    pairs = each.join(most, "shingle").where("g <> h").select(
+        F.explode(F.arrays_zip("picks", "others")).alias("p")).select(F.col("p.picks").alias("a"), F.col("p.others").alias("b")).distinct()
+    return pairs.join(sketched(sets, "a", "n", "p"), "a").join(sketched(sets, "b", "m", "q"), "b").where(near(percent)).select("a", "b")
+
+
+def prefix_pairs(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different groups that share a prefix shingle and pass all filters."""
     left = some.withColumnsRenamed({"set_id": "a", "g": "ga", "at": "i"})
     right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
@@ -271,6 +306,11 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sets: DataFrame, n_words: int,
     return written(verify(pairs, written(whole_sets(docs, wanted, n_words), "whole_sets"), percent), "links")
 
 
+def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` of the groups after further links."""
+    return written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links)), "groups")
+
+
 def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -285,7 +325,8 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     2. Each set is compared with one leader for each of its MinHash values, and with one other set of each of its
        crowded prefix shingles. The verified links connect a group of near copies through a few of its members, whatever
        its size.
-    3. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
+    3. While the prefixes bring together far more pairs than sets, one pair of each shingle and group is compared.
+    4. Rare-first prefixes are joined, but for sets that are connected already; pairs that pass the length,
        position and suffix filters are verified once, so no link between different groups is lost.
     """
     frequencies = shingle_frequencies(docs, n_words)
@@ -297,8 +338,14 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     shared = written(shared_postings(sets), "postings")
     first = leader_pairs(sets, percent).unionAll(crowd_pairs(shared, sets, percent))
     groups = written(components(confirmed(docs, first.distinct(), sets, n_words, percent)), "groups")
-    far = confirmed(docs, prefix_pairs(shared, sets, groups, percent), sets, n_words, percent)
-    joined = written(components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(far)), "groups")
+    mixed = written(mixed_postings(shared, sets, groups), "postings")
+    ahead, before = pairs_ahead(mixed), math.inf
+    # a turn that spares little says that what is left apart is hardly linked: the whole join decides
+    while ahead > PAIRS_PER_SET and ahead < WORTH * before:
+        groups = joined_groups(groups, confirmed(docs, group_pairs(mixed, sets, percent), sets, n_words, percent))
+        mixed = written(mixed_postings(shared, sets, groups), "postings")
+        ahead, before = pairs_ahead(mixed), ahead
+    joined = joined_groups(groups, confirmed(docs, prefix_pairs(mixed, sets, percent), sets, n_words, percent))
     of_set = one.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "name", F.coalesce("component", "set_id").alias("group"))
     rows = described.select("doc_id", "n", "name").join(of_set, "name", "left")
