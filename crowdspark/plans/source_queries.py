@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdspark.functions import text
@@ -15,6 +15,7 @@ from crowdspark.plans.report_queries import manifest, metadata
 from crowdspark.plans.tables import Tables
 from crowdspark.session import shared_folder
 from crowdspark.sources import readers, writers
+from crowdspark.sources.json_entries import object_entries
 
 
 @query("v_captures", """
@@ -217,3 +218,54 @@ def rejected_rows(t: Tables) -> DataFrame:
         "metadata": F.when(part == "7", F.lit('{"live_project":')).otherwise(F.col("metadata")),
         "annotations": F.when(part == "6", F.lit("[{]")).otherwise(F.col("annotations"))})
     return classifications.rejected_rows(rows, workflow_id="10", version_min="310").select("classification_id", "price", "reject_reason")
+
+
+def write_document(parts: list[DataFrame | str], folder: str) -> None:
+    """One JSON document of fixed pieces and of entries (``value``) with commas between them, in one file."""
+    spark = next(p for p in parts if not isinstance(p, str)).sparkSession
+    lines = None
+    for i, part in enumerate(parts):
+        if isinstance(part, str):
+            rows = spark.createDataFrame([(i, 0, part)], "part int, rank int, value string")
+        else:
+            rank = F.row_number().over(Window.orderBy("value"))
+            rows = part.withColumn("rank", rank).select(
+                F.lit(i).alias("part"), "rank", F.concat(F.when(F.col("rank") == 1, "").otherwise(","), "value").alias("value"))
+        lines = rows if lines is None else lines.unionByName(rows)
+    lines.repartition(1).sortWithinPartitions("part", "rank").select("value").write.text(folder)
+
+
+@query("v_flat", """
+SELECT capture_id, s0 AS l0, s4 AS eating, CASE WHEN eats THEN '1' ELSE '0' END AS top_eating FROM v_flat""")
+def prediction_document(t: Tables) -> DataFrame:
+    """Predictions as one JSON object, read in blocks by many tasks."""
+    folder = shared_folder(t.spark, "document")
+    entries = t.species_predictions.select(
+        F.concat(F.to_json(F.array("capture_id")).substr(F.lit(2), F.length(F.to_json(F.array("capture_id"))) - 2), F.lit(": "),
+                 F.to_json("prediction")).alias("value"))
+    write_document(["{", entries, "}"], folder)
+    rows = readers.keyed_json(object_entries(t.spark, folder, 1 << 16), "prediction", predictions.PREDICTION_STRUCT)
+    rows = rows.withColumn("flat", predictions.species_prediction_map())
+
+    def value(key):
+        return F.try_element_at("flat", F.lit(key))
+
+    return rows.select("capture_id", value("machine_confidence_species_l0").alias("l0"), value("machine_confidence_eating").alias("eating"),
+                       value("machine_topprediction_eating").alias("top_eating"))
+
+
+@query("", """
+SELECT 'f' || o.o_orderkey AS image_path, CAST(o.o_custkey AS VARCHAR) AS subject_id, o.o_orderstatus AS season, 'x' AS site,
+  '' AS datetime, s.species FROM orders o JOIN (SELECT o_custkey, string_agg(name, '#' ORDER BY name) AS species FROM (
+    SELECT DISTINCT o_custkey, o_orderpriority[3:] AS name FROM orders) GROUP BY o_custkey) s USING (o_custkey)""")
+def label_document(t: Tables) -> DataFrame:
+    """A label file of three arrays in one object, read in blocks."""
+    folder, rows = shared_folder(t.spark, "labels"), t.read("orders")
+    key = F.col("o_orderkey").cast("string")
+    categories = rows.select(F.col("o_orderpriority").alias("id"), F.substring("o_orderpriority", 3, 100).alias("name")).distinct()
+    images = rows.select(key.alias("id"), F.concat(F.lit("f"), key).alias("file_name"), F.col("o_custkey").cast("string").alias("seq_id"),
+                         F.col("o_orderstatus").alias("season"), F.lit("x").alias("location"))
+    annotations = rows.select(key.alias("image_id"), F.col("o_orderpriority").alias("category_id"))
+    parts = ['{"info": {"year": 2020}, "categories": [', categories, '], "images": [', images, '], "annotations": [', annotations, "]}"]
+    write_document([p if isinstance(p, str) else p.select(F.to_json(F.struct("*")).alias("value")) for p in parts], folder)
+    return readers.read_label_json(t.spark, folder, block_bytes=1 << 16)

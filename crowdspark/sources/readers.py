@@ -13,6 +13,7 @@ from crowdspark.functions import text
 from crowdspark.functions.times import parse_datetime
 from crowdspark.operators.ordering import first_n_per_group
 from crowdspark.operators.predictions import PREDICTION_STRUCT
+from crowdspark.sources.json_entries import array_entries, object_entries
 
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "bmp", "png", "ppm")
 MANIFEST_STRUCT = "struct<upload_metadata: map<string,string>, info: map<string,string>, images: variant>"
@@ -39,10 +40,10 @@ def complete_season(df: DataFrame) -> DataFrame:
     return df if "capture_id" in df.columns else df.withColumn("capture_id", text.capture_id())
 
 
-def read_cleaned_season(spark: SparkSession, path: str) -> DataFrame:
+def read_cleaned_season(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Cleaned season table in canonical order."""
     from crowdspark.operators.captures import sort_images
-    return sort_images(complete_season(read_table(spark, path)))
+    return sort_images(complete_season(read_table(spark, path, schema)))
 
 
 def read_classifications(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -64,24 +65,29 @@ def read_subjects(spark: SparkSession, path: str, schema: str | None = None) ->
     return parse_subjects(read_table(spark, path, schema))
 
 
-def read_legacy_classifications(spark: SparkSession, path: str, header: Mapping[str, str] = LEGACY_HEADER) -> DataFrame:
-    """Flat legacy export with its columns renamed."""
-    return read_table(spark, path).withColumnsRenamed(dict(header))
+def read_legacy_classifications(spark: SparkSession, path: str, header: Mapping[str, str] = LEGACY_HEADER,
+                                schema: str | None = None) -> DataFrame:
+    """Flat legacy export with its columns renamed; ``schema`` has the names of the export."""
+    return read_table(spark, path, schema).withColumnsRenamed(dict(header))
 
 
 def keyed_json(df: DataFrame, value: str, value_type: str) -> DataFrame:
-    """Rows of a JSON object ``{capture_id: value}``, one input row per object.
-
-    One row per line of ``{"<id>": {...}}`` scales; a single object over the whole file is read by one
-    task, so large inputs should come as lines.
-    """
+    """Rows of a JSON object ``{capture_id: value}``, one input row per object; objects that do not parse have none."""
     entries = F.from_json(F.col("value"), f"map<string, {value_type}>")
     return df.select(F.explode(entries).alias("capture_id", value))
 
 
+def read_objects(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """JSON objects as text in ``value``: one per line, or one for each entry of the one object that a file holds.
+
+    Either way files are split over tasks.
+    """
+    return spark.read.text(path) if lines else object_entries(spark, path)
+
+
 def read_predictions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Predictions, from one JSON object per file or from one object per line."""
-    return keyed_json(spark.read.text(path, wholetext=not lines), "prediction", PREDICTION_STRUCT)
+    return keyed_json(read_objects(spark, path, lines), "prediction", PREDICTION_STRUCT)
 
 
 def manifest_images(images: Column) -> Column:
@@ -92,7 +98,7 @@ def manifest_images(images: Column) -> Column:
 
 def read_manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Manifest, from one JSON object per file or from one object per line."""
-    records = keyed_json(spark.read.text(path, wholetext=not lines), "record", MANIFEST_STRUCT)
+    records = keyed_json(read_objects(spark, path, lines), "record", MANIFEST_STRUCT)
     return records.select("capture_id", "record.upload_metadata", "record.info",
                           manifest_images(F.col("record.images")).alias("images"))
 
@@ -134,13 +140,19 @@ def labelled_images(categories: DataFrame, images: DataFrame, annotations: DataF
         F.col("location").alias("site"), F.coalesce("datetime", F.lit("")).alias("datetime"), "species")
 
 
-def read_label_json(spark: SparkSession, path: str) -> DataFrame:
-    """Label file with ``categories``, ``images`` and ``annotations`` arrays."""
-    root = spark.read.option("multiLine", True).schema(
-        "categories array<struct<id string, name string>>, "
-        "images array<struct<id string, file_name string, seq_id string, season string, location string, datetime string>>, "
-        "annotations array<struct<image_id string, category_id string>>").json(path)
-    return labelled_images(*[root.select(F.inline(c)) for c in ("categories", "images", "annotations")])
+LABEL_ARRAYS = {
+    "categories": "id string, name string",
+    "images": "id string, file_name string, seq_id string, season string, location string, datetime string",
+    "annotations": "image_id string, category_id string",
+}
+
+
+def read_label_json(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Label file with ``categories``, ``images`` and ``annotations`` arrays; large files are split over tasks."""
+    elements = array_entries(spark, path, **options)
+    return labelled_images(*[
+        elements.where(F.col("name") == name).select(F.from_json("value", schema).alias("_row"))
+        .where("_row IS NOT NULL").select("_row.*") for name, schema in LABEL_ARRAYS.items()])
 
 
 def database_export(df: DataFrame, header: Mapping[str, str], columns: Sequence[str], order_by: Sequence[str],
@@ -160,19 +172,24 @@ def season_rows(df: DataFrame, season: Column) -> DataFrame:
     })
 
 
-def read_seasons(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Union of per-season files (season -> path) whose columns may differ; missing columns are empty."""
+def read_seasons(spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, str] | None = None) -> DataFrame:
+    """Union of per-season files (season -> path) whose columns may differ; missing columns are empty.
+
+    Seasons with a schema are split over tasks.
+    """
     from functools import reduce
-    frames = [season_rows(read_table(spark, path), F.lit(season)) for season, path in paths.items()]
+    schemas = schemas or {}
+    frames = [season_rows(read_table(spark, path, schemas.get(season)), F.lit(season)) for season, path in paths.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).na.fill("")
 
 
-def read_reports(spark: SparkSession, root: str, postfix: str = "_report.csv") -> DataFrame:
+def read_reports(spark: SparkSession, root: str, postfix: str = "_report.csv", schema: str | None = None) -> DataFrame:
     """All reports ``root/<site>/<season id><postfix>`` in one read, with ``season_id`` from the name.
 
-    A report may be one file or the folder that a Spark job wrote.
+    A report may be one file or the folder that a Spark job wrote. With a schema, as in ``read_table``, they are split.
     """
-    reports = spark.read.options(header=True, escape='"', multiLine=True).csv(f"{root}/*/*{postfix}")
+    reader = spark.read.options(header=True, escape='"', multiLine=schema is None)
+    reports = (reader.schema(schema) if schema else reader).csv(f"{root}/*/*{postfix}")
     season = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]*)" + re.escape(postfix), 1)
     return reports.withColumn("season_id", season).na.fill("")
 
@@ -187,9 +204,9 @@ def subject_urls(subjects: DataFrame, quality: str = "standard", n: int = 3, pre
         F.coalesce(F.get(urls, F.lit(i)), F.lit("")).alias(f"{prefix}{i}") for i in range(n)])
 
 
-def read_subject_urls(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Addresses from a JSON object ``{subject_id: {location: {quality: [urls]}}}``."""
-    rows = keyed_json(spark.read.text(path, wholetext=True), "record", "struct<location: map<string, array<string>>>")
+def read_subject_urls(spark: SparkSession, path: str, lines: bool = False, **options) -> DataFrame:
+    """Addresses from a JSON object ``{subject_id: {location: {quality: [urls]}}}``, or from one such object per line."""
+    rows = keyed_json(read_objects(spark, path, lines), "record", "struct<location: map<string, array<string>>>")
     return subject_urls(rows.select(F.col("capture_id").alias("subject_id"), "record.location"), **options)
 
 
