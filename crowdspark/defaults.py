@@ -112,7 +112,6 @@ LEGACY_HEADER = {
     "id": "classification_id",
     "retire_reason": "retirement_reason",
     "species_count": "count",
-    "subject_export_id": "subject_id",
 }
 LEGACY_QUESTIONS = ("species", "count", "standing", "resting", "moving", "eating", "interacting", "young_present")
 LEGACY_FLAG_QUESTIONS = ("standing", "resting", "moving", "eating", "interacting", "young_present")

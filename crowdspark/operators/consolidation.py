@@ -66,11 +66,17 @@ def select_by_season(df: DataFrame, groups: Sequence[tuple[Sequence[str], Mappin
     return df.where(F.col("season").isin(covered)).select(*chosen)
 
 
-def keep_known_images(df: DataFrame, not_existing: Sequence[str] = (), early_seasons: Sequence[str] = (),
+def keep_known_images(df: DataFrame, not_existing: DataFrame | Sequence[str] = (), early_seasons: Sequence[str] = (),
                       path: str = "image_path_rel") -> DataFrame:
-    """Drop images that do not exist, and rows of early seasons that no trusted table knows."""
+    """Drop images that do not exist, and rows of early seasons that no trusted table knows.
+
+    ``not_existing`` is a table whose first column holds paths, of any size, or a short list of them.
+    """
     unknown = F.col("season").isin(list(early_seasons)) & (F.col("invalid") == "")
-    return df.where(~F.col(path).isin(list(not_existing)) & ~unknown)
+    if not isinstance(not_existing, DataFrame):
+        not_existing = df.sparkSession.createDataFrame([(p,) for p in not_existing], "path string")
+    missing = not_existing.select(F.col(not_existing.columns[0]).alias("_missing"))
+    return df.where(~unknown).join(missing, F.col(path) == F.col("_missing"), "left_anti")
 
 
 def invalid_flags(df: DataFrame) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdspark.functions import text
 from crowdspark.functions.answers import binary_answer
 from crowdspark.functions.hashing import assign_split, hash_to_unit, shuffle_key
-from crowdspark.operators.ordering import first_n_per_group, lowest_hashes
+from crowdspark.operators.ordering import first_n_per_group, group_positions, lowest_hashes
 from crowdspark.operators.predictions import first_images
 
 SPLIT_NAMES, SPLIT_SHARES = ("train", "val", "test"), (0.9, 0.05, 0.05)
@@ -83,8 +83,8 @@ def mix_sources(frames: Mapping[str, DataFrame], flag: str = "source") -> DataFr
 
 def label_to_index(df: DataFrame, label: str) -> DataFrame:
     """The different labels with their position in alphabetical order, from 0."""
-    labels = df.select(label).distinct()
-    return labels.withColumn("label_index", (F.row_number().over(Window.orderBy(label)) - 1))
+    placed = group_positions(df.select(label).distinct(), [], [label], out="label_index")
+    return placed.withColumn("label_index", (F.col("label_index") - 1).cast("int"))
 
 
 def standardize_species(df: DataFrame, mapping: DataFrame, level: str, column: str = "species") -> DataFrame:

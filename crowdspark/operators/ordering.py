@@ -74,10 +74,13 @@ def group_positions(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """1-based position of each row in its group (``keys`` may be empty), ordered by ``order``."""
+    """1-based position of each row in its group, ordered by ``order``.
+
+    Without ``keys`` all rows are one group, of whatever size, and are always numbered in slices.
+    """
     keys = list(keys)
-    cold, hot = split_hot_groups(df, keys, hot_group_rows)
-    plain = cold.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    cold, hot = split_hot_groups(df, keys, hot_group_rows) if keys else (None, df)
+    plain = cold and cold.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
     if hot is None:
         return plain
     sliced = ordered_slices(hot, [*keys, *order])
@@ -85,7 +88,8 @@ def group_positions(
     summary = sliced.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
     summary = summary.withColumn("_before", before_slice(summary, keys, "_n")).drop("_n")
     ranked = join_summary(local, summary, keys).withColumn(out, F.col("_before") + F.col("_rn"))
-    return plain.unionByName(ranked.select(*df.columns, out))
+    ranked = ranked.select(*df.columns, out)
+    return plain.unionByName(ranked) if plain else ranked
 
 
 def first_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int = 1,

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from crowdspark.operators import actions, captures, datasets, quality
+from crowdspark.operators import actions, captures, consolidation, datasets, ordering, quality
 from crowdspark.operators.ordering import lowest_hashes
 from crowdspark.sources import contents, writers
 
@@ -127,3 +127,22 @@ def test_a_batch_is_committed_once(spark, tmp_path):
     assert writers.committed_batches(spark, path) == ["all"]
     writers.append_tracker(ids("late"), path, batch="1")  # compacted, so committed
     assert sorted(r.capture_id for r in writers.read_tracker(spark, path).collect()) == ["a", "b", "c", "d"]
+
+
+def test_paths_that_do_not_exist_may_be_a_table(spark):
+    images = spark.createDataFrame([("a", "S1", "0"), ("b", "S1", "0"), ("c", "S1", ""), (None, "S2", "0")],
+                                   "image_path_rel string, season string, invalid string")
+    gone = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "file string, n int")
+    for missing in (gone, ["a"]):
+        kept = consolidation.keep_known_images(images, missing, ["S1"])
+        assert sorted(str(r["image_path_rel"]) for r in kept.collect()) == ["None", "b"]
+    assert consolidation.keep_known_images(images).count() == 4
+
+
+def test_rows_without_keys_are_numbered_in_slices(spark):
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v"))
+    placed = ordering.group_positions(rows, [], ["v"])
+    assert all(r["position"] == r["v"] + 1 for r in placed.collect())
+    labels = datasets.label_to_index(rows.unionByName(rows), "v")
+    assert sorted(tuple(r) for r in labels.collect()) == [(i, i) for i in range(1000)]
+    assert ordering.group_positions(rows.limit(0), [], ["v"]).count() == 0
