@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -152,11 +153,13 @@ def scan_text(index: TemplateIndex, text_words: list[str], hits: list[tuple[int,
                 left[low + first: low + end] = [None] * (end - first)
             else:
                 tried.add(shift)
+    # those kept do not overlap, so only the neighbours of a match can touch it
     kept: list[tuple[int, int, int, int]] = []
     for m in sorted(found, key=lambda m: (-m[1], -m[1] / len(index.words[m[0]]), m[2], m[0])):
-        if all(m[3] <= k[2] or m[2] >= k[3] for k in kept):
-            kept.append(m)
-    return sorted(kept, key=lambda m: m[2])
+        at = bisect_left(kept, m[2], key=lambda k: k[2])
+        if (at == 0 or kept[at - 1][3] <= m[2]) and (at == len(kept) or m[3] <= kept[at][2]):
+            kept.insert(at, m)
+    return kept
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, band: int = BAND,
