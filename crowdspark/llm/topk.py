@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ BLOCK_QUERIES = 256
 MAX_CENTRES = 512
 LOW = np.iinfo(np.int64).min
 
-TREE = "shard long, dim int, kind string, ids binary, vectors binary, query_id long, floor long, floor_id long"
+TREE = "shard long, dim int, kind string, ids binary, vectors binary, query_id long, number long, floor long, floor_id long"
 
 
 def whole_vectors(table: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
@@ -186,24 +187,27 @@ def top_k(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embedd
         asked, queries = ids[asks].copy(), data[asks].copy()
         tree = BallTree(ids.copy(), data)
         shard, dim = keys[0].as_py(), keys[1].as_py()
-        out = [(shard, dim, "tree", tree.ids.tobytes(), tree.vectors.tobytes(), None, None, None)]
+        out = [(shard, dim, "tree", tree.ids.tobytes(), tree.vectors.tobytes(), None, None, None, None)]
         root = np.concatenate([tree.centres[0], tree.radii[:1]])
-        out.append((shard, dim, "ball", None, root.tobytes(), None, None, int(tree.firsts[0])))
+        out.append((shard, dim, "ball", None, root.tobytes(), None, None, None, int(tree.firsts[0])))
         found = tree.search(asked, queries, k, np.full(len(asks), LOW), np.zeros(len(asks), np.int64))
+        seen = Counter()  # equal rows of an id are in one shard; their numbers tell them apart
         for i, best in enumerate(found):
+            row = int(asked[i]), queries[i].tobytes()
+            seen[row] += 1
             pairs = np.array(best, np.int64).reshape(-1, 2)
             full = len(best) == k
-            out.append((shard, dim, "query", pairs.tobytes(), queries[i].tobytes(), int(asked[i]),
+            out.append((shard, dim, "query", pairs.tobytes(), row[1], row[0], seen[row],
                         best[-1][0] if full else LOW, best[-1][1] if full else 0))
-        types = [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        types = [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)],
-                        names=["shard", "dim", "kind", "ids", "vectors", "query_id", "floor", "floor_id"])
+                        names=["shard", "dim", "kind", "ids", "vectors", "query_id", "number", "floor", "floor_id"])
 
     built = written(sharded.groupBy("shard", "dim").applyInArrow(build, TREE), "trees")
     trees = built.where("kind = 'tree'").select("shard", "dim", F.col("ids").alias("tree_ids"),
                                                 F.col("vectors").alias("tree_vectors"))
     balls = built.where("kind = 'ball'").select("shard", "dim", "vectors", "floor_id")
-    asked = built.where("kind = 'query'").withColumn("ask", F.xxhash64("query_id", "vectors"))
+    asked = built.where("kind = 'query'").withColumn("ask", F.xxhash64("query_id", "number", "vectors"))
 
     # blocks of queries from one shard, and the shards' outer balls in blocks
     blocks = (

@@ -565,3 +565,30 @@ def test_wide_sketches_bound_the_difference_of_sets():
         x, y = (np.frombuffer(ngram_join.wide_sketch(s), np.uint64) for s in (some[:n], some[n - common:]))
         assert ngram_join.wide_apart(x, y) == ngram_join.wide_apart(y, x) <= n + m - 2 * common
     assert ngram_join.wide_sketch(some[:320]) == b""
+
+
+def test_each_row_of_a_repeated_query_has_its_own_results(spark):
+    """Equal rows of a query id are separate queries, and other columns may have the names used inside."""
+    vectors = [(0, [1.0, 0.5], 1, 2), (0, [1.0, 0.5], 1, 2), (0, [0.0, 1.0], 1, 2)]
+    vectors += [(i, [i / 8, 1 - i / 8], 3, 4) for i in range(1, 31)]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, id long, dim long")
+    got = [tuple(r) for r in topk.top_k(table, F.col("id") == 0, k=20, shard_rows=8).collect()]
+    want = []
+    for key, query, *_ in vectors:
+        if key == 0:
+            scores = sorted((-sum(int(64 * a // 1) * int(64 * b // 1) for a, b in zip(query, x)), i) for i, x, *_ in vectors if i != 0)
+            want += [(0, rank, i, -s) for rank, (s, i) in enumerate(scores[:20], 1)]
+    assert sorted(got) == sorted(want)
+
+
+def test_many_license_matches_in_one_text():
+    """Matches kept are those of a plain comparison of all pairs, and their number costs no square of it."""
+    index = license_scan.TemplateIndex({"a": "one two three four five", "b": "three four five six seven eight", "c": "nine ten one two"})
+    rng = random.Random(3)
+    for n in (1, 5, 60, 3000):
+        words = [w for _ in range(n) for w in rng.choice(["one two three four five", "six seven eight", "nine ten", "x"]).split()]
+        hits = [(t, p, 0) for t in range(3) for p in range(len(words)) if words[p] == index.words[t][0]]
+        got = license_scan.scan_text(index, words, hits, 2, 0.8)
+        assert got == sorted(got, key=lambda m: m[2]) and all(a[3] <= b[2] for a, b in zip(got, got[1:]))
+        if n == 3000:
+            assert len(got) > 500
