@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,12 @@ class WordPieces:
         return b"".join(found)
 
 
+@lru_cache(maxsize=1)
+def word_pieces(path: str, end_id: int) -> WordPieces:
+    """A Python worker keeps the vocabulary and the words it has encoded from task to task."""
+    return WordPieces(path, end_id)
+
+
 class Bm25Index:
     """An inverted index over the term ids of a shard's documents."""
 
@@ -202,7 +209,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | Callable[[], str], end
     except for a shard's last ones, which are cut at powers of two: those need no padding.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = WordPieces(tokenizer_path if isinstance(tokenizer_path, str) else tokenizer_path(), end_id)
+        pieces = word_pieces(tokenizer_path if isinstance(tokenizer_path, str) else tokenizer_path(), end_id)
         partition, made = TaskContext.get().partitionId(), 0
         doc_ids, blobs, tokens = [], [], 0
 
