@@ -192,6 +192,47 @@ def test_bm25_neighbours_share_words():
     assert index.neighbours(1, np.array([True, False, True, True])).tolist() == [3]
 
 
+def test_bm25_neighbours_match_plain_scores():
+    rng = random.Random(4)
+    docs = [np.array([rng.randint(1, 60) for _ in range(rng.randint(1, 40))]) for _ in range(60)]
+    index = packing.Bm25Index(docs)
+    mean = sum(map(len, docs)) / len(docs)
+    frequency = {t: sum(t in d for d in docs) for t in range(1, 61)}
+    idf = {t: np.log1p((len(docs) - n + 0.5) / (n + 0.5)) for t, n in frequency.items()}
+
+    def score(terms, doc):
+        total = 0.0
+        for t in terms:
+            n = int((doc == t).sum())
+            norm = packing.K1 * (1 - packing.B + packing.B * len(doc) / mean)
+            total += idf[t] * n * (packing.K1 + 1) / (n + norm)
+        return total
+
+    for seed, doc in enumerate(docs):
+        terms = {t: int((doc == t).sum()) for t in sorted(set(doc.tolist())) if frequency[t] > 1}
+        asked = sorted(terms, key=lambda t: -idf[t] * min(terms[t], 4))[:packing.QUERY_TERMS]
+        unused = np.array([rng.random() < 0.7 and d != seed for d in range(len(docs))])
+        want = {d: score(asked, docs[d]) for d in np.flatnonzero(unused) if set(asked) & set(docs[d].tolist())}
+        got = index.neighbours(seed, unused).tolist()
+        assert sorted(got) == sorted(want)
+        assert np.allclose([want[d] for d in got], sorted(want.values(), reverse=True))
+
+
+def test_packing_ignores_clashing_columns(spark):
+    docs = documents(spark, [(i, prose(i, 50 + i)) for i in range(8)]).coalesce(1)
+    more = docs.withColumns({name: F.lit("x") for name in packing.PIECE_NAMES if name != "doc_id"})
+    plain, clashing = (sorted(map(tuple, packing.pack_documents(d, tokenizer_path).collect())) for d in (docs, more))
+    assert plain == clashing and len(plain) >= 8
+
+
+def test_a_worker_keeps_one_vocabulary():
+    first = packing.word_pieces(tokenizer_path(), 1)
+    assert packing.word_pieces(tokenizer_path(), 1) is first
+    ids = first.encode("kept words kept")
+    assert first.encode("kept words kept") == ids and ids.endswith(np.uint32(1).tobytes())
+    assert packing.word_pieces(tokenizer_path(), 2).encode("kept").endswith(np.uint32(2).tobytes())
+
+
 # ---- 5: archives ----
 
 def test_archives_round_trip(spark):
