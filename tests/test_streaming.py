@@ -104,3 +104,11 @@ def test_first_rows_of_keys(spark, tmp_path):
         stream = arrivals.first_rows_stream(spark.readStream.schema(schema).parquet(folder), ["k"], F.col("at"), ["n"], delay="4 days")
         stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True).format("parquet").start(out).awaitTermination(100)
     assert sorted((r.k, r.n, r.name) for r in spark.read.parquet(out).collect()) == [("a", 2, "two"), ("b", None, "null")]
+
+
+def test_many_files_of_one_arrival_lose_no_image(spark):
+    """The watermark moves when all files of a part are read, not between them."""
+    from crowdspark.plans.stream_queries import captures_of_a_stream
+    tables = Tables(spark, SF_DIR)
+    tables.inventory = tables.inventory.repartition(30, "event_id")
+    assert captures_of_a_stream(tables).count() == tables.inventory.count()
