@@ -220,19 +220,29 @@ def rejected_rows(t: Tables) -> DataFrame:
     return classifications.rejected_rows(rows, workflow_id="10", version_min="310").select("classification_id", "price", "reject_reason")
 
 
-def write_document(parts: list[DataFrame | str], folder: str) -> None:
-    """One JSON document of fixed pieces and of entries (``value``) with commas between them, in one file."""
-    spark = next(p for p in parts if not isinstance(p, str)).sparkSession
+#: Entries of the longest array of a document; one task writes a document.
+DOCUMENT_ROWS = 1_000_000
+
+
+def write_document(parts: list[DataFrame | str], folder: str, document_rows: int = DOCUMENT_ROWS) -> None:
+    """JSON documents of fixed pieces and of entries (``value``) with commas between them, one file each.
+
+    There is one document, or as many as the longest part has ``document_rows``; entries are dealt by a hash.
+    """
+    entries = [p for p in parts if not isinstance(p, str)]
+    n = max(1, *(-(-p.count() // document_rows) for p in entries))
     lines = None
     for i, part in enumerate(parts):
         if isinstance(part, str):
-            rows = spark.createDataFrame([(i, 0, part)], "part int, rank int, value string")
+            rows = entries[0].sparkSession.range(n).select(
+                F.col("id").alias("document"), F.lit(i).alias("part"), F.lit(0).alias("rank"), F.lit(part).alias("value"))
         else:
-            rank = F.row_number().over(Window.orderBy("value"))
-            rows = part.withColumn("rank", rank).select(
-                F.lit(i).alias("part"), "rank", F.concat(F.when(F.col("rank") == 1, "").otherwise(","), "value").alias("value"))
+            dealt = part.select(F.pmod(F.xxhash64("value"), F.lit(n)).alias("document"), "value")
+            rank = F.row_number().over(Window.partitionBy("document").orderBy("value"))
+            rows = dealt.withColumn("rank", rank).select(
+                "document", F.lit(i).alias("part"), "rank", F.concat(F.when(F.col("rank") == 1, "").otherwise(","), "value").alias("value"))
         lines = rows if lines is None else lines.unionByName(rows)
-    lines.repartition(1).sortWithinPartitions("part", "rank").select("value").write.text(folder)
+    lines.repartition(n, "document").sortWithinPartitions("document", "part", "rank").select("document", "value").write.partitionBy("document").text(folder)
 
 
 @query("v_flat", """

@@ -127,15 +127,16 @@ def labelled_images(categories: DataFrame, images: DataFrame, annotations: DataF
     """Image rows with the sorted labels of their sequence, joined by ``#``.
 
     ``categories(id, name)``, ``images(id, file_name, seq_id, season, location, datetime)``,
-    ``annotations(image_id, category_id)``. The labels of a sequence come from a closed list.
+    ``annotations(image_id, category_id)``. The labels of a sequence come from a closed list. Images and annotations are
+    never broadcast: tables read in blocks look as small as their list of blocks.
     """
     labels = (
-        annotations.join(images.select(F.col("id").alias("image_id"), "seq_id"), "image_id")
-        .join(categories.select(F.col("id").alias("category_id"), "name"), "category_id")
+        annotations.join(images.select(F.col("id").alias("image_id"), "seq_id").hint("merge"), "image_id")
+        .join(F.broadcast(categories.select(F.col("id").alias("category_id"), "name")), "category_id")
         .select("seq_id", "name").distinct()
         .groupBy("seq_id").agg(F.array_join(F.array_sort(F.collect_list("name")), "#").alias("species"))
     )
-    return images.join(labels, "seq_id", "left").select(
+    return images.join(labels.hint("merge"), "seq_id", "left").select(
         F.col("file_name").alias("image_path"), F.col("seq_id").alias("subject_id"), "season",
         F.col("location").alias("site"), F.coalesce("datetime", F.lit("")).alias("datetime"), "species")
 

@@ -86,3 +86,23 @@ def test_label_files_in_small_blocks(spark, tmp_path):
     assert by_name["categories"] == sorted(json.dumps(c) for c in document["categories"])
     assert by_name["licenses"] == [json.dumps(document["licenses"][0])] and by_name["images"] == []
     assert by_name["annotations"] == [json.dumps(document["annotations"][0])]
+
+
+def test_images_of_a_label_file_are_not_broadcast(rows):
+    """Tables read in blocks look as small as their list of blocks; only the closed list of labels may be broadcast."""
+    found = readers.labelled_images(
+        rows("id name", [("c", "lion")]), rows("id file_name seq_id season location datetime", [("1", "f", "s", "S", "x", None)]),
+        rows("image_id category_id", [("1", "c")]))
+    assert found._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 1
+    assert [tuple(r) for r in found.collect()] == [("f", "s", "S", "x", "", "lion")]
+
+
+def test_entries_of_several_written_documents(spark, rows, tmp_path):
+    from crowdspark.plans import load_all
+    load_all()
+    from crowdspark.plans.source_queries import write_document
+    folder, numbers = str(tmp_path / "labels"), [(str(i),) for i in range(20)]
+    write_document(['{"a": [', rows("value", numbers), '], "b": [', rows("value", numbers[:3]), "]}"], folder, document_rows=6)
+    got = json_entries.array_entries(spark, folder, 16).collect()
+    assert sorted((r.name, int(r.value)) for r in got) == [("a", i) for i in range(20)] + [("b", i) for i in range(3)]
+    assert len(list((tmp_path / "labels").glob("document=*/*.txt"))) == 4
