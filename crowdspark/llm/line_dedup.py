@@ -16,7 +16,7 @@ FACTOR, MODULUS = 31, 1_000_003
 
 
 def line_chunks(text: str) -> str:
-    """SQL for the chunks of a text: an array of ``struct(n_lines, chunk, long)`` in order.
+    """SQL for the chunks of a text: an array of ``struct(n_lines, line, chunk, long)`` in order; lines count from 0.
 
     A line's hash is made of the first 32 bits of its MD5. The rolling hash after a line covers it and the
     ROLL_LINES - 1 lines before it; a chunk ends where it is divisible by MEAN_LINES, so boundaries depend on
@@ -34,7 +34,7 @@ def line_chunks(text: str) -> str:
             i = size(p.hashes) - 1 or get(p.long, i) or coalesce(get(p.long, i + 1), false)
             or ({rolled}) % {MODULUS} % {MEAN_LINES} = 0, i, -1)), i -> i >= 0) as ends))[0]"""
     return f"""transform(array({ends}), q -> transform(q.ends, (e, i) -> struct(
-        e - coalesce(get(q.ends, i - 1), -1) as n_lines,
+        e - coalesce(get(q.ends, i - 1), -1) as n_lines, coalesce(get(q.ends, i - 1), -1) + 1 as line,
         array_join(slice(q.lines, coalesce(get(q.ends, i - 1), -1) + 2, e - coalesce(get(q.ends, i - 1), -1)), '\\n') as chunk,
         get(q.long, e) as long)))[0]"""
 
@@ -46,7 +46,7 @@ def doc_key() -> Column:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``doc_key, place`` of every chunk to remove: one that occurs before, byte for byte.
+    """``doc_key, place``, first ``line``, ``chunk`` and ``long`` of every chunk to remove: one that occurs before, byte for byte.
 
     Only chunks of several lines, or of one long line, count; blank ones do not. Of equal chunks the first
     by (doc_id, digest of the document, place) stays. Digests are counted first, with partial sums; only
@@ -59,11 +59,11 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     digests = chunks.withColumn("digest", F.md5("c.chunk"))
     often = digests.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     some = written(
-        digests.join(often, "digest", "left_semi").select("digest", F.col("c.chunk").alias("chunk"), "doc_id", "doc_key", "place"),
-        "chunks")
+        digests.join(often, "digest", "left_semi").select(
+            "digest", F.col("c.chunk").alias("chunk"), "doc_id", "doc_key", "place", "c.line", "c.long"), "chunks")
     first = some.groupBy("digest", "chunk").agg(F.min(F.struct("doc_id", "doc_key", "place")).alias("first"))
     return some.join(first, ["digest", "chunk"]).where(
-        "doc_key <> first.doc_key or place <> first.place").select("doc_key", "place")
+        "doc_key <> first.doc_key or place <> first.place").select("doc_key", "place", "line", "chunk", "long")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -87,6 +87,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("removed_chunks"), F.coalesce("_cut.lines", F.lit(0)).alias("removed_lines"))
 
 
+def chunk_passages(docs: DataFrame) -> DataFrame:
+    """``doc_key, first, last`` of every repeated chunk that has two lines or more, or is a long line; blank edges aside."""
+    filled = """filter(transform(split(chunk, '\n'), (l, i) -> if(trim(translate(l, '\t\r', '  ')) <> '', line + i, null)),
+        i -> i is not null)"""
+    chunks = repeated_chunks(docs).select("doc_key", "long", F.expr(filled).alias("lines")).where("long or size(lines) > 1")
+    return chunks.select("doc_key", F.array_min("lines").alias("first"), F.array_max("lines").alias("last"))
+
+
 def line_pairs(text: str) -> str:
     """SQL for the least passages of a text: an array of ``struct(first, last, digest)``, line numbers from 0.
 
@@ -122,7 +130,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def dedup_passages(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated passages of ``text``, plus ``removed_lines``.
 
-    A passage is a run of two or more lines that are not blank, or one line of LONG_LINE_WORDS words, equal byte for
+    Repeated content-defined chunks go first (``chunk_passages``, byte for byte). Their boundaries look at three lines, so
+    the edges of a repeated passage lie in other chunks; pairs of neighbouring lines then find what is left of it. A passage is a run of two or more lines that are not blank, or one line of LONG_LINE_WORDS words, equal byte for
     byte (by SHA-256); it goes whole, wherever it lies in its document, but for the places that come first. The first
     place of a line always stays, so nothing is lost from all documents. All rows and other columns stay; a null
     text stays null. Rows with equal doc_id and text are one document and end alike. Columns named ``doc_key``,
@@ -130,7 +139,7 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     """
     own = [c for c in docs.columns if c.lower() not in {"doc_key", "gone", "removed_lines"}]
     docs = docs.select(*own)
-    gone = repeated_lines(docs).groupBy("doc_key").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
+    gone = chunk_passages(docs).unionByName(repeated_lines(docs)).groupBy("doc_key").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
     joined = docs.withColumn("doc_key", doc_key()).join(gone, "doc_key", "left")
     kept = """transform(array(split(cast(text as string), '\n')), lines -> transform(array(array_except(
         sequence(0, size(lines) - 1), flatten(transform(gone, g -> sequence(g.first, g.last))))), kept -> struct(

@@ -322,6 +322,20 @@ def test_repeated_passages_of_short_lines_go_whole(spark):
     assert line_dedup.dedup_passages(documents(spark, rows[:0])).count() == 0
 
 
+def test_repeated_passages_go_by_chunks_first(spark):
+    """The rolling hash finds chunks inside a passage, whatever stands around it; the pairs of lines find its edges."""
+    passage = [prose(7000 + i, 9) for i in range(30)]
+    rows = [(n, "\n".join([*(prose(7100 + 50 * n + i, 8) for i in range(3 + n)), *passage, "", prose(7300 + n, 8)])) for n in (1, 2)]
+    docs = documents(spark, rows)
+    keys = {r.doc_key: r.doc_id for r in docs.select("doc_id", line_dedup.doc_key().alias("doc_key")).collect()}
+    found = line_dedup.chunk_passages(docs).collect()
+    gone = {i for r in found for i in range(r.first, r.last + 1)}
+    assert {keys[r.doc_key] for r in found} == {2} and gone < set(range(5, 35)) and len(gone) > 10
+    kept = {r.doc_id: (r.text, r.removed_lines) for r in line_dedup.dedup_passages(docs).collect()}
+    lines = rows[1][1].split("\n")
+    assert kept == {1: (rows[0][1], 0), 2: ("\n".join(lines[:5] + lines[35:]), 30)}
+
+
 # ---- 7: n-gram join ----
 
 def brute_near_duplicates(rows, n, percent):
