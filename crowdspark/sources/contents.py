@@ -12,13 +12,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 #: Bytes of a file that are read at once.
 PIECE = 1 << 20
+#: Tasks for each core that open files.
+TASKS_PER_CORE = 4
 
 
 def file_digests(files: DataFrame, size: int | None = None, out: str = "digest") -> DataFrame:
     """``files`` with the SHA-1 of the first ``size`` bytes of each ``path``, or of all; null if it cannot be read.
 
-    A task opens its own files and reads no more bytes than it hashes, a piece at a time; contents never leave it.
+    A task opens its own files and reads no more bytes than it hashes, a piece at a time; contents never leave it. The
+    list of files is short, whatever they hold, so it is dealt to all cores first.
     """
+    files = files.repartition(files.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE, "path")
+
     def digest(path: str | None) -> str | None:
         try:
             system, name = FileSystem.from_uri(path)
