@@ -18,6 +18,11 @@ from crowdspark.sources import readers, writers
 from crowdspark.sources.json_entries import object_entries
 
 
+def text_schema(rows: DataFrame) -> str:
+    """The columns of a table as they stand in CSV: with a schema, its files are split over tasks."""
+    return ", ".join(f"`{c}` string" for c in rows.columns)
+
+
 @query("v_captures", """
 SELECT capture_id, image_name_original, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, props,
   CAST(image_rank_in_capture AS VARCHAR) AS image_rank_in_capture FROM v_captures""")
@@ -26,8 +31,9 @@ def csv_round_trip(t: Tables) -> DataFrame:
     folder = shared_folder(t.spark, "captures")
     rows = grouped(t).select("props", "capture_id", "image_rank_in_capture", "image_name_original",
                              F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"))
-    writers.write_table(rows, folder, ["capture_id", "image_rank_in_capture"])
-    return readers.read_table(t.spark, folder)
+    first = ["capture_id", "image_rank_in_capture"]
+    writers.write_table(rows, folder, first)
+    return readers.read_table(t.spark, folder, text_schema(rows.select(*writers.first_then_rest(rows.columns, first))))
 
 
 @query("v_classifications", """
@@ -36,7 +42,7 @@ def classifications_round_trip(t: Tables) -> DataFrame:
     """S3: a classification export as CSV, its JSON columns parsed after reading."""
     folder = shared_folder(t.spark, "classifications")
     writers.write_table(t.classifications.drop("price"), folder)
-    rows = readers.read_classifications(t.spark, folder)
+    rows = readers.read_classifications(t.spark, folder, text_schema(t.classifications.drop("price")))
     return rows.select("classification_id", "user_id", "created_at",
                        classifications.subject_season(F.col("subject_data"), F.col("subject_ids")).alias("season"),
                        classifications.is_live(F.try_parse_json("metadata")).cast("int").alias("live"),
@@ -50,7 +56,7 @@ def subjects_round_trip(t: Tables) -> DataFrame:
     """A subject export as CSV, its maps parsed after reading."""
     folder = shared_folder(t.spark, "subjects")
     writers.write_table(t.subject_export.drop("created_at"), folder)
-    rows = readers.read_subjects(t.spark, folder).withColumn("upload_metadata", F.col("metadata"))
+    rows = readers.read_subjects(t.spark, folder, text_schema(t.subject_export.drop("created_at"))).withColumn("upload_metadata", F.col("metadata"))
     return rows.select("subject_id", "o_orderkey", *metadata("#site", "#roll"), F.try_element_at("locations", F.lit("0")).alias("url"))
 
 
@@ -60,8 +66,9 @@ def legacy_round_trip(t: Tables) -> DataFrame:
     """A legacy export as CSV with its own header, renamed on reading."""
     folder = shared_folder(t.spark, "legacy")
     names = {"young_present": "babies", "classification_id": "id", "retirement_reason": "retire_reason", "count": "species_count"}
-    writers.write_table(tables.legacy_export(t).withColumnsRenamed(names), folder)
-    return readers.read_legacy_classifications(t.spark, folder).select(
+    rows = tables.legacy_export(t).withColumnsRenamed(names)
+    writers.write_table(rows, folder)
+    return readers.read_legacy_classifications(t.spark, folder, schema=text_schema(rows)).select(
         "classification_id", "subject_id", "season", "filenames", "species", "count", "young_present")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from crowdspark.functions.times import file_time_local
 from crowdspark.operators import quality
 from crowdspark.sources import readers, writers
+from crowdspark.sources.contents import file_digests
 
 
 def png(path, color, size=10):
@@ -103,3 +104,30 @@ def test_writers(spark, tmp_path):
 def test_mapping_override(spark):
     table = readers.mapping_table(spark, {"a": "1", "b": "2"}, {"b": "3"})
     assert {r["key"]: r["value"] for r in table.collect()} == {"a": "1", "b": "3"}
+
+
+def test_files_are_opened_by_many_tasks(spark, tmp_path):
+    """A list of files is small, so that Spark would join its partitions into one; their contents are not."""
+    names = [str(tmp_path / f"{i}.jpg") for i in range(40)]
+    for name in names:
+        open(name, "wb").write(b"x")
+    files = spark.createDataFrame([(n, 1) for n in names], "path string, length bigint").coalesce(1)
+    digests = file_digests(files.groupBy("path").agg(F.max("length").alias("length")))
+    tasks = digests.withColumn("task", F.spark_partition_id()).select("task", "digest").collect()
+    assert len(tasks) == 40 and len({r.task for r in tasks}) > 4 and len({r.digest for r in tasks}) == 1
+
+
+def test_a_written_export_is_split_over_tasks(spark, tmp_path):
+    """With a schema a large file of an export is read by several tasks."""
+    from crowdspark.plans import load_all
+    load_all()
+    from crowdspark.plans.source_queries import text_schema
+    rows = spark.range(20000).select(F.col("id").cast("string").alias("classification_id"), F.lit('{"a":"b,c"}').alias("metadata"))
+    writers.write_table(rows.coalesce(1), str(tmp_path / "export"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100000)
+    try:
+        got = readers.read_classifications(spark, str(tmp_path / "export"), text_schema(rows))
+        assert got.rdd.getNumPartitions() > 2
+        assert got.exceptAll(rows).isEmpty() and got.count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
