@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdspark.defaults import EMPTY_ANSWER, LEGACY_FLAG_QUESTIONS, LEGACY_QUESTIONS, LEGACY_SEASON_PREFIX
@@ -76,10 +76,13 @@ def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, im
 
 
 def first_classification_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """All rows of the first classification of each user and subject."""
-    firsts = df.groupBy("user_name", "subject_id").agg(
-        F.min_by("classification_id", F.struct(*order_by)).alias("_first"))
-    return df.join(firsts, ["user_name", "subject_id"]).where(F.col("classification_id") == F.col("_first")).drop("_first")
+    """All rows of the first classification of each user and subject; rows without one of them are left out.
+
+    ``df`` is read once, and its rows are exchanged once.
+    """
+    first = F.min_by("classification_id", F.struct(*order_by)).over(Window.partitionBy("user_name", "subject_id"))
+    known = df.where(F.col("user_name").isNotNull() & F.col("subject_id").isNotNull())
+    return known.withColumn("_first", first).where(F.col("classification_id") == F.col("_first")).drop("_first")
 
 
 def consolidate_annotations(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = ("classification_id", "species"),
@@ -121,12 +124,12 @@ def extract_legacy_annotations(df: DataFrame, subject_captures: DataFrame, image
                                prefix: str = LEGACY_SEASON_PREFIX) -> DataFrame:
     """Eligible legacy annotations with their capture, consolidated per classification and species.
 
-    The resolved rows are needed several times, so they are checkpointed.
+    The rows of first classifications are needed several times, so they are checkpointed.
     """
     resolved = resolve_captures(df, subject_captures, images, prefix).where(F.col("reject_reason").isNull())
     mapped = map_legacy_answers(resolved.drop("reject_reason"))
     with_capture = mapped.withColumn("capture", F.element_at(F.split("capture_id", "#"), -1))
-    return consolidate_annotations(first_classification_rows(stable(with_capture), order_by), order_by)
+    return consolidate_annotations(stable(first_classification_rows(with_capture, order_by)), order_by)
 
 
 def reject_stats(resolved: DataFrame) -> DataFrame:

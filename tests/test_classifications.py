@@ -110,3 +110,14 @@ def test_reject_stats(spark):
     rows = export(spark, {"user_name": "a", "subject_ids": "s"}, {"user_name": "a", "subject_ids": "s"}, {"workflow_id": "2"})
     stats = {r["reason"]: r["count"] for r in c.reject_stats(rows, workflow_id="10337").collect()}
     assert stats == {"kept": 1, "duplicate": 1, "not_eligible_workflow": 1}
+
+
+def test_legacy_rows_of_first_classifications_are_exchanged_once(rows):
+    """The first classification is found where a user's rows meet, and rows without a user or subject are left out."""
+    from crowdspark.operators.legacy import first_classification_rows
+    df = rows("user_name subject_id classification_id at species", [
+        ("u", "1", "b", "2", "lion"), ("u", "1", "a", "1", "zebra"), ("u", "1", "a", "3", "lion"), ("v", "1", "c", "5", "lion"),
+        (None, "1", "d", "1", "lion"), ("v", None, "e", "1", "lion")])
+    found = first_classification_rows(df, ["at"])
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
+    assert sorted((r.classification_id, r.species) for r in found.collect()) == [("a", "lion"), ("a", "zebra"), ("c", "lion")]
