@@ -14,7 +14,7 @@ from crowdspark.defaults import (
 from crowdspark.functions.answers import (
     count_to_ordinal, ordinal_to_count, rounded_answer, two_decimals,
 )
-from crowdspark.operators.ordering import first_n_per_group, split_hot_groups
+from crowdspark.operators.ordering import count_and_split, exchange_by, first_n_per_group
 from crowdspark.session import stable
 
 
@@ -229,8 +229,8 @@ def plurality_consensus(
     A single numeric order column is the fastest: its minimum stays in a hash aggregate.
 
     The annotations are exchanged once, with few columns, by subject; medians, votes and ranks are worked out
-    in that partitioning. Subjects above ``hot_group_rows`` annotations, which a count of the key columns finds first, are
-    spread by user and species instead; ``None`` skips the count. Set ``checkpoint`` if the annotations come
+    in that partitioning. A count of the key columns sets the number of tasks and finds subjects above ``hot_group_rows``
+    annotations, which are spread by user and species instead; ``None`` skips the count. Set ``checkpoint`` if the annotations come
     from a costly plan. With ``n_users``, each subject has one result for the first n users of each n, named
     ``max_users_used``; rows are copied for each n after the exchange, inside their task.
     """
@@ -241,16 +241,16 @@ def plurality_consensus(
     order = order_by[0] if len(order_by) == 1 else "_order"
     annotations = annotations if len(order_by) == 1 else annotations.withColumn(order, F.struct(*order_by))
     if hot_group_rows is None:
-        cold, hot = annotations, None
+        n_rows, cold, hot = None, annotations, None
     else:
-        cold, hot = split_hot_groups(annotations, keys, hot_group_rows)
+        n_rows, cold, hot = count_and_split(annotations, keys, hot_group_rows)
     out = [*keys, "max_users_used"] if n_users else keys
 
     def narrow(rows: DataFrame) -> DataFrame:
         return _narrow(rows, keys, order, user, classification, main, empty, questions, types, ordinals)
 
     rest = (out, main, questions, types, modes, ordinals)
-    rows = narrow(cold).repartition(*keys)
+    rows = exchange_by(narrow(cold), keys, n_rows and n_rows * max(1, len(n_users)))
     species = _in_place(_each_size(rows, keys, n_users) if n_users else rows, *rest)
     finish = (out, main, empty, questions, types, modes, consensus_only, text_decimals)
     result = _consensus(species, *finish)

@@ -19,6 +19,8 @@ from crowdspark.session import stable
 SLICE = "_slice"
 #: Hash buckets of keys that are counted first; a task sends at most so many counts.
 HOT_BUCKETS = 1 << 16
+#: Rows that a task gets of an exchange after which it sorts them several times.
+ROWS_PER_TASK = 250_000
 
 
 def split_hot_groups(df: DataFrame, keys: Sequence[str], hot_group_rows: int) -> tuple[DataFrame, DataFrame | None]:
@@ -27,22 +29,40 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], hot_group_rows: int) ->
     Hash buckets of the keys are counted first: those counts collapse in the map tasks, whatever the number of
     groups. Groups themselves are counted only in buckets that are large enough to hold a hot one.
     """
+    return count_and_split(df, keys, hot_group_rows)[1:]
+
+
+def count_and_split(df: DataFrame, keys: Sequence[str], hot_group_rows: int) -> tuple[int, DataFrame, DataFrame | None]:
+    """The number of rows, and the two tables of ``split_hot_groups``; one count serves both."""
     if not keys:
-        large = df.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group_rows)
-        return (df, None) if large.isEmpty() else (df.limit(0), df)
+        n_rows = df.agg(F.count(F.lit(1))).scalar()
+        return (n_rows, df, None) if n_rows <= hot_group_rows else (n_rows, df.limit(0), df)
     bucket = F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(HOT_BUCKETS))
-    full = [r[0] for r in df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).where(
-        F.col("_n") > hot_group_rows).select("_b").collect()]
+    counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    n_rows, full = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)),
+                              F.collect_list(F.when(F.col("_n") > hot_group_rows, F.col("_b")))).first()
     if not full:
-        return df, None
+        return n_rows, df, None
     some = df.select(*keys).where(bucket.isin(full)) if len(full) < HOT_BUCKETS // 64 else df.select(*keys)
     large = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group_rows)
     large = large.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     if large.isEmpty():
-        return df, None
+        return n_rows, df, None
     large = stable(large)
     same = [df[k].eqNullSafe(large[f"_hot_{k}"]) for k in keys]
-    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+    return n_rows, df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+
+
+def exchange_by(df: DataFrame, keys: Sequence[str], n_rows: int | None) -> DataFrame:
+    """Rows partitioned by ``keys`` into as many tasks as ``n_rows`` need, so that a task's memory does not grow with them.
+
+    Left to Spark, partitions are joined up to a size in bytes on the wire, of which the sorts of a task hold many times as
+    much. Few rows, or an unknown number, are left to Spark.
+    """
+    n = -(-(n_rows or 0) // ROWS_PER_TASK)
+    if n <= 1:
+        return df.repartition(*keys)
+    return df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
 def ordered_slices(df: DataFrame, order: Sequence[str], n_slices: int | None = None) -> DataFrame:

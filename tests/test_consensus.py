@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from crowdspark.operators import ordering
 from crowdspark.operators.consensus import (
     first_n_users, plurality_by_first_n_users, plurality_consensus, question_types,
 )
@@ -151,3 +152,15 @@ def test_first_users_match_the_consensus_of_their_rows(spark):
         want = plurality_consensus(first_n_users(rows, n, ["ord"]).drop("user_rank"), ["ord"])
         got = whole.where(F.col("max_users_used") == n).select(*want.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("n_users", [(), (1, 3)])
+def test_tasks_grow_with_the_rows(spark, monkeypatch, n_users):
+    data = [(i, f"s{i % 90}", f"u{i % 7}", f"c{i}", "zebra" if i % 3 else "lion", "1", "1") for i in range(900)]
+    rows = spark.createDataFrame(data, "ord int, subject_id string, user_name string, classification_id string, "
+                                       "question__species string, question__count string, question__standing string")
+    few = plurality_consensus(rows, ["ord"], n_users=n_users)
+    monkeypatch.setattr(ordering, "ROWS_PER_TASK", 60, raising=False)
+    many = plurality_consensus(rows, ["ord"], n_users=n_users)
+    assert many.rdd.getNumPartitions() >= 900 * max(1, len(n_users)) // 60
+    assert sorted(map(tuple, many.collect()), key=str) == sorted(map(tuple, few.collect()), key=str)
