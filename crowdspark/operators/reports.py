@@ -12,8 +12,9 @@ from crowdspark.defaults import (
 )
 from crowdspark.functions.answers import half_up_answer
 from crowdspark.functions.hashing import shuffle_key
+from crowdspark.operators import ordering
 from crowdspark.operators.consensus import answer_shares, question_columns
-from crowdspark.operators.ordering import lowest_hashes
+from crowdspark.operators.ordering import exchange_by, lowest_hashes
 from crowdspark.session import stable
 
 
@@ -29,14 +30,18 @@ def merge_tables(base: DataFrame, add: DataFrame, key: str, new_columns: str = "
 def deduplicate_captures(aggregated: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """The first subject of a capture wins; every row of a losing subject is dropped, in all captures.
 
-    The aggregations are needed three times, so they are checkpointed first.
+    The aggregations are needed several times, so they are checkpointed first. They are counted, so that a task's rows
+    do not grow with them, and meet their capture in one exchange of few columns.
     """
     aggregated = stable(aggregated)
-    firsts = aggregated.groupBy("capture_id").agg(
-        F.min_by("subject_id", F.struct(*order_by)).alias("_first"))
-    pairs = aggregated.select("capture_id", "subject_id").distinct()
-    losers = pairs.join(firsts, "capture_id").where(F.col("subject_id") != F.col("_first")).select("subject_id").distinct()
-    return aggregated.join(losers, "subject_id", "left_anti")
+    n_rows = aggregated.count()
+    known = aggregated.where(F.col("capture_id").isNotNull()).select(
+        "capture_id", "subject_id", F.struct(*order_by).alias("_order"))
+    first = F.min_by("subject_id", "_order").over(Window.partitionBy("capture_id"))
+    placed = exchange_by(known, ["capture_id"], n_rows).withColumn("_first", first)
+    losers = placed.where(F.col("subject_id") != F.col("_first")).select("subject_id")
+    # both sides in the same number of tasks, or Spark falls back to that of the session
+    return exchange_by(aggregated, ["subject_id"], n_rows).join(exchange_by(losers, ["subject_id"], n_rows), "subject_id", "left_anti")
 
 
 def species_report(captures: DataFrame, aggregated: DataFrame, exclude_non_consensus: bool = False,
@@ -46,8 +51,12 @@ def species_report(captures: DataFrame, aggregated: DataFrame, exclude_non_conse
     """Captures with each of their aggregations that pass the filters.
 
     Captures that were never aggregated stay with empty columns, unless ``exclude_captures_without_data``.
-    Captures whose aggregations were all filtered out are dropped. Capture columns win name clashes.
+    Captures whose aggregations were all filtered out are dropped. Capture columns win name clashes. The captures are
+    counted, so that many of them are joined in as many tasks as they need.
     """
+    n_rows = captures.count()
+    if n_rows > ordering.ROWS_PER_TASK:
+        captures = exchange_by(captures, ["capture_id"], n_rows)
     new = [c for c in aggregated.columns if c not in captures.columns]
     keep = F.lit(True)
     if exclude_non_consensus and "species_is_plurality_consensus" in aggregated.columns:

@@ -183,3 +183,14 @@ def test_invalid_flags(rows):
 def test_last_subject_wins(rows):
     df = rows("ord subject_id v", [("1", "a", "x"), ("2", "a", "y"), ("1", "b", "z")])
     assert sorted((r["subject_id"], r["v"]) for r in subjects.last_per_subject(df, ["ord"]).collect()) == [("a", "y"), ("b", "z")]
+
+
+def test_deduplication_takes_tasks_by_rows(spark, rows, monkeypatch):
+    """One exchange of the captures and one of the rows, both of as many tasks as there are rows for."""
+    from crowdspark.operators import ordering
+    monkeypatch.setattr(ordering, "ROWS_PER_TASK", 10, raising=False)
+    # two subjects share a capture; those without one lose nothing
+    data = [(f"{i:03}", f"c{i // 2}" if i < 150 else None, f"s{i:03}") for i in range(200)]
+    kept = reports.deduplicate_captures(spark.createDataFrame(data, "ord string, capture_id string, subject_id string"), ["ord"])
+    assert sorted(r["subject_id"] for r in kept.collect()) == [s for i, (_, _, s) in enumerate(data) if i >= 150 or i % 2 == 0]
+    assert kept.rdd.getNumPartitions() >= 20
