@@ -218,21 +218,29 @@ def match_files(t: Tables) -> DataFrame:
 
 
 def on_disk(t: Tables) -> DataFrame:
-    """``documents_as_files`` as files below a new folder: ``path, length`` of the listing and the path in the table."""
-    root = shared_folder(t.spark, "files").removeprefix("file:")
+    """``documents_as_files`` as files below a new folder: ``path, length`` of the listing and the path in the table.
+
+    A folder holds a thousand numbers, so that many tasks can list them.
+    """
+    folder = shared_folder(t.spark, "files")
+    root = folder.removeprefix("file:")
 
     def write(batches):
         from pyarrow.fs import FileSystem
+        made = set()
         for batch in batches:
             system, name = FileSystem.from_uri(root)
-            system.create_dir(name)
             for number, content in zip(batch.column("doc_id").to_pylist(), batch.column("content").to_pylist()):
-                with system.open_output_stream(f"{name}/{number:012}.jpg") as out:
+                part = f"{name}/{number // 1000:09}"
+                if part not in made:
+                    system.create_dir(part)
+                    made.add(part)
+                with system.open_output_stream(f"{part}/{number:012}.jpg") as out:
                     out.write(content)
             yield batch.select(["doc_id", "path"])
 
     names = stable(t.documents_as_files.select("doc_id", "path", "content").mapInArrow(write, "doc_id bigint, path string"))
-    listed = list_images(t.spark, root).select("path", F.col("length").alias("bytes"))
+    listed = list_images(t.spark, folder).select("path", F.col("length").alias("bytes"))
     number = F.regexp_extract("path", r"([0-9]+)\.jpg$", 1).cast("bigint")
     return listed.withColumn("doc_id", number).join(names.withColumnRenamed("path", "name"), "doc_id").withColumnRenamed("bytes", "length")
 

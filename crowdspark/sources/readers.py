@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ from crowdspark.functions import text
 from crowdspark.functions.times import parse_datetime
 from crowdspark.operators.ordering import first_n_per_group
 from crowdspark.operators.predictions import PREDICTION_STRUCT
+from crowdspark.session import stable
+from crowdspark.sources.contents import TASKS_PER_CORE
 from crowdspark.sources.json_entries import array_entries, object_entries
 
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "bmp", "png", "ppm")
@@ -103,14 +109,67 @@ def read_manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFr
                           manifest_images(F.col("record.images")).alias("images"))
 
 
+#: Rows of a listing that a task holds at once.
+LISTED_ROWS = 10_000
+
+
 def list_images(spark: SparkSession, directory: str, extensions: Sequence[str] = IMAGE_EXTENSIONS) -> DataFrame:
-    """Path, size and modification time of all images below a directory; contents are not read."""
+    """Path, size and modification time of all images below a directory; contents are not read.
+
+    Folders are listed by tasks, a level at a time, so the driver sees how many there are and no names. Spark's own reader,
+    whose driver holds all names and makes a task of every few files, serves patterns and systems that ``pyarrow.fs`` lacks;
+    it leaves out files without bytes.
+    """
     pattern = rf"(?i)\.({'|'.join(extensions)})$"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
-    files = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", "modificationTime")
+    files = _listing(spark, directory)
+    if files is None:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
+        files = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", "modificationTime")
     return files.where(F.col("path").rlike(pattern))
 
 
+def _listing(spark: SparkSession, directory: str) -> DataFrame | None:
+    """All files below a directory, by ``pyarrow.fs``; None if it cannot tell which system a path means."""
+    sc = spark.sparkContext
+    local = directory.startswith("file:") or "://" not in directory and sc.master.startswith("local")
+    if any(c in directory for c in "*?[{") or not local and "://" not in directory:
+        return None
+    root, prefix = (os.path.abspath(re.sub("^file:/+", "/", directory)), "") if local else (directory.rstrip("/"), "")
+    if not local:
+        try:
+            # names come back without the scheme, and some without the host, of the directory
+            name = FileSystem.from_uri(root)[1]
+        except (pa.ArrowException, OSError):
+            return None
+        if not root.endswith(name):
+            return None
+        prefix = root.removesuffix(name)
+
+    def is_hidden(name: str) -> bool:
+        """Names that Spark's readers pass over."""
+        return name.startswith(".") or name.startswith("_") and "=" not in name
+
+    def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for folder in (f for batch in batches for f in batch.column("path").to_pylist()):
+            system, name = (LocalFileSystem(), folder) if local else FileSystem.from_uri(folder)
+            found = [i for i in system.get_file_info(FileSelector(name)) if not is_hidden(i.base_name)]
+            for start in range(0, len(found), LISTED_ROWS):
+                part = found[start:start + LISTED_ROWS]
+                yield pa.RecordBatch.from_pydict({
+                    "path": [prefix + i.path for i in part],
+                    "length": pa.array([None if i.type == FileType.Directory else i.size for i in part], pa.int64()),
+                    "millis": pa.array([None if i.mtime_ns is None else i.mtime_ns // 1_000_000 for i in part], pa.int64())})
+
+    folders, n, levels = spark.createDataFrame([(root,)], "path string"), 1, []
+    while n:
+        dealt = folders.repartition(min(n, sc.defaultParallelism * TASKS_PER_CORE))
+        levels.append(stable(dealt.mapInArrow(children, "path string, length bigint, millis bigint")))
+        folders = levels[-1].where("length is null").select("path")
+        n = folders.count()
+    rows = reduce(DataFrame.unionByName, levels).where("length is not null")
+    return rows.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
+
+
 def inventory_from_paths(files: DataFrame, season: str | None = None, path: str = "path") -> DataFrame:
     """Inventory rows from paths ``.../<root>/<site>/<site>_R<roll>/<file>``; the season defaults to the root's name."""
     parts = F.split(F.col(path), "/")

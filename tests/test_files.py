@@ -49,6 +49,27 @@ def test_images(spark, tmp_path):
     assert got == {"dark.png": (1, 0, 0), "bright.png": (0, 1, 0), "grey.png": (0, 0, 0), "broken.png": (0, 0, 1)}
 
 
+def test_listing_takes_tasks_by_folders(spark, tmp_path):
+    """As Spark's own listing, but without a task for every few files, and with no list on the driver."""
+    for i in range(300):
+        folder = tmp_path / f"A{i % 3}" / f"A{i % 3}_R{i % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"a b%20{i}.JPG").write_bytes(b"x" * (i + 1))
+    (tmp_path / "_hidden").mkdir()
+    for name in ("_hidden/x.jpg", ".x.jpg", "_x.jpg", "_a=b.jpg", "x.txt", "top.png"):
+        (tmp_path / name).write_bytes(b"y")
+    want = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path))
+    want = want.where("path rlike '(?i)(jpg|png)$'").select(F.regexp_replace("path", "^file:/+", "/"), "length", "modificationTime")
+    for directory in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        files = readers.list_images(spark, directory)
+        assert sorted(map(tuple, files.collect())) == sorted(map(tuple, want.collect())) and files.count() == 302
+        assert "binaryFile" not in files._jdf.queryExecution().toString()
+    assert readers.list_images(spark, str(tmp_path / "A[01]")).count() == 200
+    # a file without bytes is listed; Spark's reader leaves it out
+    (tmp_path / "empty.jpg").write_bytes(b"")
+    assert readers.list_images(spark, str(tmp_path)).where("length = 0").count() == 1
+
+
 def test_keyed_json(spark, tmp_path):
     manifest = {"c1": {"upload_metadata": {"#site": "A"}, "info": {"uploaded": False}, "images": ["a", "b"]},
                 "c2": {"upload_metadata": {"#site": "B"}, "info": {"uploaded": True}, "images": {"original_images": ["c"]}}}
