@@ -271,6 +271,15 @@ def explode_classifications(df: DataFrame, columns: Sequence[str] = CLASSIFICATI
         item_answers(F.col("_item"), names, ignored, by_question, answers).alias("answers"))
 
 
+def equal_classifications(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Rows with equal ``columns`` and equal answers as one row, with their number ``n``.
+
+    Exports repeat the same few answers. Statistics parse each text once where they are counted first; rows without
+    equals are exchanged once, and none is lost.
+    """
+    return df.groupBy(*columns, "annotations").agg(F.count(F.lit(1)).alias("n"))
+
+
 def annotations_long(exploded: DataFrame) -> DataFrame:
     """One row per answer."""
     keep = [c for c in exploded.columns if c != "answers"]
@@ -343,31 +352,37 @@ def extract_annotations(df: DataFrame, order_by: Sequence[str], single: Sequence
 
 # --- statistics ----------------------------------------------------------------------------------
 
-def answer_stats(long: DataFrame) -> DataFrame:
+def n_rows(weight: str | None) -> Column:
+    """The number of rows, or the sum of ``weight`` where a row stands for several."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
+def answer_stats(long: DataFrame, weight: str | None = None) -> DataFrame:
     """Count, total and percentage of each answer."""
-    counts = long.groupBy("question", "answer").agg(F.count(F.lit(1)).alias("count"))
+    counts = long.groupBy("question", "answer").agg(n_rows(weight).alias("count"))
     totals = counts.groupBy("question").agg(F.sum("count").alias("total"))
     joined = counts.join(totals, "question")
     return joined.withColumn("percent", F.round(100 * F.col("count") / F.col("total"), 2))
 
 
-def workflow_stats(exploded: DataFrame) -> DataFrame:
+def workflow_stats(exploded: DataFrame, weight: str | None = None) -> DataFrame:
     """Rows of each workflow and version."""
-    return exploded.groupBy("workflow_id", "workflow_version").agg(F.count(F.lit(1)).alias("count"))
+    return exploded.groupBy("workflow_id", "workflow_version").agg(n_rows(weight).alias("count"))
 
 
 def is_anonymous() -> Column:
     return (F.col("user_id") == "") & F.col("user_name").startswith("not-logged-in-")
 
 
-def anonymous_count(exploded: DataFrame) -> DataFrame:
-    return exploded.agg(F.count_if(is_anonymous()).alias("not_logged_in"), F.count(F.lit(1)).alias("total"))
+def anonymous_count(exploded: DataFrame, weight: str | None = None) -> DataFrame:
+    anonymous = F.count_if(is_anonymous()) if weight is None else F.sum(F.when(is_anonymous(), F.col(weight)).otherwise(0))
+    return exploded.agg(F.coalesce(anonymous, F.lit(0)).alias("not_logged_in"), F.coalesce(n_rows(weight), F.lit(0)).alias("total"))
 
 
-def top_users(exploded: DataFrame, k: int = 10) -> DataFrame:
+def top_users(exploded: DataFrame, k: int = 10, weight: str | None = None) -> DataFrame:
     """The k most active users that were logged in."""
     named = exploded.where(~is_anonymous())
-    return named.groupBy("user_name").agg(F.count(F.lit(1)).alias("count")).orderBy(
+    return named.groupBy("user_name").agg(n_rows(weight).alias("count")).orderBy(
         F.col("count").desc(), "user_name").limit(k)
 
 

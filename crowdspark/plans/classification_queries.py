@@ -26,8 +26,10 @@ QUALIFY row_number() OVER (PARTITION BY user_name, subject_ids, workflow_id ORDE
 REQUIRES["v_eligible"] = ["v_reasons"]
 
 
-def exploded(t: Tables) -> DataFrame:
-    return classifications.explode_classifications(t.classifications)
+def exploded(t: Tables, *columns: str) -> DataFrame:
+    """Identifications with ``columns``, those of equal classifications once, with their number ``n``."""
+    rows = classifications.equal_classifications(t.classifications, columns)
+    return classifications.explode_classifications(rows, [*columns, "n"])
 
 
 @query("v_reasons", """
@@ -75,7 +77,7 @@ FROM (SELECT 'species' AS question, species AS answer FROM v_extracted
 GROUP BY question, answer""")
 def annotation_answer_stats(t: Tables) -> DataFrame:
     """Answers of each question over all classifications."""
-    return classifications.answer_stats(classifications.annotations_long(exploded(t)))
+    return classifications.answer_stats(classifications.annotations_long(exploded(t)), "n")
 
 
 @query("v_extracted", """
@@ -95,21 +97,21 @@ def question_answer_domain(t: Tables) -> DataFrame:
 SELECT workflow_id, workflow_version, count(*) AS count FROM v_extracted GROUP BY ALL""")
 def workflow_stats(t: Tables) -> DataFrame:
     """Identifications of each workflow and version."""
-    return classifications.workflow_stats(exploded(t))
+    return classifications.workflow_stats(exploded(t, "workflow_id", "workflow_version"), "n")
 
 
 @query("v_extracted", """
 SELECT count(*) FILTER (user_id = '') AS not_logged_in, count(*) AS total FROM v_extracted""")
 def anonymous_count(t: Tables) -> DataFrame:
     """Identifications of users that were not logged in."""
-    return classifications.anonymous_count(exploded(t))
+    return classifications.anonymous_count(exploded(t, "user_name", "user_id"), "n")
 
 
 @query("v_extracted", """
 SELECT user_name, count(*) AS count FROM v_extracted WHERE user_id <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def top_users(t: Tables) -> DataFrame:
     """O3: the ten most active users."""
-    return classifications.top_users(exploded(t), 10)
+    return classifications.top_users(exploded(t, "user_name", "user_id"), 10, "n")
 
 
 @query("v_classifications", """

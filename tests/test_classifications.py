@@ -121,3 +121,28 @@ def test_legacy_rows_of_first_classifications_are_exchanged_once(rows):
     found = first_classification_rows(df, ["at"])
     assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
     assert sorted((r.classification_id, r.species) for r in found.collect()) == [("a", "lion"), ("a", "zebra"), ("c", "lion")]
+
+
+def test_equal_classifications_are_parsed_once(spark):
+    """Statistics over counted texts are those over all rows."""
+    values = ['[{"task":"T0","value":[{"choice":"ZEBRA","answers":{}},{"choice":"LION","answers":{}},{"choice":"LION","answers":{}}]}]',
+              '[{"task":"T0","value":"LION"}]', "[", "[]"]
+    users = [("not-logged-in-1", ""), ("a", "1"), ("b", "2")]
+    rows = export(spark, *[{"annotations": values[i % 4], "user_name": users[i % 3][0], "user_id": users[i % 3][1],
+                            "workflow_id": str(i % 2)} for i in range(60)])
+    plain = c.explode_classifications(rows)
+
+    def counted(*columns):
+        equal = c.equal_classifications(rows, columns)
+        assert equal.count() <= 12 * len(values) and equal.agg(F.sum("n")).first()[0] == 60
+        return c.explode_classifications(equal, [*columns, "n"])
+
+    def same(a, b):
+        assert a.count() > 0 and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect())) and a.dtypes == b.select(*a.columns).dtypes
+
+    same(c.answer_stats(c.annotations_long(counted()), "n"), c.answer_stats(c.annotations_long(plain)))
+    same(c.workflow_stats(counted("workflow_id", "workflow_version"), "n"), c.workflow_stats(plain))
+    people = counted("user_name", "user_id")
+    same(c.top_users(people, 2, "n"), c.top_users(plain, 2))
+    assert tuple(c.anonymous_count(people, "n").first()) == tuple(c.anonymous_count(plain).first()) == (15, 45)
+    assert tuple(c.anonymous_count(people.limit(0), "n").first()) == (0, 0)
