@@ -45,9 +45,9 @@ def capture_of_images(classified: DataFrame, images: DataFrame, prefix: str = LE
     key = ["season", "site", "roll", "filenames"]
     listed = explode_file_names(classified.select(*key).distinct(), key)
     image_id = F.concat_ws("#", text.season_identifier(F.col("season"), prefix), "site", text.roll_code(F.col("roll")), "image")
-    found = listed.withColumn("image_id", image_id).join(images, "image_id")
-    order = F.struct(text.image_number(F.col("image")), F.col("position"))
-    return found.groupBy(*key).agg(F.min_by("capture_id", order).alias("capture_id"))
+    number = text.image_number(F.col("image"))
+    found = listed.select(*key, image_id.alias("image_id"), number.alias("number"), "position").join(images, "image_id")
+    return found.groupBy(*key).agg(F.min_by("capture_id", F.struct("number", "position")).alias("capture_id"))
 
 
 def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, images: DataFrame,
@@ -55,17 +55,20 @@ def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, im
     """Add ``capture_id`` and ``reject_reason``: by subject first, by image names where the subject is unknown.
 
     Of several rows of a subject in ``subject_captures(subject_id, capture_id)`` or of an image in
-    ``images(image_id, capture_id)`` the last by ``order_by`` counts.
+    ``images(image_id, capture_id)`` the last by ``order_by`` counts. Rows whose list cannot be looked up, because it is
+    empty or too long, are not exchanged by their list.
     """
     by_subject = subject_captures.groupBy("subject_id").agg(F.max_by("capture_id", F.struct(*order_by)).alias("_by_subject"))
     images = images.groupBy("image_id").agg(F.max_by("capture_id", F.struct(*order_by)).alias("capture_id"))
-    joined = classifications.join(by_subject, "subject_id", "left")
     key = ["season", "site", "roll", "filenames"]
     n_names = F.size(F.split("filenames", ";"))
-    open_lists = joined.where(F.col("_by_subject").isNull() & (F.col("filenames") != "") & (n_names <= MAX_IMAGES))
-    by_images = capture_of_images(open_lists, images, prefix).withColumnRenamed("capture_id", "_by_images")
+    has_list = F.coalesce((F.col("filenames") != "") & (n_names <= MAX_IMAGES), F.lit(False))
+    listed = classifications.where(has_list).join(by_subject, "subject_id", "left")
+    by_images = capture_of_images(listed.where(F.col("_by_subject").isNull()), images, prefix).withColumnRenamed("capture_id", "_by_images")
+    rest = classifications.where(~has_list).join(by_subject, "subject_id", "left")
+    joined = listed.join(by_images, key, "left").unionByName(rest.withColumn("_by_images", F.lit(None).cast("string")))
     known = F.coalesce("_by_subject", "_by_images")
-    return joined.join(by_images, key, "left").withColumns({
+    return joined.withColumns({
         "capture_id": F.coalesce(known, F.lit("")),
         "reject_reason": F.when(F.col("season") == "tutorial", "not_eligible")
         .when(F.col("_by_subject").isNotNull(), None)

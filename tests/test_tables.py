@@ -194,3 +194,15 @@ def test_deduplication_takes_tasks_by_rows(spark, rows, monkeypatch):
     kept = reports.deduplicate_captures(spark.createDataFrame(data, "ord string, capture_id string, subject_id string"), ["ord"])
     assert sorted(r["subject_id"] for r in kept.collect()) == [s for i, (_, _, s) in enumerate(data) if i >= 150 or i % 2 == 0]
     assert kept.rdd.getNumPartitions() >= 20
+
+
+def test_rows_without_lists_are_not_exchanged_by_list(rows):
+    data = [("1", "a", "S1", "B01", "1", n) for n in ("", "x.JPG;x.JPG;x.JPG;x.JPG", None, "PICT0001.JPG")]
+    found = rows("classification_id subject_id season site roll filenames", [(str(i), *r[1:]) for i, r in enumerate(data)])
+    images = rows("image_id capture_id", [("SER_S1#B01#R1#PICT0001.JPG", "cap1")])
+    got = legacy.resolve_captures(found, rows("subject_id capture_id", [("z", "cap9")]), images)
+    assert {r["classification_id"]: (r["capture_id"], r["reject_reason"]) for r in got.collect()} == {
+        "0": ("", "without_images"), "1": ("", "too_many_images"), "2": ("", "capture_not_found"), "3": ("cap1", None)}
+    # the join by list is below the union, so the other rows pass it by
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.index("Union") < plan.index("filenames#", plan.index("Join"))
