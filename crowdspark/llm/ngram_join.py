@@ -29,6 +29,8 @@ CROWD = 16
 PAIRS_PER_SET, WORTH, PICKS = 4, 0.5, 8
 #: The list of documents of candidate pairs is broadcast up to so many rows, about 16 MB; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
+#: Bitmaps (4 KB for 32768 rows) of the first rows of equal sets are broadcast up to so many, 16 MB; beyond, sets are shuffled.
+BITMAPS = 4096
 
 SETS = "row long, doc_id {}, n long, name binary, leaders array<long>, sketch array<long>, wide binary, prefix array<long>"
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -181,14 +183,14 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def near(percent: int) -> str:
+def near(percent: int, n: str = "n", m: str = "m", p: str = "p", q: str = "q") -> str:
     """Whether sizes ``n, m`` and sketches ``p0.., q0..`` allow a link: the length and suffix filters.
 
     Linked sets differ in at most n + m - 2 * ceil(percent * (n + m) / (100 + percent)) shingles.
     """
-    apart = " + ".join(f"bit_count(p{i} ^ q{i})" for i in range(SKETCH))
-    needed = f"({percent} * (n + m) + {99 + percent}) div {100 + percent}"
-    return f"100 * least(n, m) >= {percent} * greatest(n, m) and {apart} <= n + m - 2 * ({needed})"
+    apart = " + ".join(f"bit_count({p}{i} ^ {q}{i})" for i in range(SKETCH))
+    needed = f"({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent}"
+    return f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and {apart} <= {n} + {m} - 2 * ({needed})"
 
 
 def sketched(sets: DataFrame, name: str, size: str, letter: str) -> DataFrame:
@@ -214,6 +216,24 @@ def wide_near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def first_rows(described: DataFrame, one: DataFrame) -> DataFrame:
+    """The rows of ``described`` that ``one`` names (``set_id``, their row numbers), as ``set_id``.
+
+    A description is as wide as its prefix, so it stays where it is: row numbers run on within a task, and a bit for each
+    tells whether it is wanted.
+    """
+    bits = one.groupBy(F.bitmap_bucket_number("set_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("set_id")).alias("bits"))
+    bits = written(bits, "first_rows")
+    if bits.limit(BITMAPS + 1).count() > BITMAPS:
+        return described.join(one.select(F.col("set_id").alias("row")), "row", "left_semi").withColumnRenamed("row", "set_id")
+    at = F.bitmap_bit_position("row")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = described.withColumn("bucket", F.bitmap_bucket_number("row")).join(F.broadcast(bits), "bucket")
+    return rows.where(F.get(F.array(*[byte.bitwiseAND(1 << i) for i in range(8)]), F.pmod(at, F.lit(8)).cast("int")) > 0).select(
+        *described.columns).withColumnRenamed("row", "set_id")
+
+
 def leader_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a set and a set that shares one of its MinHash values: at most LEADERS for a set.
 
@@ -290,11 +310,11 @@ def group_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def prefix_pairs(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different groups that share a prefix shingle and pass all filters."""
-    left = some.withColumnsRenamed({"set_id": "a", "g": "ga", "at": "i"})
-    right = some.withColumnsRenamed({"set_id": "b", "g": "gb", "at": "j", "n": "m"} | {f"p{i}": f"q{i}" for i in range(SKETCH)})
     # what both can still share from this shingle on must reach the overlap that a link needs
-    position = f"{100 + percent} * (1 + least(n - i - 1, m - j - 1) + least(i, j)) >= {percent} * (n + m)"
-    pairs = left.join(right, "shingle").where(f"ga < gb and {position} and {near(percent)}").select("a", "b").distinct()
+    position = f"{100 + percent} * (1 + least(x.n - x.at - 1, y.n - y.at - 1) + least(x.at, y.at)) >= {percent} * (x.n + y.n)"
+    # neither side renames its columns before the join: Spark then exchanges the postings once for both
+    pairs = some.alias("x").join(some.alias("y"), "shingle").where(
+        f"x.g < y.g and {position} and {near(percent, 'x.n', 'y.n', 'x.p', 'y.p')}").selectExpr("x.set_id as a", "y.set_id as b").distinct()
     return wide_near(written(pairs, "pairs"), sets, percent)
 
 
@@ -333,8 +353,7 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     described = written(describe_sets(docs, frequencies, n_words, percent), "sets")
     # a set goes by the row number of its first document from here on
     one = written(described.where("name is not null and doc_id is not null").groupBy("name").agg(F.min("row").alias("set_id")), "names")
-    sets = written(described.join(one.select(F.col("set_id").alias("row")), "row", "left_semi").withColumnRenamed("row", "set_id"),
-                   "distinct_sets")
+    sets = written(first_rows(described, one), "distinct_sets")
     shared = written(shared_postings(sets), "postings")
     first = leader_pairs(sets, percent).unionAll(crowd_pairs(shared, sets, percent))
     groups = written(components(confirmed(docs, first.distinct(), sets, n_words, percent)), "groups")

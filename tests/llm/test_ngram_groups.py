@@ -57,3 +57,44 @@ def test_ids_as_wide_as_a_decimal(spark):
         "doc_id", F.expr("cast(doc_id as decimal(38,0)) + 100000000000000000000000000000"))
     got = sorted((int(r.doc_id) % 10, int(r.component_id) % 10) for r in ngram_join.near_duplicates(docs).collect())
     assert got == [(1, 1), (2, 1), (3, 3)]
+
+
+@pytest.mark.parametrize("bitmaps", [4096, 0])
+def test_first_rows_of_equal_sets(spark, monkeypatch, bitmaps):
+    monkeypatch.setattr(ngram_join, "BITMAPS", bitmaps)
+    rows = spark.range(0, 70000, 1, 3).select(
+        (F.shiftleft(F.spark_partition_id().cast("long"), 36) + F.col("id") % 40000).alias("row"), F.lit("wide").alias("prefix"))
+    one = rows.where("row % 7 in (0, 3) or row < 9").select(F.col("row").alias("set_id"))
+    got = sorted(tuple(r) for r in ngram_join.first_rows(rows, one).collect())
+    assert got == sorted((r.set_id, "wide") for r in one.collect()) and len(got) > 20000
+
+
+def plan_without_broadcasts(spark, make):
+    """The physical plan of ``make()`` in a session that broadcasts nothing by itself."""
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in plain}
+    try:
+        for key, value in plain.items():
+            spark.conf.set(key, value)
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_descriptions_are_not_exchanged(spark):
+    docs = documents(spark, near_copies())
+    described = ngram_join.written(ngram_join.describe_sets(docs, ngram_join.shingle_frequencies(docs)), "sets")
+    one = described.where("name is not null").groupBy("name").agg(F.min("row").alias("set_id"))
+    plan = plan_without_broadcasts(spark, lambda: ngram_join.first_rows(described, one))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_postings_are_exchanged_once(spark, monkeypatch):
+    sketch = ", ".join(f"id * {i + 3} as p{i}" for i in range(ngram_join.SKETCH))
+    mixed = ngram_join.written(spark.range(40).selectExpr(
+        "id as set_id", "id % 3 as shingle", "0 as at", "id as g", "20L as n", *sketch.split(", ")), "postings")
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: df)
+    monkeypatch.setattr(ngram_join, "wide_near", lambda pairs, sets, percent: pairs)
+    plan = plan_without_broadcasts(spark, lambda: ngram_join.prefix_pairs(mixed, None, 85))
+    assert plan.count("- Exchange hashpartitioning(shingle") == 1 and "ReusedExchange" in plan
