@@ -6,6 +6,7 @@ with array functions, so nothing is shuffled until the first-classification rule
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from types import MappingProxyType
@@ -44,15 +45,18 @@ def is_eligible_workflow(workflow_id: str | None, version_min: str | None = None
 
 def in_date_range(start: str | None = None, end: str | None = None, created_at: str = "created_at") -> Column:
     """The date of ``yyyy-MM-dd HH:mm:ss UTC`` lies within both bounds; other texts pass."""
-    text = F.col(created_at)
-    day = F.when(text.rlike(r"^\S+ \S+ \S+$"), F.try_to_timestamp(F.substring_index(text, " ", 1), F.lit("yyyy-MM-dd")))
-    day = day.cast("date")
-    inside = F.lit(True)
-    if start is not None:
-        inside = inside & (day >= F.lit(start).cast("date"))
-    if end is not None:
-        inside = inside & (day <= F.lit(end).cast("date"))
-    return F.coalesce(inside, F.lit(True))
+    if start is None and end is None:
+        return F.lit(True)
+
+    def day(text: Column) -> Column:
+        found = F.when(text.rlike(r"^\S+ \S+ \S+$"), F.try_to_timestamp(F.substring_index(text, " ", 1), F.lit("yyyy-MM-dd")))
+        return found.cast("date")
+
+    def inside(found: Column) -> Column:
+        after = F.lit(True) if start is None else found >= F.lit(start).cast("date")
+        return after if end is None else after & (found <= F.lit(end).cast("date"))
+
+    return F.coalesce(once(F.col(created_at), lambda text: once(day(text), inside)), F.lit(True))
 
 
 def is_live(metadata: Column) -> Column:
@@ -74,6 +78,16 @@ def subject_season(subject_data: Column, subject_id: Column) -> Column:
     return F.coalesce(F.try_element_at(F.try_element_at(data, subject_id), F.lit("#season")), F.lit(""))
 
 
+def may_be_season(subject_data: Column, season: str) -> Column:
+    """Whether the JSON text can hold the name of the season; texts without it need no parsing.
+
+    Only a name that is no number, and only a text without escapes, can be ruled out by its letters.
+    """
+    if not re.fullmatch(r"[A-Za-z]\w*", season) or season in {"Infinity", "NaN"}:
+        return F.lit(True)
+    return subject_data.contains(season) | subject_data.contains("\\")
+
+
 def match_conditions(conditions: Mapping[str, str]) -> Column:
     """All named columns equal their values."""
     return reduce(lambda a, b: a & b, [F.col(c) == v for c, v in conditions.items()], F.lit(True))
@@ -130,8 +144,16 @@ def first_classifications(df: DataFrame, order_by: Sequence[str], key: Sequence[
 
 
 def eligible_classifications(df: DataFrame, order_by: Sequence[str], **filters) -> DataFrame:
-    """Rows that pass all filters, without repeated classifications of a user."""
-    passed = with_reject_reason(df, **filters).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    """Rows that pass all filters, without repeated classifications of a user.
+
+    Which filter a row fails does not matter here, so those on plain texts come first, and only the rows they leave are
+    parsed.
+    """
+    plain = {name: filters.pop(name, None) for name in ("workflow_id", "version_min", "start", "end")}
+    rows = df.where(is_eligible_workflow(plain["workflow_id"], plain["version_min"])).where(in_date_range(plain["start"], plain["end"]))
+    if filters.get("season"):
+        rows = rows.where(may_be_season(F.col("subject_data"), filters["season"]))
+    passed = with_reject_reason(rows, **filters).where(F.col("reject_reason").isNull()).drop("reject_reason")
     return first_classifications(passed, order_by)
 
 

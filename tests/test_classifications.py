@@ -146,3 +146,24 @@ def test_equal_classifications_are_parsed_once(spark):
     same(c.top_users(people, 2, "n"), c.top_users(plain, 2))
     assert tuple(c.anonymous_count(people, "n").first()) == tuple(c.anonymous_count(plain).first()) == (15, 45)
     assert tuple(c.anonymous_count(people.limit(0), "n").first()) == (0, 0)
+
+
+def test_only_rows_that_plain_texts_leave_are_parsed(spark):
+    good = {"classification_id": "1", "user_name": "u", "user_id": "1", "workflow_id": "10", "workflow_version": "310.1",
+            "created_at": "2000-01-01 10:00:00 UTC", "metadata": "{}", "annotations": "[]",
+            "subject_data": '{"7":{"#season":"S1"}}', "subject_ids": "7"}
+    odd = [{}, {"subject_data": '{"7":{"#season":"\\u0053\\u0031"}}'}, {"subject_data": '{"7":{"#season":"S2"}}'},
+           {"subject_data": '{"8":{"#season":"S1"}}'}, {"subject_data": '{"7":{"#season":"S1"'}, {"subject_data": None},
+           {"created_at": "1999-12-31 10:00:00 UTC"}, {"created_at": "2001-01-01 00:00:00 UTC"}, {"created_at": "2000-02-30 10:00:00 UTC"},
+           {"created_at": "soon"}, {"created_at": None}, {"metadata": "{"}, {"metadata": '{"live_project":false}'},
+           {"workflow_id": None}, {"workflow_version": "309.9"}, {"annotations": "["}]
+    rows = [good | change | {"user_name": f"u{i}"} for i, change in enumerate(odd)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{name} string" for name in good))
+    filters = {"workflow_id": "10", "version_min": "310", "start": "2000-01-01", "end": "2000-12-31"}
+    for season in ("S1", "7", None):
+        got = c.eligible_classifications(df, ["created_at"], season=season, **filters)
+        want = c.with_reject_reason(df, season=season, **filters).where("reject_reason is null")
+        names = sorted(r.user_name for r in got.collect())
+        assert names == sorted(r.user_name for r in want.collect()) and (season != "S1" or names == ["u0", "u1", "u8", "u9"])
+    plan = c.eligible_classifications(df, ["created_at"], season="S1", **filters)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("gettimestamp(") == 1 and "Contains(" in plan
