@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from crowdspark.defaults import EMPTY_ANSWER, LEGACY_FLAG_QUESTIONS, LEGACY_QUES
 from crowdspark.functions import text
 from crowdspark.functions.text import filled
 from crowdspark.operators.consensus import answer_shares
-from crowdspark.session import stable
 
 MAX_IMAGES = 3
 
@@ -31,23 +31,27 @@ def image_captures(images: DataFrame, prefix: str = LEGACY_SEASON_PREFIX) -> Dat
         text.legacy_capture_id(season, site, roll, F.col("capture"), prefix).alias("capture_id"))
 
 
+#: What an image list is looked up by.
+LIST_KEY = ("season", "site", "roll", "filenames")
+
+
 def explode_file_names(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """One row per file name of the ``;`` list, with its position."""
     return df.select(*keep, F.posexplode(F.split("filenames", ";")).alias("position", "image"))
 
 
-def capture_of_images(classified: DataFrame, images: DataFrame, prefix: str = LEGACY_SEASON_PREFIX) -> DataFrame:
-    """Capture of each image list (``season, site, roll, filenames``).
+def captures_of_images(classified: DataFrame, images: DataFrame, prefix: str = LEGACY_SEASON_PREFIX) -> DataFrame:
+    """Captures of the images of each subject's lists, with their place: the lowest image number comes first.
 
-    If its images belong to several captures, the one of the lowest image number is taken. Lists are
-    looked up once each, however many annotations name them.
+    ``classified(subject_id, season, site, roll, filenames)`` lies by subject, so equal lists of a subject are looked up
+    once, however many annotations name them.
     """
-    key = ["season", "site", "roll", "filenames"]
+    key = ["subject_id", *LIST_KEY]
     listed = explode_file_names(classified.select(*key).distinct(), key)
     image_id = F.concat_ws("#", text.season_identifier(F.col("season"), prefix), "site", text.roll_code(F.col("roll")), "image")
     number = text.image_number(F.col("image"))
     found = listed.select(*key, image_id.alias("image_id"), number.alias("number"), "position").join(images, "image_id")
-    return found.groupBy(*key).agg(F.min_by("capture_id", F.struct("number", "position")).alias("capture_id"))
+    return found.select(*key, F.col("capture_id").alias("_capture"), F.struct("number", "position").alias("_place"))
 
 
 def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, images: DataFrame,
@@ -55,18 +59,27 @@ def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, im
     """Add ``capture_id`` and ``reject_reason``: by subject first, by image names where the subject is unknown.
 
     Of several rows of a subject in ``subject_captures(subject_id, capture_id)`` or of an image in
-    ``images(image_id, capture_id)`` the last by ``order_by`` counts. Rows whose list cannot be looked up, because it is
-    empty or too long, are not exchanged by their list.
+    ``images(image_id, capture_id)`` the last by ``order_by`` counts. If the images of a list belong to several captures, the
+    one of the lowest image number is taken. The rows are exchanged once, by subject, together with the captures of
+    subjects and of their lists that were found; the result lies by subject. Only lists that can be looked up, neither
+    empty nor too long, and whose subject is unknown, are exchanged by their images.
     """
-    by_subject = subject_captures.groupBy("subject_id").agg(F.max_by("capture_id", F.struct(*order_by)).alias("_by_subject"))
+    kind = classifications.schema["subject_id"].dataType
+    by_subject = subject_captures.groupBy(F.col("subject_id").cast(kind).alias("subject_id")).agg(
+        F.max_by("capture_id", F.struct(*order_by)).alias("_by_subject")).where(
+        F.col("subject_id").isNotNull() & F.col("_by_subject").isNotNull())
     images = images.groupBy("image_id").agg(F.max_by("capture_id", F.struct(*order_by)).alias("capture_id"))
-    key = ["season", "site", "roll", "filenames"]
     n_names = F.size(F.split("filenames", ";"))
-    has_list = F.coalesce((F.col("filenames") != "") & (n_names <= MAX_IMAGES), F.lit(False))
-    listed = classifications.where(has_list).join(by_subject, "subject_id", "left")
-    by_images = capture_of_images(listed.where(F.col("_by_subject").isNull()), images, prefix).withColumnRenamed("capture_id", "_by_images")
-    rest = classifications.where(~has_list).join(by_subject, "subject_id", "left")
-    joined = listed.join(by_images, key, "left").unionByName(rest.withColumn("_by_images", F.lit(None).cast("string")))
+    # a list with a missing part has no capture
+    has_list = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in LIST_KEY]) & (F.col("filenames") != "") & (n_names <= MAX_IMAGES)
+    listed = classifications.where(has_list).select("subject_id", *LIST_KEY).join(by_subject, "subject_id", "left_anti")
+    found = captures_of_images(listed, images, prefix)
+    gathered = classifications.withColumn("_row", F.lit(True))
+    for captures in (found, by_subject):
+        gathered = gathered.unionByName(captures, allowMissingColumns=True)
+    joined = gathered.repartition("subject_id").withColumn(
+        "_by_images", F.min_by("_capture", "_place").over(Window.partitionBy("subject_id", *LIST_KEY))).withColumn(
+        "_by_subject", F.max("_by_subject").over(Window.partitionBy("subject_id"))).where("_row")
     known = F.coalesce("_by_subject", "_by_images")
     return joined.withColumns({
         "capture_id": F.coalesce(known, F.lit("")),
@@ -75,7 +88,7 @@ def resolve_captures(classifications: DataFrame, subject_captures: DataFrame, im
         .when(F.col("filenames") == "", "without_images")
         .when(n_names > MAX_IMAGES, "too_many_images")
         .when(F.col("_by_images").isNull(), "capture_not_found"),
-    }).drop("_by_subject", "_by_images")
+    }).drop("_row", "_capture", "_place", "_by_subject", "_by_images")
 
 
 def first_classification_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -94,45 +107,40 @@ def consolidate_annotations(df: DataFrame, order_by: Sequence[str], keys: Sequen
 
     Counts are added up in order: 11-50 wins always, else 51+, else an empty count, and a sum above 10
     becomes 11-50 if it is reached before any empty or 51+ count. Other answers take their maximum, all
-    further columns their last value. The rule is written as sums and minima, so it needs no list of
-    the rows, whatever their number.
+    further columns their last value. The rule is written as sums and minima over a window, so no list of the rows
+    is folded; ``df`` is read once and exchanged once, by ``keys``.
     """
-    keys, order = list(keys), F.struct(*order_by)
+    keys, number = list(keys), F.col("count").try_cast("int")
     answers = [q for q in questions if q in df.columns and q not in keys and q != "count"]
     others = [c for c in df.columns if c not in [*keys, *answers, "count"]]
-    rows = df.withColumns({"_order": order, "_number": F.col("count").try_cast("int")})
-    folded = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("count") == "11-50").alias("_mid"),
-        F.count_if(F.col("count") == "51+").alias("_high"), F.count_if(F.col("count") == "").alias("_empty"),
-        F.sum("_number").alias("_sum"), F.min(F.when(F.col("count").isin("", "51+"), F.col("_order"))).alias("_stop"),
-        *[F.max(a).alias(a) for a in answers],
-        F.max_by(F.struct(*others, F.col("count").alias("_last_count")), "_order").alias("_last"))
-    # only groups that mix numbers with an empty or 51+ count need to know which came first
-    mixed = folded.where((F.col("_mid") == 0) & F.col("_stop").isNotNull() & F.col("_sum").isNotNull())
-    early = rows.select(*keys, "_order", "_number").join(mixed.select(*keys, "_stop"), keys).where(
-        F.col("_order") < F.col("_stop"))
-    early = early.groupBy(*keys).agg(F.sum("_number").alias("_early"), F.count("_number").alias("_n_early"))
+    ordered = Window.partitionBy(*keys).orderBy(F.col("_order").desc())
+    group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = df.withColumn("_order", F.struct(*order_by)).withColumns({
+        "_back": F.row_number().over(ordered), "_n": F.count(F.lit(1)).over(group),
+        "_mid": F.count_if(F.col("count") == "11-50").over(group), "_high": F.count_if(F.col("count") == "51+").over(group),
+        "_sum": F.sum(number).over(group), "_stop": F.min(F.when(F.col("count").isin("", "51+"), F.col("_order"))).over(group),
+        **{f"_max_{a}": F.max(a).over(group) for a in answers}})
+    # groups that mix numbers with an empty or 51+ count need to know which came first; those with a missing key do not
+    early = F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) & (F.col("_order") < F.col("_stop")), number)
+    rows = rows.withColumns({"_early": F.sum(early).over(group), "_n_early": F.count(early).over(group)}).where(F.col("_back") == 1)
     count = (
-        F.when(F.col("_n") == 1, F.col("_last._last_count"))
+        F.when(F.col("_n") == 1, F.col("count"))
         .when(F.col("_mid") > 0, "11-50")
         .when(F.col("_stop").isNull(), F.when(F.col("_sum") > 10, "11-50").otherwise(F.col("_sum").cast("string")))
         .when((F.col("_early") > 10) & (F.col("_n_early") > 1), "11-50")
         .when(F.col("_high") > 0, "51+").otherwise("")
     )
-    result = folded.join(early, keys, "left")
-    return result.select(*keys, *answers, count.alias("count"), *[F.col(f"_last.{c}") for c in others]).select(*df.columns)
+    result = rows.select(*keys, *[F.col(f"_max_{a}").alias(a) for a in answers], count.alias("count"), *others)
+    return result.select(*df.columns)
 
 
 def extract_legacy_annotations(df: DataFrame, subject_captures: DataFrame, images: DataFrame, order_by: Sequence[str],
                                prefix: str = LEGACY_SEASON_PREFIX) -> DataFrame:
-    """Eligible legacy annotations with their capture, consolidated per classification and species.
-
-    The rows of first classifications are needed several times, so they are checkpointed.
-    """
+    """Eligible legacy annotations with their capture, consolidated per classification and species."""
     resolved = resolve_captures(df, subject_captures, images, prefix).where(F.col("reject_reason").isNull())
     mapped = map_legacy_answers(resolved.drop("reject_reason"))
     with_capture = mapped.withColumn("capture", F.element_at(F.split("capture_id", "#"), -1))
-    return consolidate_annotations(stable(first_classification_rows(with_capture, order_by)), order_by)
+    return consolidate_annotations(first_classification_rows(with_capture, order_by), order_by)
 
 
 def reject_stats(resolved: DataFrame) -> DataFrame:

@@ -206,3 +206,30 @@ def test_rows_without_lists_are_not_exchanged_by_list(rows):
     # the join by list is below the union, so the other rows pass it by
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and plan.index("Union") < plan.index("filenames#", plan.index("Join"))
+
+
+def test_legacy_rows_are_exchanged_by_subject_and_by_classification(spark, rows):
+    """Captures of subjects and lists come to the rows, whose missing keys find what they found in joins; nothing is checkpointed."""
+    columns = "classification_id user_name subject_id season site roll filenames species count moving at"
+    data = [("a", "u", "s1", "S1", "B01", "1", "PICT0002.JPG;PICT0001.JPG", "lion", "6", "0", "1"),
+            ("a", "u", "s1", "S1", "B01", "1", "PICT0002.JPG;PICT0001.JPG", "lion", "7", "1", "2"),
+            ("a", "u", "s1", "S1", "B01", "1", "PICT0001.JPG", "lion", "", "", "3"), ("b", "u", "s1", "S1", "B01", "1", "PICT0001.JPG", "lion", "1", "", "4"),
+            ("c", "u", "s2", "S1", "B01", "1", "", "zebra", "2", "", "1"), ("d", "u", "s3", None, "B01", "1", "PICT0001.JPG", "lion", "1", "", "1"),
+            ("e", "u", None, "S1", "B01", "1", "PICT0001.JPG", "lion", "1", "", "1"), ("f", "v", "s1", "S1", "B01", "1", "none.JPG", "lion", "3", "", "1"),
+            ("f", "v", "s1", "S1", "B01", "1", "PICT0002.JPG", None, "3", "", "2")]
+    images = rows("image_id capture_id", [("SER_S1#B01#R1#PICT0001.JPG", "x#1"), ("SER_S1#B01#R1#PICT0002.JPG", "x#2"), ("B01#R1#PICT0001.JPG", "x#3")])
+    known = rows("subject_id capture_id", [("s2", "x#4"), ("s2", "x#5"), (None, "x#6"), ("s9", None)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        resolved = legacy.resolve_captures(rows(columns, data), known, images)
+        assert sorted((r.classification_id, r.at, r.capture_id, r.reject_reason) for r in resolved.collect()) == [
+            ("a", "1", "x#1", None), ("a", "2", "x#1", None), ("a", "3", "x#1", None), ("b", "4", "x#1", None), ("c", "1", "x#5", None),
+            ("d", "1", "", "capture_not_found"), ("e", "1", "x#1", None), ("f", "1", "", "capture_not_found"), ("f", "2", "x#2", None)]
+        flags = {c: F.lit("") for c in ("standing", "resting", "eating", "interacting", "young_present")}
+        got = legacy.extract_legacy_annotations(rows(columns, data).withColumns(flags), known, images, ["at"])
+        assert sorted((r.classification_id, r.species or "", r["count"], r.moving, r.capture, r.at) for r in got.collect()) == [
+            ("a", "lion", "11-50", "1", "1", "3"), ("c", "zebra", "2", "", "5", "1"), ("f", "", "3", "", "2", "2")]
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.split("REPARTITION_BY_COL")[0].count("Exchange") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
