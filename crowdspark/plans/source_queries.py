@@ -36,12 +36,16 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return readers.read_table(t.spark, folder, text_schema(rows.select(*writers.first_then_rest(rows.columns, first))))
 
 
+#: How an export is written: its text is several times smaller, and a file is still of a size for one task.
+EXPORT = {"compression": "gzip", "file_rows": 250_000}
+
+
 @query("v_classifications", """
 SELECT classification_id, user_id, created_at, season, CAST(live AS INTEGER) AS live, subject_ids FROM v_classifications""")
 def classifications_round_trip(t: Tables) -> DataFrame:
-    """S3: a classification export as CSV, its JSON columns parsed after reading."""
+    """S3: a classification export as compressed CSV, its JSON columns parsed after reading."""
     folder = shared_folder(t.spark, "classifications")
-    writers.write_table(t.classifications.drop("price"), folder)
+    writers.write_table(t.classifications.drop("price"), folder, **EXPORT)
     rows = readers.read_classifications(t.spark, folder, text_schema(t.classifications.drop("price")))
     return rows.select("classification_id", "user_id", "created_at",
                        classifications.subject_season(F.col("subject_data"), F.col("subject_ids")).alias("season"),

@@ -32,14 +32,17 @@ def project_cleaned(df: DataFrame, first: Sequence[str] = CLEANED_FIRST_COLUMNS,
     return df.select(*[F.col(f"`{c}`") for c in without_prefixes(columns, prefixes)])
 
 
-def write_table(df: DataFrame, path: str, first: Sequence[str] = (), mode: str = "error") -> None:
+def write_table(df: DataFrame, path: str, first: Sequence[str] = (), mode: str = "error", compression: str = "none",
+                file_rows: int = 0) -> None:
     """CSV with the listed columns first and the rows sorted by them.
 
-    A hash of the row breaks ties, so that equal keys do not all end in one task.
+    A hash of the row breaks ties, so that equal keys do not all end in one task. A compressed file is read by one task,
+    so give ``file_rows``, the most rows of a file (0: as many as its task has), with ``compression``.
     """
     ordered = df.select(*first_then_rest(df.columns, first))
     keys = [c for c in first if c in df.columns]
-    (ordered.orderBy(*keys, F.xxhash64(*df.columns)) if keys else ordered).write.mode(mode).options(header=True, escape='"').csv(path)
+    (ordered.orderBy(*keys, F.xxhash64(*df.columns)) if keys else ordered).write.mode(mode).options(
+        header=True, escape='"', compression=compression, maxRecordsPerFile=file_rows).csv(path)
 
 
 def split_by_season(df: DataFrame, path: str, mode: str = "error") -> None:

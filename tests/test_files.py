@@ -152,3 +152,25 @@ def test_a_written_export_is_split_over_tasks(spark, tmp_path):
         assert got.exceptAll(rows).isEmpty() and got.count() == 20000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_compressed_export_is_read_by_many_tasks(spark, tmp_path):
+    """Its files are small, however many rows a task writes, and hold the same texts."""
+    from crowdspark.plans.source_queries import text_schema
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("classification_id"), F.lit('{"a":"b,c\\\\"}').alias("metadata"),
+                                    F.when(F.col("id") % 2 == 0, "").otherwise('"x"').alias("user_id"))
+    for name, options in (("plain", {}), ("small", {"compression": "gzip", "file_rows": 400})):
+        writers.write_table(rows.coalesce(1), str(tmp_path / name), **options)
+    plain, small = ([f for f in (tmp_path / n).iterdir() if f.name.startswith("part")] for n in ("plain", "small"))
+    assert len(plain) == 1 and len(small) == 13 and sum(f.stat().st_size for f in small) * 4 < plain[0].stat().st_size
+    got = readers.read_classifications(spark, str(tmp_path / "small"), text_schema(rows))
+    assert got.exceptAll(rows).isEmpty() and got.count() == 5000
+
+
+def test_the_export_of_the_round_trip_is_compressed(spark, tmp_path, monkeypatch):
+    from crowdspark.plans import source_queries
+    from crowdspark.plans.tables import Tables
+    monkeypatch.setattr(source_queries, "shared_folder", lambda spark, name: str(tmp_path / name))
+    got = source_queries.classifications_round_trip(Tables(spark, "/root/testdata/sf0.001"))
+    parts = [f.name for f in (tmp_path / "classifications").iterdir() if f.name.startswith("part")]
+    assert parts and all(n.endswith(".csv.gz") for n in parts) and got.count() > 5000
