@@ -143,18 +143,24 @@ def first_classifications(df: DataFrame, order_by: Sequence[str], key: Sequence[
     return first_n_per_group(df, key, list(order_by), 1)
 
 
-def eligible_classifications(df: DataFrame, order_by: Sequence[str], **filters) -> DataFrame:
-    """Rows that pass all filters, without repeated classifications of a user.
+def without_rejected(df: DataFrame, also: Column | None = None, **filters) -> DataFrame:
+    """Rows that pass all filters, and those of ``also`` whatever they hold.
 
     Which filter a row fails does not matter here, so those on plain texts come first, and only the rows they leave are
     parsed.
     """
+    also = F.lit(False) if also is None else also
     plain = {name: filters.pop(name, None) for name in ("workflow_id", "version_min", "start", "end")}
-    rows = df.where(is_eligible_workflow(plain["workflow_id"], plain["version_min"])).where(in_date_range(plain["start"], plain["end"]))
+    rows = df.where(also | is_eligible_workflow(plain["workflow_id"], plain["version_min"]))
     if filters.get("season"):
-        rows = rows.where(may_be_season(F.col("subject_data"), filters["season"]))
-    passed = with_reject_reason(rows, **filters).where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return first_classifications(passed, order_by)
+        rows = rows.where(also | may_be_season(F.col("subject_data"), filters["season"]))
+    rows = rows.where(also | in_date_range(plain["start"], plain["end"]))
+    return with_reject_reason(rows, **filters).where(also | F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def eligible_classifications(df: DataFrame, order_by: Sequence[str], **filters) -> DataFrame:
+    """Rows that pass all filters, without repeated classifications of a user."""
+    return first_classifications(without_rejected(df, **filters), order_by)
 
 
 def rejected_rows(df: DataFrame, **filters) -> DataFrame:

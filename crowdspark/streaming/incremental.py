@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdspark.operators.classifications import (
-    CLASSIFICATION_KEY, explode_classifications, flatten_annotations, with_reject_reason,
+    CLASSIFICATION_KEY, explode_classifications, flatten_annotations, with_reject_reason, without_rejected,
 )
 from crowdspark.streaming.arrivals import first_rows_stream
 
@@ -33,14 +33,18 @@ def annotation_stream(classifications: DataFrame, single: Sequence[str], multi:
 
 
 def first_classification_stream(classifications: DataFrame, order_by: Sequence[str], *, delay: str,
-                                created_at: str = "created_at", **filters) -> DataFrame:
+                                created_at: str = "created_at", keep: Sequence[str] | None = None, **filters) -> DataFrame:
     """Eligible classifications, the first of each user, subject and workflow, as they arrive.
 
-    ``order_by`` decides within a day, the date of ``created_at`` between days; see ``first_rows_stream``.
+    ``order_by`` decides within a day, the date of ``created_at`` between days; see ``first_rows_stream``. A row waits in the
+    state with the columns to ``keep`` (all, if not given; its key, time and order in any case).
     """
     # a row without any key is no classification: it moves the watermark
     mark = F.coalesce(*[F.col(c) for c in CLASSIFICATION_KEY]).isNull()
-    passed = with_reject_reason(classifications, **filters).where(F.col("reject_reason").isNull() | mark).drop("reject_reason")
+    passed = without_rejected(classifications, mark, **filters)
+    if keep is not None:
+        needed = {*keep, *CLASSIFICATION_KEY, *order_by, created_at}
+        passed = passed.select(*[c for c in passed.columns if c in needed])
     day = F.try_to_timestamp(F.substring(created_at, 1, 10), F.lit("yyyy-MM-dd"))
     return first_rows_stream(passed, CLASSIFICATION_KEY, day, order_by, delay=delay)
 

@@ -156,6 +156,8 @@ def test_a_written_export_is_split_over_tasks(spark, tmp_path):
 
 def test_a_compressed_export_is_read_by_many_tasks(spark, tmp_path):
     """Its files are small, however many rows a task writes, and hold the same texts."""
+    from crowdspark.plans import load_all
+    load_all()
     from crowdspark.plans.source_queries import text_schema
     rows = spark.range(5000).select(F.col("id").cast("string").alias("classification_id"), F.lit('{"a":"b,c\\\\"}').alias("metadata"),
                                     F.when(F.col("id") % 2 == 0, "").otherwise('"x"').alias("user_id"))
@@ -168,6 +170,8 @@ def test_a_compressed_export_is_read_by_many_tasks(spark, tmp_path):
 
 
 def test_the_export_of_the_round_trip_is_compressed(spark, tmp_path, monkeypatch):
+    from crowdspark.plans import load_all
+    load_all()
     from crowdspark.plans import source_queries
     from crowdspark.plans.tables import Tables
     monkeypatch.setattr(source_queries, "shared_folder", lambda spark, name: str(tmp_path / name))

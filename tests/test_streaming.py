@@ -112,3 +112,42 @@ def test_many_files_of_one_arrival_lose_no_image(spark):
     tables = Tables(spark, SF_DIR)
     tables.inventory = tables.inventory.repartition(30, "event_id")
     assert captures_of_a_stream(tables).count() == tables.inventory.count()
+
+
+def test_parts_arrive_by_a_key_and_lose_no_row(spark):
+    """A part is filtered by its time and key, each named once, whatever the other columns cost."""
+    from pyspark.sql import functions as F
+    from crowdspark.plans import stream_queries as s
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(days=i % 40) for i in range(400)]
+    rows = spark.createDataFrame([(f"{d} 10:00:00 UTC", i, "x") for i, d in enumerate(days)] + [(None, 1, "none"), (f"{days[0]}", None, "key")],
+                                 "at string, k int, other string").withColumn("costly", F.sha2("other", 256))
+    end = arrivals.end_mark(spark, "at string, k int, other string, costly string", "at", "2100-01-01 00:00:00 UTC")
+    parts = s.arriving(rows, "at", "k", end)
+    assert len(parts) == s.FILES
+    arrived = [[r for r in p.collect() if r.other is not None] for p in parts]
+    assert sorted(map(str, sum(arrived, []))) == sorted(map(str, rows.collect())) and all(len(a) > 50 for a in arrived)
+    for before, after in zip(arrived, arrived[1:]):
+        newest, oldest = max(r["at"][:10] for r in before if r["at"]), min(r["at"][:10] for r in after)
+        assert (datetime.date.fromisoformat(newest) - datetime.date.fromisoformat(oldest)).days <= s.LATE_DAYS
+    plan = parts[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1 and "sha2" not in plan[plan.index("xxhash64("):]
+    assert [p.count() for p in s.arriving(rows.where("at is null"), "at", "k", end)] == [2]
+    assert sum(p.count() for p in s.arriving(rows.where(F.col("at").startswith("2020-01-01")), "at", "k", end)) == 12
+
+
+def test_first_classifications_wait_without_their_texts(spark, tmp_path):
+    """A row keeps the columns that are asked for, and the rows are those of the batch operator."""
+    from crowdspark.operators.classifications import eligible_classifications
+    from crowdspark.plans.classification_queries import ORDER
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    rows = Tables(spark, SF_DIR).classifications
+    end = arrivals.end_mark(spark, ", ".join(f"{n} {k}" for n, k in rows.dtypes), "created_at", "2100-01-01 00:00:00 UTC")
+    for part in (rows, end):
+        part.write.mode("append").parquet(folder)
+        stream = incremental.first_classification_stream(spark.readStream.schema(rows.schema).parquet(folder), ORDER, delay="3 days",
+                                                         keep=["price", "user_id"], **FILTERS)
+        stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True).format("parquet").start(out).awaitTermination(100)
+    columns = ["classification_id", "user_name", "user_id", "workflow_id", "created_at", "subject_ids", "price"]
+    got, want = spark.read.parquet(out), eligible_classifications(rows, ORDER, **FILTERS)
+    assert got.columns == columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*columns).collect())) and want.count() > 500
